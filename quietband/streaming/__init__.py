@@ -1,0 +1,5 @@
+"""No streaming operator exists for this workload.
+
+Collection is an hourly batch.  Incremental work is the batch re-process decision
+in ``quietband.operators.incremental``; there is no watermark, window or state to keep.
+"""
