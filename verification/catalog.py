@@ -668,3 +668,413 @@ simple("d14_unreconciled", lambda i: I.unreconciled_runs(i.classified, i.manifes
        "SELECT run_id FROM classified WHERE eligible AND attempt_state <> 'running' AND run_id NOT IN (SELECT run_id FROM manifests)")
 simple("d15_census_names", lambda i: K.ie_census_table(i.capabilities, K.observed_names(i.frames)),
        "SELECT x.run_id, x.bssid, coalesce(o.ssid, '') AS ssid, x.elements AS element_ids FROM capabilities x LEFT JOIN observed o ON o.run_id = x.run_id AND o.bssid = x.bssid")
+
+# =========================================================================================
+# Aggregations
+# =========================================================================================
+
+simple("e1_beacon_summary", lambda i: E.beacon_summary(i.frames, i.frequencies), _SUMMARY)
+simple("e2_per_frequency", lambda i: S.per_frequency(i.observations),
+       """SELECT run_id, band, frequency_mhz, min(channel) AS channel, count(*) AS bssids, CAST(sum(beacons) AS BIGINT) AS beacons,
+       max(rssi_mean_dbm) AS strongest_mean_dbm, min(rssi_mean_dbm) AS weakest_mean_dbm FROM observations GROUP BY 1, 2, 3""")
+_TOTALS = """SELECT run_id, listed, disabled, populated, empty, skipped, errors, beacons, populated + empty + skipped + errors AS attempted FROM (
+    SELECT run_id, count(*) AS listed, count(*) FILTER (sample_status = 'regulatory_skip' AND error LIKE '%disabled%') AS disabled,
+    count(*) FILTER (sample_status = 'sampled') AS populated, count(*) FILTER (sample_status = 'sampled_empty') AS empty,
+    count(*) FILTER (sample_status = 'regulatory_skip' AND error NOT LIKE '%disabled%') AS skipped,
+    count(*) FILTER (sample_status = 'capture_error') AS errors, CAST(coalesce(sum(beacon_count), 0) AS BIGINT) AS beacons
+    FROM frequencies GROUP BY run_id) t"""
+simple("e3_sweep_totals", lambda i: S.sweep_totals(i.frequencies), _TOTALS)
+_BY_BAND = """SELECT run_id, band, count(DISTINCT bssid) AS bssids FROM observations GROUP BY 1, 2
+    UNION ALL SELECT run_id, 'all', count(DISTINCT bssid) FROM observations GROUP BY 1"""
+simple("e4_addresses_by_band", lambda i: S.addresses_by_band(i.observations), _BY_BAND)
+_STATES = """count(*) FILTER (sample_status = 'sampled') AS sampled_frequencies, count(*) FILTER (sample_status = 'sampled_empty') AS sampled_empty_frequencies,
+    count(*) FILTER (sample_status = 'regulatory_skip') AS regulatory_skips, count(*) FILTER (sample_status = 'capture_error') AS capture_errors,
+    count(*) AS manifest_frequencies"""
+simple("e5_frequency_states", lambda i: V.frequency_states(i.frequencies, "run_id"),
+       f"SELECT run_id, {_STATES} FROM frequencies GROUP BY run_id")
+simple("e6_observation_totals", lambda i: V.observation_totals(i.observations),
+       """SELECT run_id, count(DISTINCT bssid) AS observed_bssids, CAST(coalesce(sum(beacons), 0) AS BIGINT) AS beacon_frames,
+       round(avg(rssi_mean_dbm), 1) AS mean_rssi_dbm, min(rssi_min_dbm) AS min_rssi_dbm, max(rssi_max_dbm) AS max_rssi_dbm
+       FROM observations GROUP BY run_id""")
+simple("e7_hourly_metrics", lambda i: V.hourly_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health), "SELECT * FROM v_hourly")
+simple("e8_band_metrics", lambda i: V.band_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health), "SELECT * FROM v_band")
+simple("e9_capability_metrics", lambda i: V.capability_metrics(i.staged_table("ie_capabilities"), i.health), "SELECT * FROM v_capability")
+simple("e10_direct_6ghz", lambda i: V.direct_6ghz(i.staged_table("observations")), "SELECT * FROM x_direct")
+simple("e11_frequency_states_6ghz", lambda i: V.frequency_states_6ghz(i.staged_table("frequencies")), "SELECT * FROM x_states")
+simple("e12_neighbor_state", lambda i: V.neighbor_state(i.staged_table("rnr")), "SELECT * FROM x_rnr")
+simple("e13_not_observed_counts", lambda i: V.not_observed_counts(i.staged_table("rnr"), i.staged_table("observations")), "SELECT * FROM x_unheard_n")
+_EVIDENCE = lambda i: V.evidence_6ghz(
+    i.staged_table("frequencies"), i.staged_table("observations"), i.staged_table("rnr"), i.health)
+simple("e14_6ghz_evidence", _EVIDENCE, "SELECT * FROM v_6ghz")
+simple("e14_readable_evidence", lambda i: V.readable_evidence_6ghz(_EVIDENCE(i), i.staged_table("frequencies"), i.run),
+       """SELECT v.*, r.extraction_status, coalesce(f.n, 0) AS visited_frequencies FROM v_6ghz v LEFT JOIN run r ON r.run_id = v.run_id
+       LEFT JOIN (SELECT run_id, count(*) AS n FROM stg_frequencies WHERE band = '6GHz' AND sample_status <> 'regulatory_skip' GROUP BY 1) f ON f.run_id = v.run_id""")
+simple("e15_ie_capabilities", lambda i: i.capabilities, "SELECT * FROM capabilities")
+
+
+@query("e16_extraction_status", """SELECT r.run_id, CASE WHEN core IS NOT NULL THEN 'failed' WHEN adv IS NOT NULL THEN 'partial' ELSE 'succeeded' END AS extraction_status,
+    nullif(concat_ws('; ', 'core tables: ' || core, 'advanced tables: ' || adv), '') AS error FROM (
+      SELECT name AS run_id, CASE WHEN is_dir AND NOT frequencies_ok THEN 'missing source file: frequencies.tsv'
+        WHEN is_dir AND NOT aggregate_ok THEN 'missing source file: aggregate.tsv' END AS core,
+      (SELECT min(f.pcap_file) || ': beacon row missing packet identity' FROM frames f WHERE f.run_id = runs.name AND f.bssid IS NULL) AS adv
+      FROM runs) r""")
+def e16(i):
+    runs = i.registry.select(F.col("name").alias("run_id"))
+    core = E.core_errors(i.registry, i.frequencies.withColumn("bad_cell", F.lit(False)), i.observations.withColumn("bad_cell", F.lit(False)))
+    return E.extraction_status(runs, core, E.identity_errors(i.frames))
+
+
+@query("e17_health_totals", """SELECT
+    count(*) FILTER (state = 'completed_sweep' AND eligible) AS completed_sweep, count(*) FILTER (state = 'skipped_no_interface') AS skipped_no_interface,
+    count(*) FILTER (state = 'failed') AS failed, count(*) FILTER (state = 'running') AS running, count(*) FILTER (state = 'malformed') AS malformed,
+    count(*) FILTER (state = 'missing_hourly_slot') AS missing_hourly_slot, count(*) FILTER (NOT eligible) AS commissioning_reference,
+    count(*) FILTER (state <> 'missing_hourly_slot') AS discovered_attempts,
+    count(*) FILTER (state <> 'missing_hourly_slot' AND eligible) AS discovered_series_attempts,
+    count(*) FILTER (state = 'missing_hourly_slot') + count(DISTINCT CASE WHEN eligible AND state <> 'missing_hourly_slot' THEN substr(run_id, 1, 11) END) AS expected_slots
+    FROM health""")
+def e17(i):
+    return H.health_totals(i.health)
+
+
+_ATTEMPTED = "count(*) FILTER (sample_status <> 'regulatory_skip') AS attempted, count(*) FILTER (sample_status = 'sampled') AS populated"
+simple("e18_coverage", lambda i: P.coverage(i.frequencies), f"""SELECT run_id, count(*) AS listed, {_ATTEMPTED},
+       count(*) FILTER (sample_status = 'sampled_empty') AS empty, count(*) FILTER (sample_status = 'regulatory_skip') AS skipped FROM frequencies GROUP BY 1""")
+simple("e19_coverage_by_band", lambda i: P.coverage_by_band(i.frequencies), f"""SELECT run_id, band, count(*) AS freqs, {_ATTEMPTED},
+       CAST(coalesce(sum(bssid_count), 0) AS BIGINT) AS bssids, CAST(coalesce(sum(beacon_count), 0) AS BIGINT) AS beacons FROM frequencies GROUP BY 1, 2""")
+simple("e20_state_by_outcome", lambda i: P.state_by_outcome(i.frequencies), "SELECT run_id, regulatory_state, "
+       + ", ".join(f"count(*) FILTER (sample_status = '{s}') AS {s}" for s in C.SAMPLE_STATUSES) + " FROM frequencies GROUP BY 1, 2")
+simple("e21_positive_control", lambda i: P.positive_control(i.frequencies),
+       """SELECT run_id, band, detections, attempted, CASE WHEN detections = 0 THEN 'unvalidated' ELSE 'receiver_confirmed' END AS verdict,
+       CASE WHEN detections = 0 THEN states END AS regulatory_states FROM (SELECT run_id, band, count(*) FILTER (sample_status = 'sampled') AS detections,
+         count(*) AS attempted, array_to_string(list_sort(list(DISTINCT regulatory_state)), ', ') AS states
+         FROM frequencies WHERE sample_status <> 'regulatory_skip' GROUP BY 1, 2) p""")
+_MODE = "(SELECT run_id, {0} FROM (SELECT run_id, {0}, row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, {0}) AS place FROM {1} GROUP BY 1, 2) m WHERE place = 1)"
+simple("e22_reception_bounds", lambda i: P.reception_bounds(i.observations, i.frequencies),
+       f"""SELECT t.run_id, coalesce(d.dwell_seconds, 10) AS dwell_seconds, n.beacon_interval_tu,
+       round(coalesce(d.dwell_seconds, 10) / (n.beacon_interval_tu * CAST(0.001024 AS DOUBLE)), 1) AS expected_count, t.best_count, t.max_ratio,
+       round((1 - t.max_ratio) * 100, 1) AS shortfall_pct,
+       (SELECT count(*) FROM observations o WHERE o.run_id = t.run_id AND o.beacon_reception_ratio >= t.max_ratio - 1e-9) AS at_bound, t.observations
+       FROM (SELECT run_id, max(beacons) AS best_count, max(beacon_reception_ratio) AS max_ratio, count(*) AS observations FROM observations GROUP BY 1) t
+       JOIN {_MODE.format('beacon_interval_tu', '(SELECT * FROM observations WHERE beacon_interval_tu IS NOT NULL) oo')} n ON n.run_id = t.run_id
+       LEFT JOIN {_MODE.format('dwell_seconds', '(SELECT * FROM frequencies WHERE dwell_seconds > 0) ff')} d ON d.run_id = t.run_id""")
+_LOCAL = "CAST('0x' || substr(bssid, 1, 2) AS BIGINT) & 2 <> 0"
+_FAM = "substr(bssid, 4, 12) || substr(bssid, 16, 1) || '_'"
+_features = lambda i: P.observation_features(i.observations)
+simple("e23_identity_summary", lambda i: P.identity_summary(_features(i)),
+       f"""SELECT run_id, bssids, radio_families, round(bssids / radio_families, 2) AS bssids_per_radio, l AS locally_administered,
+       bssids - l AS globally_administered, round(l * 100.0 / bssids, 1) AS locally_administered_pct, multicast FROM (
+         SELECT run_id, count(DISTINCT bssid) AS bssids, count(DISTINCT {_FAM}) AS radio_families, count(DISTINCT CASE WHEN {_LOCAL} THEN bssid END) AS l,
+         count(DISTINCT CASE WHEN CAST('0x' || substr(bssid, 1, 2) AS BIGINT) & 1 <> 0 THEN bssid END) AS multicast FROM observations GROUP BY 1) q""")
+simple("e24_radio_families", lambda i: P.radio_families(_features(i)),
+       f"""SELECT run_id, {_FAM} AS radio_family, count(DISTINCT bssid) AS bssids, array_to_string(list_sort(list(DISTINCT band)), '/') AS bands,
+       round(avg(rssi_mean_dbm), 1) AS mean_rssi_dbm FROM observations GROUP BY 1, 2""")
+simple("e24_radio_family_names", lambda i: P.radio_family_names(_features(i)),
+       f"SELECT DISTINCT run_id, {_FAM} AS radio_family, CASE WHEN ssid = '' THEN '<hidden>' ELSE ssid END AS ssid FROM observations")
+_FEATURED = "(SELECT *, ssid AS s FROM observations)"
+_FIRST = f"""SELECT run_id, bssid, arg_min(hidden, o) AS hidden, arg_min(isp_default, o) AS isp_default, arg_min(shared_service, o) AS shared_service,
+    arg_min(provider_family, o) FILTER (provider_family IS NOT NULL) AS provider_family
+    FROM (SELECT run_id, bssid, (CASE band WHEN '2.4GHz' THEN 0 WHEN '5GHz' THEN 1 ELSE 2 END, frequency_mhz, bssid, first_seen, beacons, s) AS o, {_NAMES_SQL}
+      FROM {_FEATURED} f) g GROUP BY 1, 2"""
+simple("e25_ssid_profile", lambda i: P.ssid_profile(_features(i)),
+       f"""SELECT a.run_id, count(*) AS bssids, count(*) FILTER (hidden) AS hidden_bssids, count(*) FILTER (isp_default) AS default_names,
+       count(*) FILTER (shared_service) AS shared_service_bssids,
+       (SELECT count(DISTINCT o.ssid) FROM observations o WHERE o.run_id = a.run_id AND o.ssid <> '') AS unique_ssids FROM ({_FIRST}) a GROUP BY 1""")
+simple("e26_shared_services", lambda i: P.shared_services(_features(i)),
+       f"""SELECT run_id, ssid, count(DISTINCT bssid) AS bssids, count(DISTINCT {_FAM}) AS radio_families FROM observations
+       WHERE lower(ssid) IN ('spectrum mobile', 'xfinitywifi', 'optimumwifi') GROUP BY 1, 2""")
+simple("e27_provider_counts", lambda i: P.provider_counts(_features(i)),
+       f"SELECT run_id, provider_family, count(*) AS bssids FROM ({_FIRST}) a WHERE provider_family IS NOT NULL GROUP BY 1, 2")
+simple("e28_rf_profile", lambda i: P.rf_profile(i.observations),
+       """SELECT run_id, band, count(*) AS obs, count(DISTINCT bssid) AS bssids, min(rssi_min_dbm) AS rssi_min, round(avg(rssi_mean_dbm), 2) AS rssi_mean,
+       max(rssi_max_dbm) AS rssi_max, round(avg(beacon_reception_ratio), 2) AS ratio_mean FROM observations GROUP BY 1, 2""")
+simple("e29_channel_occupancy", lambda i: P.channel_occupancy(i.observations),
+       """SELECT run_id, band, frequency_mhz, channel, count(DISTINCT bssid) AS bssids, CAST(sum(beacons) AS BIGINT) AS beacons
+       FROM observations GROUP BY 1, 2, 3, 4""")
+simple("e30_multi_frequency", lambda i: P.multi_frequency_addresses(i.observations),
+       """SELECT run_id, bssid, CASE WHEN s = '' THEN '<hidden>' ELSE s END AS label, n_frequencies, frequencies FROM (
+       SELECT run_id, bssid, arg_min(ssid, (CASE band WHEN '2.4GHz' THEN 0 WHEN '5GHz' THEN 1 ELSE 2 END, frequency_mhz, bssid, first_seen, beacons, ssid)) AS s,
+       count(DISTINCT frequency_mhz) AS n_frequencies, array_to_string(list_sort(list(DISTINCT frequency_mhz)), ', ') AS frequencies
+       FROM observations GROUP BY 1, 2) m WHERE n_frequencies > 1""")
+simple("e31_observed_names", lambda i: K.observed_names(i.frames), "SELECT * FROM observed")
+simple("e32_quality_flags", lambda i: P.quality_flags(i.observations, i.frequencies),
+       """SELECT run_id, flag, n, CASE WHEN flag = 'thin_beacon_count' THEN fewest END AS value FROM (
+         SELECT f.run_id, unnest(['thin_beacon_count', 'wide_rssi_spread', 'ratio_above_one', 'capture_errors']) AS flag,
+           unnest([o.thin, o.wide, o.above, f.errors]) AS n, o.fewest
+         FROM (SELECT run_id, count(*) FILTER (error <> '' AND sample_status <> 'regulatory_skip') AS errors FROM frequencies GROUP BY 1) f
+         LEFT JOIN (SELECT run_id, count(*) FILTER (beacons < 10) AS thin, count(*) FILTER (rssi_max_dbm - rssi_min_dbm > 15) AS wide,
+           count(*) FILTER (beacon_reception_ratio > 1) AS above, min(beacons) AS fewest FROM observations GROUP BY 1) o ON o.run_id = f.run_id) q
+       WHERE n > 0 OR flag = 'capture_errors'""")
+simple("e33_element_census", lambda i: K.element_census(i.frames),
+       f"""SELECT run_id, namespace, element, count(*) AS frames, count(DISTINCT bssid) AS bssids,
+       CASE WHEN namespace = 'element' THEN {_name_case(C.ELEMENT_NAMES, 'element')} ELSE {_name_case(C.EXTENSION_NAMES, 'element')} END AS name
+       FROM elements GROUP BY 1, 2, 3""")
+simple("e33_absent_priority", lambda i: K.absent_priority_elements(i.frames),
+       f"""SELECT r.run_id, p.element, {_name_case(C.ELEMENT_NAMES, 'p.element')} AS name FROM (SELECT DISTINCT run_id FROM frames) r
+       CROSS JOIN (VALUES {', '.join(f'({e})' for e in C.PRIORITY_ELEMENTS)}) p(element)
+       WHERE NOT EXISTS (SELECT 1 FROM elements e WHERE e.run_id = r.run_id AND e.namespace = 'element' AND e.element = p.element)""")
+simple("e33_generations", lambda i: K.generations_advertised(i.frames),
+       """SELECT run_id, coalesce(nullif(concat_ws(', ', CASE WHEN bool_or(list_has_any(exts, [35, 36])) THEN 'HE / Wi-Fi 6' END,
+       CASE WHEN bool_or(list_has_any(exts, [59])) THEN 'HE 6 GHz / Wi-Fi 6E' END,
+       CASE WHEN bool_or(list_has_any(exts, [106, 107, 108])) THEN 'EHT / Wi-Fi 7' END), ''), 'none above VHT') AS generations FROM frames GROUP BY 1""")
+
+
+def _probe_sql() -> str:
+    parts = []
+    for name in C.RADIOTAP_PROBE:
+        verdict = ("CASE WHEN present = 0 THEN 'ABSENT' WHEN vals / present > 1.5 THEN 'POPULATED_REPEATED' "
+                   + ("ELSE 'POPULATED_FLAG' END" if name.endswith("badfcs") else "ELSE 'POPULATED' END"))
+        parts.append(f"""SELECT run_id, pcap_file, '{name}' AS field, frames, present, round(100.0 * present / frames, 0) AS present_pct,
+            CASE WHEN present = 0 THEN 0.0 ELSE round(vals / present, 2) END AS values_per_frame, CAST(lit AS BIGINT) AS set_true, {verdict} AS verdict FROM (
+            SELECT run_id, pcap_file, count(*) AS frames, count(*) FILTER (len({name}) > 0) AS present, coalesce(sum(len({name})), 0) AS vals,
+            coalesce(sum(len(list_filter({name}, lambda v: v IN ('1', 'True')))), 0) AS lit FROM chosen GROUP BY 1, 2) q""")
+    return " UNION ALL ".join(parts)
+
+
+_PROBE_FRAMES = 6000
+simple("e34_radiotap_population", lambda i: K.radiotap_population(i.frames, i.captures, _PROBE_FRAMES),
+       f"""SELECT * FROM (WITH chosen AS (SELECT f.* FROM frames f JOIN (SELECT run_id, arg_min(pcap_file, (-length, pcap_file)) AS pcap_file FROM captures
+         WHERE length > 24 GROUP BY 1) l ON l.run_id = f.run_id AND l.pcap_file = f.pcap_file WHERE f.frame_number <= {_PROBE_FRAMES}) {_probe_sql()}) z""")
+simple("e35_truncation", lambda i: K.truncation(i.frames),
+       """SELECT run_id, count(*) AS frames, max(captured_length) AS largest_captured,
+       count(*) FILTER (captured_length < wire_length) AS truncated FROM frames GROUP BY 1""")
+simple("e36_advertisements", lambda i: K.advertisements(i.rnr).drop("first"), "SELECT * EXCLUDE (first_file, first_frame) FROM adverts")
+simple("e36_ambiguous", lambda i: K.ambiguous_reports(i.rnr),
+       "SELECT run_id, count(*) AS rows, count(*) FILTER (structure_status <> 'single_occurrence') AS skipped_ambiguous FROM rnr GROUP BY 1")
+_DIG = lambda x: f"CASE WHEN regexp_full_match({x}, '[0-9]+') THEN CAST({x} AS BIGINT) END"
+simple("e37_load_ranges", lambda i: K.load_ranges(i.load),
+       f"""SELECT *, utilization_min * 100 // 255 AS utilization_min_pct, utilization_max * 100 // 255 AS utilization_max_pct FROM (
+       SELECT run_id, bssid, arg_min(ssid, (pcap_file, frame_number)) AS ssid, count(*) AS frames,
+       min({_DIG('raw_utilization')}) AS utilization_min, max({_DIG('raw_utilization')}) AS utilization_max,
+       min({_DIG('raw_station_count')}) AS stations_min, max({_DIG('raw_station_count')}) AS stations_max FROM bss_load GROUP BY 1, 2) q""")
+_CHECKS = {
+    "element_71_multiple_bssid": "list_contains(tags, 71)", "element_201_rnr": "list_contains(tags, 201)",
+    "element_11_bss_load": "list_contains(tags, 11)", "element_195_tx_power_envelope": "list_contains(tags, 195)",
+    "element_244_rsnx": "list_contains(tags, 244)", "element_107_interworking": "list_contains(tags, 107)",
+    "any_extension_element": "len(exts) > 0", "he_bss_color": "len(he_bss_color) > 0",
+    "rnr_mld_link_id": "len(rnr_mld_link_id) > 0", "fcs_failures": "list_contains(radiotap_flags_badfcs, 'True')",
+}
+simple("e38_identity_counts", lambda i: K.identity_counts(i.frames), " UNION ALL ".join(
+    f"SELECT run_id, '{n}' AS \"check\", count(*) FILTER ({cond}) AS frames FROM frames GROUP BY run_id" for n, cond in _CHECKS.items()))
+
+# --- Briefing -------------------------------------------------------------------------------
+
+_SEVEN = ("populated_frequencies", "sampled_empty_frequencies", "regulatory_skips", "capture_errors", "attempted_frequencies",
+          "observed_bssids", "beacon_frames")
+_big = lambda *ns: ", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in ns)
+_hourly = lambda i: V.hourly_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health)
+_bands = lambda i: V.band_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health)
+_capab = lambda i: V.capability_metrics(i.staged_table("ie_capabilities"), i.health)
+simple("e39_coverage_totals", lambda i: B.coverage_totals(_bands(i)), f"SELECT band, {_big(*_SEVEN)} FROM v_band GROUP BY band")
+_SNAP = """SELECT '{0}' AS measure, count(*) AS trend_runs, arg_max({0}, run_id) AS latest, min({0}) AS lowest, median({0}) AS median, max({0}) AS highest FROM v_hourly"""
+simple("e40_snapshot", lambda i: B.snapshot(_hourly(i)), " UNION ALL ".join(_SNAP.format(m) for m in ("observed_bssids", "beacon_frames")))
+_CAPS = ("advertises_he", "advertises_he_6ghz", "advertises_eht", "advertises_mld", "advertises_multiple_bssid", "carries_rnr", "carries_bss_load")
+simple("e41_capability_totals", lambda i: B.capability_totals(_capab(i)), f"SELECT {_big(*_CAPS, 'observed_bssids')} FROM v_capability")
+simple("e41_latest_capabilities", lambda i: B.latest_row(_capab(i)), "SELECT * FROM v_capability ORDER BY run_id DESC LIMIT 1")
+simple("e42_unresolved_fields", lambda i: B.unresolved_fields(i.staged_table("field_resolution")),
+       "SELECT DISTINCT logical_name FROM stg_field_resolution WHERE status = 'unresolved'")
+simple("e42_ambiguity", lambda i: B.ambiguity(i.staged_table("rnr")),
+       "SELECT count(*) AS ambiguous_rows, count(DISTINCT run_id) AS runs FROM stg_rnr WHERE structure_status = 'unpaired_multi_occurrence'")
+simple("e42_extraction_failures", lambda i: B.extraction_failures(i.run),
+       "SELECT run_id, extraction_status, error FROM run WHERE extraction_status <> 'succeeded'")
+_LOADS = """SELECT count(*) AS frames, count(DISTINCT bssid) AS bssids, count(DISTINCT run_id) AS runs, min(station_count) AS stations_min,
+    max(station_count) AS stations_max, min(utilization) AS utilization_min, max(utilization) AS utilization_max FROM stg_bss_load"""
+simple("e43_load_summary", lambda i: B.load_summary(i.staged_table("bss_load")), _LOADS)
+_SIXES = ("direct_bssids", "direct_beacons", "sampled_frequencies", "sampled_empty_frequencies", "manifest_frequencies", "advertised_6ghz_neighbors",
+          "advertised_6ghz_disabled_links", "unresolved_operating_classes", "ambiguous_rnr_rows", "advertised_not_observed_nonconcurrent")
+simple("e44_evidence_totals", lambda i: B.evidence_totals(_EVIDENCE(i)), f"SELECT {_big(*_SIXES)} FROM v_6ghz")
+simple("e44_latest_evidence", lambda i: B.latest_row(_EVIDENCE(i)), "SELECT * FROM v_6ghz ORDER BY run_id DESC LIMIT 1")
+_commissioning = lambda i: B.commissioning_summary(*SRC.read_commissioning(i.frequencies, i.observations, SERIES.commissioning))
+_COMM = f"""SELECT f.run_id, count(*) AS frequencies, count(*) FILTER (sample_status = 'sampled') AS sampled,
+    (SELECT count(*) FROM observations o WHERE o.run_id = f.run_id) AS observations,
+    (SELECT count(DISTINCT bssid) FROM observations o WHERE o.run_id = f.run_id) AS bssids FROM frequencies f
+    WHERE f.run_id IN ('{SERIES.commissioning[0]}', '{SERIES.commissioning[1]}') GROUP BY 1"""
+simple("e45_commissioning_summary", _commissioning, _COMM)
+_MARKS = """SELECT 'data_cutoff' AS marker, max(started_utc) AS text FROM stg_run UNION ALL SELECT 'latest_input', max(run_id) FROM health
+    UNION ALL SELECT 'last_successful_sweep', max(run_id) FROM v_hourly UNION ALL SELECT 'last_discovered_attempt', max(run_id) FROM stg_run"""
+simple("e46_markers", lambda i: B.markers(i.staged_table("run"), i.health, _hourly(i)), _MARKS)
+simple("e46_derivation_counts", lambda i: B.derivation_counts(i.run), "SELECT extraction_status, count(*) AS runs FROM run GROUP BY 1")
+_FINDINGS = """SELECT 'unresolved_field' AS finding, logical_name AS subject, NULL AS detail, 1 AS n FROM stg_field_resolution WHERE status = 'unresolved' GROUP BY 2
+    UNION ALL SELECT 'ambiguous_rnr_rows', NULL, CAST(count(DISTINCT run_id) AS VARCHAR), count(*) FROM stg_rnr WHERE structure_status = 'unpaired_multi_occurrence'
+    UNION ALL SELECT 'derivation_incomplete', run_id, extraction_status || ': ' || coalesce(error, 'no detail'), 1 FROM stg_run WHERE extraction_status <> 'succeeded'
+    UNION ALL SELECT 'attempt_state', state, NULL, count(*) FROM health WHERE state IN ('failed', 'malformed', 'running') GROUP BY 2
+    UNION ALL SELECT 'missing_slot', slot, NULL, 1 FROM missing"""
+simple("e46_findings", lambda i: B.findings(i.staged_table("run"), i.health, i.staged_table("rnr"), i.staged_table("field_resolution")), _FINDINGS)
+simple("e47_sweep_window", lambda i: P.sweep_window(i.observations),
+       "SELECT run_id, min(first_seen) AS window_start, max(last_seen) AS window_end FROM observations GROUP BY 1")
+simple("e48_capture_counts", lambda i: K.capture_counts(i.captures),
+       "SELECT run_id, count(*) FILTER (length > 24) AS populated_captures, count(*) AS captures FROM captures GROUP BY 1")
+simple("e49_sweep_verdict", lambda i: S.sweep_verdict(S.sweep_totals(i.frequencies)),
+       f"SELECT run_id, CASE WHEN errors > 0 OR populated + empty = 0 THEN 'bad' ELSE 'ok' END AS verdict FROM ({_TOTALS}) v")
+
+# =========================================================================================
+# Order and top rows, set operations
+# =========================================================================================
+
+
+@query("w1_first_occurrence", f"""SELECT run_id, frequency_mhz, event_id FROM (SELECT {DUCK.run_id()} AS run_id, CAST({DUCK.mhz} AS BIGINT) AS frequency_mhz,
+    event_id, row_number() OVER (PARTITION BY {DUCK.run_id()}, {DUCK.mhz} ORDER BY event_id) AS place FROM ev) p WHERE place = 1""")
+def w1(i):
+    rows = i.mapped(f"SELECT {RUN_ID} AS run_id, CAST({SPARK.mhz} AS BIGINT) AS frequency_mhz, event_id FROM ev")
+    return rows.groupBy("run_id", "frequency_mhz").agg(F.min("event_id").alias("event_id"))
+
+
+simple("w2_last_values", lambda i: E.beacon_summary(i.frames, i.frequencies).select("run_id", "frequency_mhz", "bssid", "ssid", "beacon_interval_tu", "first_seen", "last_seen"),
+       f"SELECT run_id, frequency_mhz, bssid, ssid, beacon_interval_tu, first_seen, last_seen FROM ({_SUMMARY}) z")
+simple("w3_first_per_address", lambda i: P.per_address_names(_features(i)), _FIRST)
+simple("w4_recent_runs", lambda i: B.recent_runs(_hourly(i)), "SELECT * FROM v_hourly ORDER BY run_id DESC LIMIT 12")
+simple("w4_omitted_runs", lambda i: B.omitted_runs(_hourly(i)),
+       "SELECT count(*) AS trend_runs, greatest(count(*) - 12, 0) AS omitted FROM v_hourly")
+simple("w5_latest_run", lambda i: B.latest_row(_hourly(i)), "SELECT * FROM v_hourly ORDER BY run_id DESC LIMIT 1")
+simple("w6_ordered_health", lambda i: i.health.orderBy("run_id"), "SELECT * FROM health ORDER BY run_id")
+simple("w7_band_order", lambda i: S.in_band_order(S.addresses_by_band(i.observations)), _BY_BAND)
+simple("w8_descending_counts", lambda i: P.channel_occupancy(i.observations).orderBy(F.desc("bssids"), "run_id", "band", "frequency_mhz", "channel"),
+       """SELECT run_id, band, frequency_mhz, channel, count(DISTINCT bssid) AS bssids,
+       CAST(sum(beacons) AS BIGINT) AS beacons FROM observations GROUP BY 1, 2, 3, 4 ORDER BY bssids DESC, run_id, band, frequency_mhz, channel""")
+simple("u1_health_union", lambda i: i.health, "SELECT * FROM health")
+simple("u2_layer_union", lambda i: i.frequencies.select("run_id", "band", "frequency_mhz").unionByName(
+    i.observations.select("run_id", "band", "bssid"), allowMissingColumns=True),
+    "SELECT run_id, band, frequency_mhz, NULL AS bssid FROM frequencies UNION ALL SELECT run_id, band, NULL, bssid FROM observations")
+simple("u3_id_difference", lambda i: i.classified.where("eligible").select("run_id").exceptAll(i.manifests.select("run_id")),
+       "SELECT run_id FROM classified WHERE eligible EXCEPT ALL SELECT run_id FROM manifests")
+simple("u4_advertised_pairs", lambda i: V.advertised_pairs(i.staged_table("rnr")), "SELECT * FROM x_advertised")
+simple("u5_expected_slots", lambda i: i.slots, "SELECT slot FROM slots")
+simple("u6_element_union", lambda i: E.element_counts(i.frames.where("bssid is not null")).where("element is not null"),
+       "SELECT run_id, bssid, namespace, element, count(*) AS frames FROM elements WHERE bssid IS NOT NULL GROUP BY 1, 2, 3, 4")
+
+# =========================================================================================
+# Jobs
+# =========================================================================================
+
+simple("p1_plan_update", lambda i: I.update_outcomes(i.classified, _decisions(i)),
+       f"""SELECT x.run_id, x.attempt_state, CASE WHEN x.attempt_state = 'running' THEN 'deferred' WHEN d.reason <> 'unchanged' THEN 'processed' ELSE 'unchanged' END AS outcome,
+       CASE WHEN x.attempt_state = 'running' THEN 'run in progress; enrichment deferred' ELSE d.reason END AS detail
+       FROM classified x LEFT JOIN (SELECT run_id, {_REASON} AS reason FROM runs) d ON d.run_id = x.run_id WHERE x.eligible""")
+
+
+@query("p2_enrich", """SELECT 'ie_capabilities' AS table_name, run_id, count(*) AS n FROM capabilities WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
+    UNION ALL SELECT 'rnr', run_id, count(*) FROM rnr WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
+    UNION ALL SELECT 'bss_load', run_id, count(*) FROM bss_load WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
+    UNION ALL SELECT 'run', run_id, 1 FROM classified WHERE eligible AND attempt_state <> 'running'""".replace(
+        "wanted", "(SELECT run_id FROM frames GROUP BY run_id HAVING count(*) = count(bssid)) w"))
+def p2(i):
+    from quietband.plans.enrich import derive_tables
+
+    flagged = lambda rows: rows.withColumn("bad_cell", F.lit(False))
+    tables = derive_tables(i.finished, i.registry, flagged(i.frequencies), flagged(i.observations), i.frames, SERIES)
+    out = None
+    for name in ("ie_capabilities", "rnr", "bss_load", "run"):
+        part = tables[name].groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "run_id", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("p3_build_views", " UNION ALL ".join(
+    f"SELECT '{v}' AS view_name, run_id, count(*) AS n FROM {t} GROUP BY run_id" for v, t in _VIEW_SQL.items()))
+def p3(i):
+    out = None
+    for name, rows in i.views.items():
+        part = rows.groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("view_name"), "run_id", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _briefing_sql() -> str:
+    def rows(source: str, section: str, parts: list[tuple]) -> list[str]:
+        out = []
+        for metric, num, den, value, run, label in parts:
+            value = value or (f"CAST({num} AS DOUBLE) / {den}" if num and den else "NULL")
+            out.append(f"""SELECT '{section}' AS section, {metric} AS metric, {run or 'NULL'} AS run_id, CAST({num or 'NULL'} AS BIGINT) AS numerator,
+                CAST({den or 'NULL'} AS BIGINT) AS denominator, CAST({value} AS DOUBLE) AS value, CAST({label or 'NULL'} AS VARCHAR) AS label FROM ({source}) src""")
+        return out
+
+    sec = C.BRIEFING_SECTIONS
+    n = lambda name, den=None, run=None, label=None, prefix="": (f"'{prefix}{name}'", name, den, None, run, label)
+    health = ("SELECT count(*) FILTER (state = 'completed_sweep' AND eligible) AS completed_sweep, "
+              + ", ".join(f"count(*) FILTER (state = '{s}') AS {s}" for s in C.ATTEMPT_STATES[1:])
+              + ", count(*) FILTER (NOT eligible) AS commissioning_reference, count(*) FILTER (state <> 'missing_hourly_slot' AND eligible) AS discovered_series_attempts, "
+              "count(*) FILTER (state = 'missing_hourly_slot') + count(DISTINCT CASE WHEN eligible AND state <> 'missing_hourly_slot' THEN substr(run_id, 1, 11) END) AS expected_slots FROM health")
+    recent = "SELECT * FROM v_hourly ORDER BY run_id DESC LIMIT 12"
+    parts = (
+        rows(_MARKS, sec[0], [("marker", None, None, None, None, "text")])
+        + rows(health, sec[1], [n(m) for m in (*C.ATTEMPT_STATES, "commissioning_reference", "discovered_series_attempts", "expected_slots")])
+        + rows("SELECT extraction_status, count(*) AS runs FROM stg_run GROUP BY 1", sec[1], [("'derivation_status'", "runs", None, None, None, "extraction_status")])
+        + rows(f"SELECT band, {_big(*_SEVEN)} FROM v_band GROUP BY band", sec[2],
+               [n(m, "attempted_frequencies", None, "band") for m in _SEVEN[:4]] + [n(m, None, None, "band") for m in _SEVEN[5:]])
+        + rows(ORACLE_SNAP, sec[3], [(f"measure || '_{s}'", None, "trend_runs", s, None, None) for s in ("latest", "lowest", "median", "highest")])
+        + rows("SELECT count(*) AS trend_runs, greatest(count(*) - 12, 0) AS omitted FROM v_hourly", sec[3], [("'omitted_runs'", "omitted", "trend_runs", None, None, None)])
+        + rows(recent, sec[3], [n(m, None, "run_id") for m in ("observed_bssids", "beacon_frames", "sampled_frequencies", "sampled_empty_frequencies")]
+               + [("'mean_rssi_dbm'", None, None, "mean_rssi_dbm", "run_id", None)])
+        + rows(f"SELECT {_big(*_CAPS, 'observed_bssids')} FROM v_capability", sec[4], [n(m, "observed_bssids") for m in _CAPS])
+        + rows("SELECT * FROM v_capability ORDER BY run_id DESC LIMIT 1", sec[4], [n(m, "observed_bssids", "run_id", None, "latest_") for m in _CAPS[:5]])
+        + rows(f"SELECT {_big(*_SIXES)} FROM v_6ghz", sec[5], [n(m) for m in _SIXES])
+        + rows("SELECT * FROM v_6ghz ORDER BY run_id DESC LIMIT 1", sec[5], [n(m, None, "run_id", None, "latest_") for m in _SIXES])
+        + rows(_LOADS, sec[6], [n(m) for m in ("frames", "bssids", "runs", "stations_min", "stations_max")] + [n(m, "255") for m in ("utilization_min", "utilization_max")])
+        + rows(_FINDINGS, sec[7], [("finding", "n", None, None, None, "concat_ws(' ', subject, detail)")])
+        + rows(_COMM, sec[8], [n(m, None, "run_id") for m in ("frequencies", "sampled", "observations", "bssids")])
+    )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE_SNAP = " UNION ALL ".join(_SNAP.format(m) for m in ("observed_bssids", "beacon_frames"))
+simple("p4_briefing_metrics", lambda i: briefing_from_views(i.views, _commissioning(i)), _briefing_sql())
+QUERIES["b7_briefing"] = QUERIES["p4_briefing_metrics"]
+ORACLES["b7_briefing"] = ORACLES["p4_briefing_metrics"]
+
+
+def _sizes(relations: dict[str, DataFrame], keep: tuple[str, ...]) -> DataFrame:
+    out = None
+    for name in keep:
+        part = relations[name].groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "run_id", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("p5_profile_sweeps", """SELECT 'coverage' AS relation, run_id, 1 AS n FROM frequencies GROUP BY run_id
+    UNION ALL SELECT 'coverage_by_band', run_id, count(DISTINCT band) FROM frequencies GROUP BY run_id
+    UNION ALL SELECT 'features', run_id, count(*) FROM observations GROUP BY run_id
+    UNION ALL SELECT 'channel_occupancy', run_id, count(DISTINCT (band, frequency_mhz, channel)) FROM observations GROUP BY run_id
+    UNION ALL SELECT 'radio_family_names', run_id, count(DISTINCT (substr(bssid, 4, 13), ssid)) FROM observations GROUP BY run_id""")
+def p5(i):
+    from quietband.plans.profile import profile_sweeps
+
+    return _sizes(profile_sweeps(i.frequencies, i.observations),
+                  ("coverage", "coverage_by_band", "features", "channel_occupancy", "radio_family_names"))
+
+
+@query("p6_census_captures", """SELECT 'truncation' AS relation, run_id, 1 AS n FROM frames GROUP BY run_id
+    UNION ALL SELECT 'elements', run_id, count(DISTINCT (namespace, element)) FROM elements GROUP BY run_id
+    UNION ALL SELECT 'observed', run_id, count(*) FROM observed GROUP BY run_id
+    UNION ALL SELECT 'advertisements', run_id, count(*) FROM adverts GROUP BY run_id
+    UNION ALL SELECT 'bss_load', run_id, count(*) FROM bss_load GROUP BY run_id
+    UNION ALL SELECT 'rnr', run_id, count(*) FROM rnr GROUP BY run_id""")
+def p6(i):
+    from quietband.plans.census import census_captures
+
+    return _sizes(census_captures(i.frames, i.captures), ("truncation", "elements", "observed", "advertisements", "bss_load", "rnr"))
+
+
+# =========================================================================================
+# Extensions: run-to-run comparisons
+# =========================================================================================
+
+# Two neighboring hours of the series.
+_BEFORE, _AFTER = "20240110-000012", "20240110-010019"
+simple("x1_churn", lambda i: X.churn(i.observations, _BEFORE, _AFTER),
+       f"""SELECT coalesce(a.bssid, b.bssid) AS bssid, CASE WHEN b.bssid IS NULL THEN 'lost' ELSE 'gained' END AS change
+       FROM (SELECT DISTINCT bssid FROM observations WHERE run_id = '{_BEFORE}') a
+       FULL JOIN (SELECT DISTINCT bssid FROM observations WHERE run_id = '{_AFTER}') b ON a.bssid = b.bssid WHERE a.bssid IS NULL OR b.bssid IS NULL""")
+simple("x2_rssi_shift", lambda i: X.rssi_shift(i.observations.withColumn("run_id", F.substring("run_id", 1, 8)), "20240110", "20240111"),
+       """SELECT a.bssid, a.frequency_mhz, a.m AS before_dbm, b.m AS after_dbm, b.m - a.m AS delta_db
+       FROM (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM observations WHERE substr(run_id, 1, 8) = '20240110' GROUP BY 1, 2) a
+       JOIN (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM observations WHERE substr(run_id, 1, 8) = '20240111' GROUP BY 1, 2) b
+         ON a.bssid = b.bssid AND a.frequency_mhz = b.frequency_mhz WHERE a.m IS NOT NULL AND b.m IS NOT NULL""")
+simple("x3_sweep_comparison", lambda i: X.sweep_comparison(i.observations),
+       """SELECT run_id, count(DISTINCT (band, frequency_mhz)) AS populated, CAST(sum(beacons) AS BIGINT) AS beacons, min(rssi_mean_dbm) AS weakest_mean_dbm,
+       count(DISTINCT CASE WHEN band = '2.4GHz' THEN bssid END) AS bssids_2_4, count(DISTINCT CASE WHEN band = '5GHz' THEN bssid END) AS bssids_5,
+       count(DISTINCT CASE WHEN band = '6GHz' THEN bssid END) AS bssids_6, count(DISTINCT bssid) AS bssids FROM observations GROUP BY run_id""")
+simple("x4_outcome_by_regime", lambda i: X.outcome_by_regime(i.frequencies),
+       """SELECT regulatory_state, sample_status, count(*) AS rows, count(DISTINCT run_id) AS runs FROM frequencies WHERE band = '6GHz' GROUP BY 1, 2""")
+simple("x5_count_reconciliation", lambda i: X.count_reconciliation(i.observations, i.staged_table("observations")),
+       """SELECT run_id, count(*) AS source_rows, 0 AS derived_rows FROM observations WHERE run_id NOT IN (SELECT run_id FROM core_ok) GROUP BY 1""")
+simple("x6_tallies", lambda i: X.tallies(i.rnr),
+       """SELECT structure_status, target_band, tx_bssid IS NULL OR frame_number IS NULL AS identity_missing, count(*) AS rows FROM rnr GROUP BY ALL""")
