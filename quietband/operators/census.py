@@ -64,8 +64,8 @@ def radiotap_population(
     per_frame = F.coalesce(F.try_divide(F.col("n_values"), F.col("present")), F.lit(0.0))
     return wide.select("run_id", "pcap_file", "frames", F.inline(rows)).select(
         "run_id", "pcap_file", "field", "frames", "present",
-        F.round(100.0 * F.col("present") / F.col("frames"), 0).alias("present_pct"),
-        F.round(per_frame, 2).alias("values_per_frame"), "set_true",
+        (100 * F.col("present") / F.col("frames")).alias("present_pct"),
+        per_frame.alias("values_per_frame"), "set_true",
         F.when(F.col("present") == 0, "ABSENT")
         .when(per_frame > 1.5, "POPULATED_REPEATED")
         .when(F.col("field").endswith("badfcs"), "POPULATED_FLAG")

@@ -160,18 +160,36 @@ def latest_manifests(manifests: DataFrame) -> DataFrame:
     ).select("run_id", "m.*")
 
 
-def gated(rows: DataFrame, manifests: DataFrame, table: str) -> DataFrame:
-    """Rows of runs whose extraction status lets this table count.
+def _admits(table: str):
+    """Whether a manifest status lets a table's rows count.
 
     ``succeeded`` admits every table, ``partial`` the core ones, ``failed`` the run row only.
-    Where rows carry a ``batch``, only the batch the manifest names counts.
     """
-    admitted = manifests
-    if table in C.ADVANCED_TABLES:
-        admitted = manifests.where(F.col("status") == "succeeded")
-    elif table != "run":
-        admitted = manifests.where(F.col("status").isin("succeeded", "partial"))
-    if "batch" not in rows.columns:
-        return rows.join(admitted.select("run_id"), "run_id", "left_semi")
-    keys = admitted.select("run_id", F.col("derived_version").alias("batch"))
-    return rows.join(keys, ["run_id", "batch"], "left_semi")
+    if table == "run":
+        return F.lit(True)
+    allowed = ("succeeded",) if table in C.ADVANCED_TABLES else ("succeeded", "partial")
+    return F.coalesce(F.col("status").isin(*allowed), F.lit(False))
+
+
+def gated(rows: DataFrame, manifests: DataFrame, table: str) -> DataFrame:
+    """Rows of runs whose extraction status lets this table count."""
+    return rows.join(manifests.where(_admits(table)).select("run_id"), "run_id", "left_semi")
+
+
+def gated_batches(rows: DataFrame, history: DataFrame, table: str) -> DataFrame:
+    """Stored rows that count, given every manifest ever written.
+
+    Rows are excluded rather than admitted: the (run, batch) pairs to drop - re-derived, or of
+    a status that does not admit the table - are few in a healthy series, while the admitted
+    ones grow with it.  Batches without any manifest belong to jobs that never finished; that
+    check is on the partition column and prunes whole folders.
+    """
+    keys = history.select("run_id", "status", F.col("derived_version").alias("batch"))
+    newest = keys.groupBy("run_id").agg(F.max("batch").alias("newest"))
+    dropped = (
+        keys.join(newest, "run_id")
+        .where((F.col("batch") != F.col("newest")) | ~_admits(table))
+        .select("run_id", "batch")
+    )
+    finished = keys.select("batch").distinct()
+    return rows.join(finished, "batch", "left_semi").join(dropped, ["run_id", "batch"], "left_anti")

@@ -193,6 +193,45 @@ def not_observed_counts(rnr: DataFrame, observations: DataFrame) -> DataFrame:
     )
 
 
+def address_evidence(observations: DataFrame, rnr: DataFrame) -> DataFrame:
+    """Direct, advertised and advertised-but-unheard counts per run in one pass.
+
+    Both inputs are reduced to one row per (run, address) and meet in a single full outer
+    join on that key, so each is scanned once and the join reuses the aggregates' shuffle.
+    """
+    single = F.col("structure_status") == C.SINGLE
+    six = single & (F.col("target_band") == "6GHz")
+    has = lambda cond: F.max(F.coalesce(cond, F.lit(False)))
+    heard = observations.groupBy("run_id", F.col("bssid").alias("address")).agg(
+        F.lit(True).alias("heard"),
+        has(F.col("band") == "6GHz").alias("direct"),
+        F.sum(F.when(F.col("band") == "6GHz", F.col("beacons"))).alias("beacons"),
+    )
+    pairs = rnr.groupBy("run_id", "tx_bssid", F.col("neighbor_bssid").alias("address")).agg(
+        has(six).alias("six"),
+        has(six & radio.view_disabled(F.col("disabled_link"))).alias("off"),
+        has(six & radio.view_enabled_or_unknown(F.col("disabled_link"))).alias("on"),
+        has(single & (F.col("target_band") == "unknown")).alias("unresolved"),
+        F.count_if(F.col("structure_status") == C.MULTI).alias("ambiguous"),
+    )
+    named = F.col("tx_bssid").isNotNull() & F.col("address").isNotNull()
+    neighbors = pairs.groupBy("run_id", "address").agg(
+        F.count_if(named & F.col("six")).alias("six"), F.count_if(named & F.col("off")).alias("off"),
+        F.count_if(named & F.col("unresolved")).alias("unresolved"),
+        F.sum("ambiguous").alias("ambiguous"),
+        F.bool_or(F.col("address").isNotNull() & F.col("on")).alias("on"),
+    )
+    return heard.join(neighbors, ["run_id", "address"], "full_outer").groupBy("run_id").agg(
+        F.count_if(F.col("direct") & F.col("address").isNotNull()).alias("direct_bssids"),
+        F.sum("beacons").alias("direct_beacons"),
+        F.sum("six").alias("advertised_6ghz_neighbors"),
+        F.sum("off").alias("advertised_6ghz_disabled_links"),
+        F.sum("unresolved").alias("unresolved_operating_classes"),
+        F.sum("ambiguous").alias("ambiguous_rnr_rows"),
+        F.count_if(F.col("on") & F.col("heard").isNull()).alias("advertised_not_observed_nonconcurrent"),
+    )
+
+
 def evidence_6ghz(
     frequencies: DataFrame, observations: DataFrame, rnr: DataFrame, health: DataFrame
 ) -> DataFrame:
@@ -203,15 +242,12 @@ def evidence_6ghz(
         "unresolved_operating_classes", "ambiguous_rnr_rows",
         "advertised_not_observed_nonconcurrent",
     )
-    out = _trend(health)
-    for part in (
-        direct_6ghz(observations),
-        frequency_states_6ghz(frequencies),
-        neighbor_state(rnr),
-        not_observed_counts(rnr, observations),
-    ):
-        out = out.join(part, "run_id", "left")
-    return out.select("run_id", "started_utc", *[_zero(n) for n in names])
+    return (
+        _trend(health)
+        .join(frequency_states_6ghz(frequencies), "run_id", "left")
+        .join(address_evidence(observations, rnr), "run_id", "left")
+        .select("run_id", "started_utc", *[_zero(n) for n in names])
+    )
 
 
 def readable_evidence_6ghz(

@@ -116,9 +116,9 @@ def reception_bounds(observations: DataFrame, frequencies: DataFrame) -> DataFra
     seconds = F.coalesce("dwell_seconds", F.lit(C.DEFAULT_DWELL_SECONDS)).cast("bigint")
     return joined.select(
         "run_id", seconds.alias("dwell_seconds"), "beacon_interval_tu",
-        F.round(seconds / (F.col("beacon_interval_tu") * F.lit(C.TU_SECONDS)), 1).alias("expected_count"),
+        (seconds / (F.col("beacon_interval_tu") * F.lit(C.TU_SECONDS))).alias("expected_count"),
         "best_count", "max_ratio",
-        F.round((1 - F.col("max_ratio")) * 100, 1).alias("shortfall_pct"),
+        ((1 - F.col("max_ratio")) * 100).alias("shortfall_pct"),
         F.coalesce("at_bound", F.lit(0)).alias("at_bound"), "observations",
     )
 
@@ -140,10 +140,10 @@ def identity_summary(features: DataFrame) -> DataFrame:
     )
     return totals.select(
         "run_id", "bssids", "radio_families",
-        F.round(F.col("bssids") / F.col("radio_families"), 2).alias("bssids_per_radio"),
+        (F.col("bssids") / F.col("radio_families")).alias("bssids_per_radio"),
         "locally_administered",
         (F.col("bssids") - F.col("locally_administered")).alias("globally_administered"),
-        F.round(F.col("locally_administered") * 100.0 / F.col("bssids"), 1).alias("locally_administered_pct"),
+        (F.col("locally_administered") * 100 / F.col("bssids")).alias("locally_administered_pct"),
         "multicast",
     )
 
@@ -162,7 +162,7 @@ def radio_families(features: DataFrame) -> DataFrame:
     return per_band.groupBy("run_id", "radio_family").agg(
         F.count("bssid").alias("bssids"),
         F.array_join(F.array_compact(F.array(*[seen(b) for b in C.BANDS])), "/").alias("bands"),
-        F.round(F.try_divide(F.sum("rssi_sum"), F.sum("rssi_n")), 1).alias("mean_rssi_dbm"),
+        F.try_divide(F.sum("rssi_sum"), F.sum("rssi_n")).alias("mean_rssi_dbm"),
     )
 
 
@@ -231,9 +231,9 @@ def rf_profile(observations: DataFrame) -> DataFrame:
     )
     return per_address.groupBy("run_id", "band").agg(
         F.sum("obs").alias("obs"), F.count("bssid").alias("bssids"), F.min("lo").alias("rssi_min"),
-        F.round(F.try_divide(F.sum("rssi_sum"), F.sum("rssi_n")), 2).alias("rssi_mean"),
+        F.try_divide(F.sum("rssi_sum"), F.sum("rssi_n")).alias("rssi_mean"),
         F.max("hi").alias("rssi_max"),
-        F.round(F.try_divide(F.sum("ratio_sum"), F.sum("ratio_n")), 2).alias("ratio_mean"),
+        F.try_divide(F.sum("ratio_sum"), F.sum("ratio_n")).alias("ratio_mean"),
     )
 
 

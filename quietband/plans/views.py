@@ -55,6 +55,6 @@ def build_views(
             )
         )
     health = H.build_run_health(classified, H.expected_slots(H.clock(spark, now), series))
-    views = assemble_views(D.read_derived(spark, derived_root, manifests), health)
+    views = assemble_views(D.read_derived(spark, derived_root), health)
     publish_views(spark, views)
     return views

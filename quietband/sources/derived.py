@@ -40,18 +40,24 @@ def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def read_manifest_table(spark: SparkSession, root: str) -> DataFrame:
-    """The newest manifest of each run; none at all is an empty relation."""
+def read_manifest_history(spark: SparkSession, root: str) -> DataFrame:
+    """Every manifest ever written; none at all is an empty relation."""
     path = f"{root}/manifests"
     if not _exists(spark, path):
         return spark.createDataFrame([], schemas.MANIFEST)
-    return I.latest_manifests(spark.read.schema(schemas.MANIFEST).json(path))
+    return spark.read.schema(schemas.MANIFEST).json(path)
+
+
+def read_manifest_table(spark: SparkSession, root: str) -> DataFrame:
+    """The newest manifest of each run."""
+    return I.latest_manifests(read_manifest_history(spark, root))
 
 
-def read_derived(spark: SparkSession, root: str, manifests: DataFrame) -> dict[str, DataFrame]:
+def read_derived(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The seven tables as the manifests admit them."""
+    history = read_manifest_history(spark, root)
     return {
-        table: I.gated(read_stored(spark, root, table), manifests, table).select(
+        table: I.gated_batches(read_stored(spark, root, table), history, table).select(
             *schemas.DERIVED[table].fieldNames()
         )
         for table in C.DERIVED_TABLES

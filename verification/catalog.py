@@ -328,7 +328,7 @@ def b3(i):
     JOIN observed o ON o.run_id = c.run_id AND o.bssid = c.bssid""")
 def b4(i):
     root = i.scratch("census")
-    table = K.ie_census_table(i.capabilities, K.observed_names(i.frames))
+    table = K.ie_census_table(i.derived_table("ie_capabilities"), K.observed_names(i.frames))
     OUT.write_census_tables({"ie-census": table, "rnr": K.rnr_census(i.rnr), "bss-load": K.load_census(i.frames)}, root)
     return i.spark.read.schema("run_id string, bssid string, ssid string, element_ids string").options(
         sep="\t", header=True, quote="", escape="", nullValue="\x00", emptyValue="").csv(f"{root}/ie-census.tsv")
@@ -388,10 +388,10 @@ for _n, (_view, _source) in enumerate(list(_VIEW_SQL.items())[:7], start=4):
     _table = C.DERIVED_TABLES[_n - 4]
     simple(f"c{_n}_{_view}", lambda i, t=_table: base_view(i.staged_table(t), t), f"SELECT {cols(schemas.DERIVED[_table])} FROM {_source}")
 simple("c11_rnr_records", lambda i: i.rnr, f"SELECT {cols(schemas.RNR)} FROM rnr")
-simple("c12_structure_status", lambda i: i.rnr.groupBy("structure_status", "unpaired_fields").agg(F.count("*").alias("n")),
+simple("c12_structure_status", lambda i: i.derived_table("rnr").groupBy("structure_status", "unpaired_fields").agg(F.count("*").alias("n")),
        "SELECT structure_status, unpaired_fields, count(*) AS n FROM rnr GROUP BY 1, 2")
 simple("c13_target_gate",
-       lambda i: i.rnr.groupBy("structure_status", "op_class", "channel", "target_band", "target_frequency_mhz").agg(F.count("*").alias("n")),
+       lambda i: i.derived_table("rnr").groupBy("structure_status", "op_class", "channel", "target_band", "target_frequency_mhz").agg(F.count("*").alias("n")),
        "SELECT structure_status, op_class, channel, target_band, target_frequency_mhz, count(*) AS n FROM rnr GROUP BY ALL")
 simple("c14_bss_load_records", lambda i: i.load, f"SELECT {cols(schemas.BSS_LOAD)} FROM bss_load")
 simple("c15_packet_identity",
@@ -400,13 +400,13 @@ simple("c15_packet_identity",
 simple("c16_in_trend", lambda i: M.trend_only(i.frequencies, i.health),
        f"SELECT {cols(schemas.FREQUENCIES)} FROM frequencies WHERE run_id IN (SELECT run_id FROM trend)")
 simple("c17_view_disabled",
-       lambda i: i.rnr.groupBy("disabled_link").agg(
+       lambda i: i.derived_table("rnr").groupBy("disabled_link").agg(
            F.count_if(radio.view_disabled(F.col("disabled_link"))).alias("disabled"),
            F.count_if(radio.view_enabled_or_unknown(F.col("disabled_link"))).alias("enabled_or_unknown")),
        """SELECT disabled_link, count(*) FILTER (disabled_link IN ('True', 'true', '1')) AS disabled,
        count(*) FILTER (disabled_link IS NULL OR disabled_link NOT IN ('True', 'true', '1')) AS enabled_or_unknown FROM rnr GROUP BY 1""")
 simple("c18_census_disabled",
-       lambda i: i.rnr.groupBy("raw_disabled_link").agg(F.count_if(radio.census_disabled(F.col("raw_disabled_link"))).alias("disabled")),
+       lambda i: i.derived_table("rnr").groupBy("raw_disabled_link").agg(F.count_if(radio.census_disabled(F.col("raw_disabled_link"))).alias("disabled")),
        "SELECT raw_disabled_link, count(*) FILTER (lower(trim(raw_disabled_link)) IN ('1', 'true', 'yes', 'set')) AS disabled FROM rnr GROUP BY 1")
 simple("c19_not_regulatory_skip", lambda i: M.not_regulatory_skip(i.frequencies),
        f"SELECT {cols(schemas.FREQUENCIES)} FROM frequencies WHERE sample_status <> 'regulatory_skip'")
@@ -548,7 +548,7 @@ simple("d3_band_join", lambda i: V.band_metrics(i.frequencies, i.observations.wh
     FROM (SELECT run_id, band, count(*) AS n FROM frequencies GROUP BY 1, 2) f JOIN trend t ON t.run_id = f.run_id
     LEFT JOIN (SELECT run_id, band, count(DISTINCT bssid) AS n FROM observations WHERE beacons > 100 GROUP BY 1, 2) o
       ON o.run_id = f.run_id AND o.band = f.band""")
-simple("d4_capability_join", lambda i: V.capability_metrics(i.capabilities, i.health).select("run_id", "started_utc", "observed_bssids"),
+simple("d4_capability_join", lambda i: V.capability_metrics(i.derived_table("ie_capabilities"), i.health).select("run_id", "started_utc", "observed_bssids"),
        "SELECT t.run_id, t.started_utc, count(*) AS observed_bssids FROM capabilities x JOIN trend t ON t.run_id = x.run_id GROUP BY 1, 2")
 simple("d5_trend_semi_join", lambda i: M.trend_only(i.observations, i.health).groupBy("run_id").agg(F.count("*").alias("n")),
        "SELECT run_id, count(*) AS n FROM observations WHERE run_id IN (SELECT run_id FROM trend) GROUP BY run_id")
@@ -581,7 +581,7 @@ def with_pool(sql: str) -> str:
 
 @query("d9_neighbor_outcomes")
 def d9(i):
-    return K.neighbor_outcomes(K.advertisements(i.rnr), K.observed_names(i.frames))
+    return K.neighbor_outcomes(K.advertisements(i.derived_table("rnr")), K.observed_names(i.frames))
 
 
 ORACLES["d9_neighbor_outcomes"] = with_pool(_OUTCOME_SQL)
@@ -600,7 +600,7 @@ ORACLES["d9_outcome_totals"] = with_pool(f"""SELECT run_id, count(*) FILTER (out
 
 @query("d10_short_ssid_resolution")
 def d10(i):
-    rows = K.resolve_short_ssids(K.advertisements(i.rnr), K.observed_names(i.frames))
+    rows = K.resolve_short_ssids(K.advertisements(i.derived_table("rnr")), K.observed_names(i.frames))
     return rows.select("run_id", "tx_bssid", "neighbor", "op_class", "channel", "short_ssid", "disabled_link", "bss_params",
                        "mld_link_id", "tx_ssid", "beacons", "neighbor_ssid")
 
@@ -666,7 +666,7 @@ def _decisions(i: Inputs) -> DataFrame:
 simple("d12_reprocess_decision", _decisions, f"SELECT run_id, reason, reason <> 'unchanged' AS needed FROM (SELECT run_id, {_REASON} AS reason FROM runs) r")
 simple("d14_unreconciled", lambda i: I.unreconciled_runs(i.classified, i.manifests),
        "SELECT run_id FROM classified WHERE eligible AND attempt_state <> 'running' AND run_id NOT IN (SELECT run_id FROM manifests)")
-simple("d15_census_names", lambda i: K.ie_census_table(i.capabilities, K.observed_names(i.frames)),
+simple("d15_census_names", lambda i: K.ie_census_table(i.derived_table("ie_capabilities"), K.observed_names(i.frames)),
        "SELECT x.run_id, x.bssid, coalesce(o.ssid, '') AS ssid, x.elements AS element_ids FROM capabilities x LEFT JOIN observed o ON o.run_id = x.run_id AND o.bssid = x.bssid")
 
 # =========================================================================================
@@ -751,8 +751,8 @@ simple("e21_positive_control", lambda i: P.positive_control(i.frequencies),
 _MODE = "(SELECT run_id, {0} FROM (SELECT run_id, {0}, row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, {0}) AS place FROM {1} GROUP BY 1, 2) m WHERE place = 1)"
 simple("e22_reception_bounds", lambda i: P.reception_bounds(i.observations, i.frequencies),
        f"""SELECT t.run_id, coalesce(d.dwell_seconds, 10) AS dwell_seconds, n.beacon_interval_tu,
-       round(coalesce(d.dwell_seconds, 10) / (n.beacon_interval_tu * CAST(0.001024 AS DOUBLE)), 1) AS expected_count, t.best_count, t.max_ratio,
-       round((1 - t.max_ratio) * 100, 1) AS shortfall_pct,
+       coalesce(d.dwell_seconds, 10) / (n.beacon_interval_tu * CAST(0.001024 AS DOUBLE)) AS expected_count, t.best_count, t.max_ratio,
+       (1 - t.max_ratio) * 100 AS shortfall_pct,
        (SELECT count(*) FROM observations o WHERE o.run_id = t.run_id AND o.beacon_reception_ratio >= t.max_ratio - 1e-9) AS at_bound, t.observations
        FROM (SELECT run_id, max(beacons) AS best_count, max(beacon_reception_ratio) AS max_ratio, count(*) AS observations FROM observations GROUP BY 1) t
        JOIN {_MODE.format('beacon_interval_tu', '(SELECT * FROM observations WHERE beacon_interval_tu IS NOT NULL) oo')} n ON n.run_id = t.run_id
@@ -761,13 +761,13 @@ _LOCAL = "CAST('0x' || substr(bssid, 1, 2) AS BIGINT) & 2 <> 0"
 _FAM = "substr(bssid, 4, 12) || substr(bssid, 16, 1) || '_'"
 _features = lambda i: P.observation_features(i.observations)
 simple("e23_identity_summary", lambda i: P.identity_summary(_features(i)),
-       f"""SELECT run_id, bssids, radio_families, round(bssids / radio_families, 2) AS bssids_per_radio, l AS locally_administered,
-       bssids - l AS globally_administered, round(l * 100.0 / bssids, 1) AS locally_administered_pct, multicast FROM (
+       f"""SELECT run_id, bssids, radio_families, bssids / radio_families AS bssids_per_radio, l AS locally_administered,
+       bssids - l AS globally_administered, l * 100 / bssids AS locally_administered_pct, multicast FROM (
          SELECT run_id, count(DISTINCT bssid) AS bssids, count(DISTINCT {_FAM}) AS radio_families, count(DISTINCT CASE WHEN {_LOCAL} THEN bssid END) AS l,
          count(DISTINCT CASE WHEN CAST('0x' || substr(bssid, 1, 2) AS BIGINT) & 1 <> 0 THEN bssid END) AS multicast FROM observations GROUP BY 1) q""")
 simple("e24_radio_families", lambda i: P.radio_families(_features(i)),
        f"""SELECT run_id, {_FAM} AS radio_family, count(DISTINCT bssid) AS bssids, array_to_string(list_sort(list(DISTINCT band)), '/') AS bands,
-       round(avg(rssi_mean_dbm), 1) AS mean_rssi_dbm FROM observations GROUP BY 1, 2""")
+       avg(rssi_mean_dbm) AS mean_rssi_dbm FROM observations GROUP BY 1, 2""")
 simple("e24_radio_family_names", lambda i: P.radio_family_names(_features(i)),
        f"SELECT DISTINCT run_id, {_FAM} AS radio_family, CASE WHEN ssid = '' THEN '<hidden>' ELSE ssid END AS ssid FROM observations")
 _FEATURED = "(SELECT *, ssid AS s FROM observations)"
@@ -785,8 +785,8 @@ simple("e26_shared_services", lambda i: P.shared_services(_features(i)),
 simple("e27_provider_counts", lambda i: P.provider_counts(_features(i)),
        f"SELECT run_id, provider_family, count(*) AS bssids FROM ({_FIRST}) a WHERE provider_family IS NOT NULL GROUP BY 1, 2")
 simple("e28_rf_profile", lambda i: P.rf_profile(i.observations),
-       """SELECT run_id, band, count(*) AS obs, count(DISTINCT bssid) AS bssids, min(rssi_min_dbm) AS rssi_min, round(avg(rssi_mean_dbm), 2) AS rssi_mean,
-       max(rssi_max_dbm) AS rssi_max, round(avg(beacon_reception_ratio), 2) AS ratio_mean FROM observations GROUP BY 1, 2""")
+       """SELECT run_id, band, count(*) AS obs, count(DISTINCT bssid) AS bssids, min(rssi_min_dbm) AS rssi_min, avg(rssi_mean_dbm) AS rssi_mean,
+       max(rssi_max_dbm) AS rssi_max, avg(beacon_reception_ratio) AS ratio_mean FROM observations GROUP BY 1, 2""")
 simple("e29_channel_occupancy", lambda i: P.channel_occupancy(i.observations),
        """SELECT run_id, band, frequency_mhz, channel, count(DISTINCT bssid) AS bssids, CAST(sum(beacons) AS BIGINT) AS beacons
        FROM observations GROUP BY 1, 2, 3, 4""")
@@ -823,8 +823,8 @@ def _probe_sql() -> str:
     for name in C.RADIOTAP_PROBE:
         verdict = ("CASE WHEN present = 0 THEN 'ABSENT' WHEN vals / present > 1.5 THEN 'POPULATED_REPEATED' "
                    + ("ELSE 'POPULATED_FLAG' END" if name.endswith("badfcs") else "ELSE 'POPULATED' END"))
-        parts.append(f"""SELECT run_id, pcap_file, '{name}' AS field, frames, present, round(100.0 * present / frames, 0) AS present_pct,
-            CASE WHEN present = 0 THEN 0.0 ELSE round(vals / present, 2) END AS values_per_frame, CAST(lit AS BIGINT) AS set_true, {verdict} AS verdict FROM (
+        parts.append(f"""SELECT run_id, pcap_file, '{name}' AS field, frames, present, 100 * present / frames AS present_pct,
+            CASE WHEN present = 0 THEN 0.0 ELSE vals / present END AS values_per_frame, CAST(lit AS BIGINT) AS set_true, {verdict} AS verdict FROM (
             SELECT run_id, pcap_file, count(*) AS frames, count(*) FILTER (len({name}) > 0) AS present, coalesce(sum(len({name})), 0) AS vals,
             coalesce(sum(len(list_filter({name}, lambda v: v IN ('1', 'True')))), 0) AS lit FROM chosen GROUP BY 1, 2) q""")
     return " UNION ALL ".join(parts)
@@ -837,11 +837,11 @@ simple("e34_radiotap_population", lambda i: K.radiotap_population(i.frames, i.ca
 simple("e35_truncation", lambda i: K.truncation(i.frames),
        """SELECT run_id, count(*) AS frames, max(captured_length) AS largest_captured,
        count(*) FILTER (captured_length < wire_length) AS truncated FROM frames GROUP BY 1""")
-simple("e36_advertisements", lambda i: K.advertisements(i.rnr).drop("first"), "SELECT * EXCLUDE (first_file, first_frame) FROM adverts")
-simple("e36_ambiguous", lambda i: K.ambiguous_reports(i.rnr),
+simple("e36_advertisements", lambda i: K.advertisements(i.derived_table("rnr")).drop("first"), "SELECT * EXCLUDE (first_file, first_frame) FROM adverts")
+simple("e36_ambiguous", lambda i: K.ambiguous_reports(i.derived_table("rnr")),
        "SELECT run_id, count(*) AS rows, count(*) FILTER (structure_status <> 'single_occurrence') AS skipped_ambiguous FROM rnr GROUP BY 1")
 _DIG = lambda x: f"CASE WHEN regexp_full_match({x}, '[0-9]+') THEN CAST({x} AS BIGINT) END"
-simple("e37_load_ranges", lambda i: K.load_ranges(i.load),
+simple("e37_load_ranges", lambda i: K.load_ranges(i.derived_table("bss_load")),
        f"""SELECT *, utilization_min * 100 // 255 AS utilization_min_pct, utilization_max * 100 // 255 AS utilization_max_pct FROM (
        SELECT run_id, bssid, arg_min(ssid, (pcap_file, frame_number)) AS ssid, count(*) AS frames,
        min({_DIG('raw_utilization')}) AS utilization_min, max({_DIG('raw_utilization')}) AS utilization_max,
@@ -1076,5 +1076,5 @@ simple("x4_outcome_by_regime", lambda i: X.outcome_by_regime(i.frequencies),
        """SELECT regulatory_state, sample_status, count(*) AS rows, count(DISTINCT run_id) AS runs FROM frequencies WHERE band = '6GHz' GROUP BY 1, 2""")
 simple("x5_count_reconciliation", lambda i: X.count_reconciliation(i.observations, i.staged_table("observations")),
        """SELECT run_id, count(*) AS source_rows, 0 AS derived_rows FROM observations WHERE run_id NOT IN (SELECT run_id FROM core_ok) GROUP BY 1""")
-simple("x6_tallies", lambda i: X.tallies(i.rnr),
+simple("x6_tallies", lambda i: X.tallies(i.derived_table("rnr")),
        """SELECT structure_status, target_band, tx_bssid IS NULL OR frame_number IS NULL AS identity_missing, count(*) AS rows FROM rnr GROUP BY ALL""")

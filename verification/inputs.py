@@ -23,6 +23,7 @@ ALL_FIELDS = [f for candidates in C.FIELD_CANDIDATES.values() for f in candidate
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._derived: dict[str, DataFrame] = {}
 
     def _sql(self, text: str) -> DataFrame:
         return self.spark.sql(text.replace("FROM ev", "FROM quietband_ev"))
@@ -44,25 +45,31 @@ class Inputs:
         self.ev.createOrReplaceTempView("quietband_ev")
         return self._sql(text)
 
+    def stored(self, label: str, rows: DataFrame) -> DataFrame:
+        """The relation as a written table, so queries start from parquet as jobs do."""
+        path = self.scratch(label)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     @cached_property
     def frequencies(self) -> DataFrame:
-        return self.mapped(SPARK.frequencies())
+        return self.stored("frequencies", self.mapped(SPARK.frequencies()))
 
     @cached_property
     def observations(self) -> DataFrame:
-        return self.mapped(SPARK.observations())
+        return self.stored("observations", self.mapped(SPARK.observations()))
 
     @cached_property
     def frames(self) -> DataFrame:
-        return self.mapped(SPARK.frames())
+        return self.stored("frames", self.mapped(SPARK.frames()))
 
     @cached_property
     def captures(self) -> DataFrame:
-        return self.mapped(SPARK.captures())
+        return self.stored("captures", self.mapped(SPARK.captures()))
 
     @cached_property
     def runs(self) -> DataFrame:
-        return self.mapped(SPARK.runs())
+        return self.stored("runs", self.mapped(SPARK.runs()))
 
     # --- Registry, health and manifests ---------------------------------------------------
 
@@ -135,8 +142,13 @@ class Inputs:
         return {name: self.derived_table(name) for name in C.DERIVED_TABLES}
 
     def derived_table(self, name: str) -> DataFrame:
+        """A table of the derived layer; the ones computed from frames are stored once."""
+        if name in ("run", "frequencies", "observations"):
+            return getattr(self, name)
         attribute = {"ie_capabilities": "capabilities", "bss_load": "load", "field_resolution": "resolution"}
-        return getattr(self, attribute.get(name, name))
+        if name not in self._derived:
+            self._derived[name] = self.stored(name, getattr(self, attribute.get(name, name)))
+        return self._derived[name]
 
     def staged_table(self, name: str) -> DataFrame:
         """A derived table as the manifests admit it."""
