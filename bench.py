@@ -7,7 +7,7 @@ import os
 import time
 
 from quietband.session import build_session
-from verification.catalog import QUERIES
+from verification.catalog import QUERIES, wire_captures
 from verification.inputs import Inputs
 
 HEADLINE = (
@@ -49,6 +49,7 @@ def main() -> None:
         getattr(inputs, name)
     for name in ("frequencies", "observations", "ie_capabilities", "rnr", "bss_load", "field_resolution"):
         inputs.derived_table(name)
+    wire_captures(inputs)
     prepare = round(time.perf_counter() - start, 3)
 
     for key in HEADLINE:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quietband import config as C
@@ -172,26 +174,24 @@ def findings(
 
 # --- Long form --------------------------------------------------------------------------------
 
-_SHAPE = ("section", "metric", "run_id", "numerator", "denominator", "value", "label")
+_SHAPE = {"metric": "STRING", "run_id": "STRING", "numerator": "BIGINT", "denominator": "BIGINT",
+          "value": "DOUBLE", "label": "STRING"}
 
 
-def _long(df: DataFrame, section: str, rows: list[dict[str, Column]]) -> DataFrame:
-    """Unpivot named columns of `df` into briefing rows."""
-    kinds = {"metric": "string", "run_id": "string", "numerator": "bigint",
-             "denominator": "bigint", "value": "double", "label": "string"}
-    cells = F.array(
-        *[
-            F.struct(*[r.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]) for r in rows
-        ]
-    )
-    return df.select(F.lit(section).alias("section"), F.inline(cells)).select(*_SHAPE)
+def _long(df: DataFrame, section: str, rows: list[dict[str, str]]) -> DataFrame:
+    """Unpivot columns of `df` into briefing rows; cells are SQL expressions."""
+    structs = [
+        "struct(" + ", ".join(f"CAST({r.get(k, 'NULL')} AS {t}) AS {k}" for k, t in _SHAPE.items()) + ")"
+        for r in rows
+    ]
+    return df.selectExpr(f"'{section}' AS section", f"inline(array({', '.join(structs)}))")
 
 
-def _count(name: str, numerator: Column, denominator: Column | None = None, **more) -> dict[str, Column]:
-    row = {"metric": F.lit(name), "numerator": numerator, **more}
-    if denominator is not None:
-        row["denominator"] = denominator
-        row["value"] = F.try_divide(numerator.cast("double"), denominator)
+def _count(name: str, column: str, of: str | None = None, **more: str) -> dict[str, str]:
+    """One number; with `of` also its denominator and the ratio."""
+    row = {"metric": f"'{name}'", "numerator": column, **more}
+    if of is not None:
+        row |= {"denominator": of, "value": f"try_divide(CAST({column} AS DOUBLE), {of})"}
     return row
 
 
@@ -201,49 +201,40 @@ def briefing_metrics(
     resolution: DataFrame, commissioning: DataFrame, recent: int = C.RECENT_RUNS,
 ) -> DataFrame:
     """Every briefing number as (section, metric, run_id, numerator, denominator, value, label)."""
-    c = F.col
+    zero = lambda n: f"coalesce({n}, 0)"
+    counts = (*C.ATTEMPT_STATES, C.COMMISSIONING, "discovered_series_attempts", "expected_slots")
+    shares = ("populated_frequencies", "sampled_empty_frequencies", "regulatory_skips", "capture_errors")
+    per_run = ("observed_bssids", "beacon_frames", "sampled_frequencies", "sampled_empty_frequencies")
     parts = [
-        _long(markers(run, health, hourly), _SCOPE, [{"metric": c("marker"), "label": c("text")}]),
-        _long(H.health_totals(health), _HEALTH, [
-            _count(n, c(n)) for n in (*C.ATTEMPT_STATES, C.COMMISSIONING, "discovered_series_attempts",
-                                      "expected_slots")]),
+        _long(markers(run, health, hourly), _SCOPE, [{"metric": "marker", "label": "text"}]),
+        _long(H.health_totals(health), _HEALTH, [_count(n, n) for n in counts]),
         _long(derivation_counts(run), _HEALTH, [
-            _count("derivation_status", c("runs"), label=c("extraction_status"))]),
+            _count("derivation_status", "runs", label="extraction_status")]),
         _long(coverage_totals(bands), _COVERAGE, [
-            _count(n, c(n), c("attempted_frequencies"), label=c("band"))
-            for n in ("populated_frequencies", "sampled_empty_frequencies", "regulatory_skips",
-                      "capture_errors")]
-            + [_count(n, c(n), label=c("band")) for n in ("observed_bssids", "beacon_frames")]),
+            *[_count(n, n, "attempted_frequencies", label="band") for n in shares],
+            *[_count(n, n, label="band") for n in ("observed_bssids", "beacon_frames")]]),
         _long(snapshot(hourly), _SNAPSHOT, [
-            {"metric": F.concat_ws("_", "measure", F.lit(s)), "value": c(s), "denominator": c("trend_runs")}
+            {"metric": f"measure || '_{s}'", "value": s, "denominator": "trend_runs"}
             for s in ("latest", "lowest", "median", "highest")]),
-        _long(omitted_runs(hourly, recent), _SNAPSHOT, [_count("omitted_runs", c("omitted"), c("trend_runs"))]),
+        _long(omitted_runs(hourly, recent), _SNAPSHOT, [_count("omitted_runs", "omitted", "trend_runs")]),
         _long(recent_runs(hourly, recent), _SNAPSHOT, [
-            _count(n, c(n), run_id=c("run_id"))
-            for n in ("observed_bssids", "beacon_frames", "sampled_frequencies", "sampled_empty_frequencies")]
-            + [{"metric": F.lit("mean_rssi_dbm"), "run_id": c("run_id"), "value": c("mean_rssi_dbm")}]),
+            *[_count(n, n, run_id="run_id") for n in per_run],
+            {"metric": "'mean_rssi_dbm'", "run_id": "run_id", "value": "mean_rssi_dbm"}]),
         _long(capability_totals(capabilities), _CAPABILITY, [
-            _count(n, F.coalesce(c(n), F.lit(0)), F.coalesce("observed_bssids", F.lit(0)))
-            for n in _CAPABILITIES]),
+            _count(n, zero(n), zero("observed_bssids")) for n in _CAPABILITIES]),
         _long(latest_row(capabilities), _CAPABILITY, [
-            _count(f"latest_{n}", c(n), c("observed_bssids"), run_id=c("run_id"))
-            for n in _LATEST_CAPABILITIES]),
-        _long(evidence_totals(evidence), _SIX, [_count(n, F.coalesce(c(n), F.lit(0))) for n in _EVIDENCE]),
-        _long(latest_row(evidence), _SIX, [
-            _count(f"latest_{n}", c(n), run_id=c("run_id")) for n in _EVIDENCE]),
+            _count(f"latest_{n}", n, "observed_bssids", run_id="run_id") for n in _LATEST_CAPABILITIES]),
+        _long(evidence_totals(evidence), _SIX, [_count(n, zero(n)) for n in _EVIDENCE]),
+        _long(latest_row(evidence), _SIX, [_count(f"latest_{n}", n, run_id="run_id") for n in _EVIDENCE]),
         _long(load_summary(load), _LOAD, [
-            _count(n, c(n)) for n in ("frames", "bssids", "runs", "stations_min", "stations_max")]
-            + [_count(n, c(n), F.lit(255)) for n in ("utilization_min", "utilization_max")]),
+            *[_count(n, n) for n in ("frames", "bssids", "runs", "stations_min", "stations_max")],
+            *[_count(n, n, "255") for n in ("utilization_min", "utilization_max")]]),
         _long(findings(run, health, rnr, resolution), _QUALITY, [
-            {"metric": c("finding"), "numerator": c("n"),
-                               "label": F.concat_ws(" ", "subject", "detail")}]),
+            {"metric": "finding", "numerator": "n", "label": "concat_ws(' ', subject, detail)"}]),
         _long(commissioning, _COMMISSIONING, [
-            _count(n, c(n), run_id=c("run_id")) for n in ("frequencies", "sampled", "observations", "bssids")]),
+            _count(n, n, run_id="run_id") for n in ("frequencies", "sampled", "observations", "bssids")]),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def in_section_order(briefing: DataFrame) -> DataFrame:

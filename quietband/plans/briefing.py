@@ -7,9 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from quietband.config import SeriesConfig
 from quietband.operators import briefing as B
 from quietband.plans import tree
+from quietband.session import run_together, scratch_path
 from quietband.sources.survey_files import read_commissioning
 
 
+# Views with one row per run, or per run and band: small, and read by several sections each.
+RUN_GRAIN = ("pilot_run_health", "pilot_hourly_metrics", "pilot_band_metrics",
+             "pilot_capability_metrics", "pilot_6ghz_evidence")
+
+
+def store_run_grain(spark: SparkSession, views: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The views with the run-grain ones stored, so each fact table is scanned once per view."""
+    base = scratch_path(spark, "briefing")
+    run_together(
+        [lambda n=n: views[n].write.parquet(f"{base}/{n}") for n in RUN_GRAIN]
+    )
+    stored = {n: spark.read.schema(views[n].schema).parquet(f"{base}/{n}") for n in RUN_GRAIN}
+    return {**views, **stored}
+
+
 def briefing_from_views(views: dict[str, DataFrame], commissioning: DataFrame) -> DataFrame:
     return B.briefing_metrics(
         run=views["pilot_runs"], health=views["pilot_run_health"],
@@ -25,4 +41,5 @@ def briefing(spark: SparkSession, root: str, views: dict[str, DataFrame], series
     frequencies, observations = read_commissioning(
         tree.frequencies(spark, root), tree.observations(spark, root), series.commissioning
     )
-    return briefing_from_views(views, B.commissioning_summary(frequencies, observations))
+    summary = B.commissioning_summary(frequencies, observations)
+    return briefing_from_views(store_run_grain(spark, views), summary)

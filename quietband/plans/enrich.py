@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from quietband import schemas
 from quietband.config import SeriesConfig
 from quietband.operators import enrichment as E
 from quietband.operators import incremental as I
+from quietband.operators.membership import inventory
 from quietband.plans import tree
+from quietband.session import run_together
 from quietband.sources import derived as D
 from quietband.sources.captures import decode_captures
 from quietband.sources.survey_files import source_files
@@ -39,15 +43,15 @@ def derive_tables(
 
 def enrich(
     spark: SparkSession, root: str, derived_root: str, batch: str, series: SeriesConfig,
-    runs: DataFrame | None = None, pruned: list[str] | None = None,
+    runs: DataFrame | None = None, pruned: list[str] | None = None, registry: DataFrame | None = None,
 ) -> None:
     """Derive `runs` (default: every eligible finished attempt) as one batch.
 
     Frames are decoded once into a stored table, so the Python decoder runs a single time and
     a lost executor re-reads files instead of re-decoding.  The manifest is written last.
     """
-    registry = tree.registry(spark, root)
-    classified = tree.classified(spark, root, series).where(
+    registry = tree.stored_registry(spark, root, derived_root, batch) if registry is None else registry
+    classified = inventory(registry, series).where(
         F.col("eligible") & (F.col("attempt_state") != C.RUNNING)
     )
 
@@ -58,21 +62,21 @@ def enrich(
         return rows.join(wanted, "run_id", "left_semi")
 
     frames_path = f"{derived_root}/frames/batch={batch}"
-    decode_captures(chosen(tree.captures(spark, root))).write.mode("overwrite").parquet(frames_path)
+    identity_path = f"{derived_root}/sources/batch={batch}"
+    run_together([
+        lambda: decode_captures(chosen(tree.captures(spark, root))).write.mode("overwrite").parquet(frames_path),
+        lambda: I.source_identity(chosen(source_files(spark, root))).write.mode("overwrite").parquet(identity_path),
+    ])
     frames = spark.read.schema(schemas.FRAMES).parquet(frames_path)
 
     tables = derive_tables(
         chosen(classified), registry, chosen(tree.frequencies(spark, root)),
         chosen(tree.observations(spark, root)), frames, series,
     )
-    for name in C.DERIVED_TABLES:
-        D.write_derived(tables[name], derived_root, name, batch)
+    run_together([partial(D.write_derived, tables[name], derived_root, name, batch) for name in C.DERIVED_TABLES])
 
     run = D.read_stored(spark, derived_root, "run").where(F.col("batch") == batch)
+    sources = spark.read.parquet(identity_path)
     D.write_manifests(
-        D.build_manifests(
-            run, I.source_identity(chosen(source_files(spark, root))),
-            D.batch_digests(spark, derived_root, batch), batch,
-        ),
-        derived_root,
+        D.build_manifests(run, sources, D.batch_digests(spark, derived_root, batch), batch), derived_root
     )

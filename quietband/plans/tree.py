@@ -26,6 +26,14 @@ def registry(spark: SparkSession, root: str) -> DataFrame:
     return S.assemble_registry(S.list_run_tree(spark, root), instruments, headers)
 
 
+def stored_registry(spark: SparkSession, root: str, derived_root: str, label: str) -> DataFrame:
+    """The registry as one stored snapshot, so every step of a job sees the same tree."""
+    path = f"{derived_root}/registry/batch={label}"
+    rows = registry(spark, root)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def classified(spark: SparkSession, root: str, series: SeriesConfig) -> DataFrame:
     return inventory(registry(spark, root), series)
 

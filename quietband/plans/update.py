@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quietband.config import SeriesConfig
 from quietband.operators import incremental as I
+from quietband.operators.membership import inventory
 from quietband.plans import tree
 from quietband.plans.enrich import enrich
 from quietband.sources import derived as D
@@ -17,9 +18,11 @@ from quietband.sources.survey_files import source_files
 PRUNED_RUNS = 5000
 
 
-def plan_update(spark: SparkSession, root: str, derived_root: str, series: SeriesConfig) -> DataFrame:
+def plan_update(
+    spark: SparkSession, root: str, derived_root: str, series: SeriesConfig, registry: DataFrame | None = None
+) -> DataFrame:
     """Outcome and reason of every eligible attempt."""
-    classified = tree.classified(spark, root, series)
+    classified = inventory(tree.registry(spark, root) if registry is None else registry, series)
     manifests = D.read_manifest_table(spark, derived_root)
     changed = I.changed_runs(I.recorded_sources(manifests), I.source_identity(source_files(spark, root)))
     damaged = I.damaged_outputs(
@@ -32,12 +35,15 @@ def plan_update(spark: SparkSession, root: str, derived_root: str, series: Serie
 
 def update(spark: SparkSession, root: str, derived_root: str, batch: str, series: SeriesConfig) -> DataFrame:
     """Derive what changed as one batch; returns the outcomes the decision was made on."""
+    registry = tree.stored_registry(spark, root, derived_root, batch)
     # The decision is stored first: deriving changes the very tables it was read from.
     outcomes_path = f"{derived_root}/outcomes/batch={batch}"
-    plan_update(spark, root, derived_root, series).write.mode("overwrite").parquet(outcomes_path)
-    outcomes = spark.read.parquet(outcomes_path)
+    planned = plan_update(spark, root, derived_root, series, registry)
+    planned.write.mode("overwrite").parquet(outcomes_path)
+    outcomes = spark.read.schema(planned.schema).parquet(outcomes_path)
     todo = outcomes.where(F.col("outcome") == "processed").select("run_id")
     head = [r.run_id for r in todo.limit(PRUNED_RUNS + 1).collect()]
     if head:
-        enrich(spark, root, derived_root, batch, series, todo, head if len(head) <= PRUNED_RUNS else None)
+        pruned = head if len(head) <= PRUNED_RUNS else None
+        enrich(spark, root, derived_root, batch, series, todo, pruned, registry)
     return outcomes

@@ -19,6 +19,7 @@ from quietband import schemas
 from quietband.sources.survey_files import path_file, path_run_id
 
 MAX_CAPTURE_BYTES = 2_000_000_000
+_BATCH_ROWS = 4096
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "array<int>": pa.list_(pa.int32()),
           "array<string>": pa.list_(pa.string())}
@@ -81,15 +82,27 @@ def decode_captures(captures: DataFrame) -> DataFrame:
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decode files one at a time; rows leave in batches of bounded size across files."""
+    rows: list[dict] = []
     for batch in batches:
         for run_id, name, content in zip(*(batch.column(i) for i in range(3))):
             identity = {"run_id": run_id.as_py(), "pcap_file": name.as_py()}
             try:
-                rows = [identity | row for row in _beacons(content.as_py())]
+                rows += [identity | row for row in _beacons(content.as_py())]
             except CaptureError as problem:
-                rows = [identity | {"error": f"{identity['pcap_file']}: {problem}"}]
-            for start in range(0, len(rows), 5000):
-                yield pa.RecordBatch.from_pylist(rows[start:start + 5000], schema=_FRAME_SCHEMA)
+                rows.append(identity | {"error": f"{identity['pcap_file']}: {problem}"})
+            while len(rows) >= _BATCH_ROWS:
+                yield _batch(rows[:_BATCH_ROWS])
+                del rows[:_BATCH_ROWS]
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[dict]) -> pa.RecordBatch:
+    columns = [
+        pa.array([row.get(field.name) for row in rows], type=field.type) for field in _FRAME_SCHEMA
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_FRAME_SCHEMA)
 
 
 def _packets(data: bytes):

@@ -24,7 +24,7 @@ from quietband.operators import membership as M
 from quietband.operators import metrics as V
 from quietband.operators import profile as P
 from quietband.operators import sweep_summary as S
-from quietband.plans.briefing import briefing_from_views
+from quietband.plans.briefing import briefing_from_views, store_run_grain
 from quietband.plans.views import base_view
 from quietband.sources import captures as CAP
 from quietband.sources import derived as D
@@ -133,6 +133,10 @@ def _le(value: str, size: int) -> str:
     return f"regexp_replace({digits}, '{groups}', '{back}')"
 
 
+def wire_captures(i: Inputs) -> DataFrame:
+    return i.stored_once("wire", lambda: _wire_frames(i))
+
+
 def _wire_frames(i: Inputs) -> DataFrame:
     """Capture bytes built from every event, at most 64 beacons per capture file."""
     op = "CASE k % 6 WHEN 0 THEN 81 WHEN 1 THEN 82 WHEN 2 THEN 115 WHEN 3 THEN 131 WHEN 4 THEN 136 ELSE 200 END"
@@ -196,7 +200,7 @@ _WIRE_SQL = f"""SELECT run_id, pcap_file, row_number() OVER (PARTITION BY run_id
 
 @query("a7_capture_decode", _WIRE_SQL)
 def a7(i):
-    frames = CAP.decode_captures(_wire_frames(i))
+    frames = CAP.decode_captures(wire_captures(i))
     return frames.select(
         "run_id", "pcap_file", "frame_number", "frame_time_epoch", "bssid", "ssid_hex", "interval_tu", "rssi_dbm",
         F.array_join("tags", ",").alias("tags"), F.array_join("exts", ",").alias("exts"),
@@ -1016,7 +1020,7 @@ def _briefing_sql() -> str:
 
 
 ORACLE_SNAP = " UNION ALL ".join(_SNAP.format(m) for m in ("observed_bssids", "beacon_frames"))
-simple("p4_briefing_metrics", lambda i: briefing_from_views(i.views, _commissioning(i)), _briefing_sql())
+simple("p4_briefing_metrics", lambda i: briefing_from_views(store_run_grain(i.spark, i.views), _commissioning(i)), _briefing_sql())
 QUERIES["b7_briefing"] = QUERIES["p4_briefing_metrics"]
 ORACLES["b7_briefing"] = ORACLES["p4_briefing_metrics"]
 

@@ -71,6 +71,12 @@ class Inputs:
     def runs(self) -> DataFrame:
         return self.stored("runs", self.mapped(SPARK.runs()))
 
+    def stored_once(self, label: str, build) -> DataFrame:
+        """A relation that is costly to map, stored at first use."""
+        if label not in self._derived:
+            self._derived[label] = self.stored(label, build())
+        return self._derived[label]
+
     # --- Registry, health and manifests ---------------------------------------------------
 
     @cached_property
@@ -146,9 +152,7 @@ class Inputs:
         if name in ("run", "frequencies", "observations"):
             return getattr(self, name)
         attribute = {"ie_capabilities": "capabilities", "bss_load": "load", "field_resolution": "resolution"}
-        if name not in self._derived:
-            self._derived[name] = self.stored(name, getattr(self, attribute.get(name, name)))
-        return self._derived[name]
+        return self.stored_once(name, lambda: getattr(self, attribute.get(name, name)))
 
     def staged_table(self, name: str) -> DataFrame:
         """A derived table as the manifests admit it."""
