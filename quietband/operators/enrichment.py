@@ -14,6 +14,7 @@ from quietband.functions.times import iso_stamp
 
 _IDENTITY = ("frame_number", "frame_time_epoch", "bssid")
 STANDARD, EXTENSION = "element", "extension"
+_EXTENSION_OFFSET = 256
 
 
 # --- Packet identity --------------------------------------------------------------------
@@ -50,18 +51,24 @@ def identified_frames(frames: DataFrame) -> DataFrame:
 def element_counts(frames: DataFrame) -> DataFrame:
     """Frames per (run, address, namespace, element); a frame counts an element once.
 
-    An address that sent no element keeps one row with a NULL element.
+    An address that sent no element keeps one row with a NULL element.  Both namespaces share
+    one integer key, extensions offset by 256, so a frame explodes into plain integers.
     """
-    tagged = lambda col, space: F.transform(
-        F.array_distinct(F.coalesce(F.col(col), F.array().cast("array<int>"))),
-        lambda e: F.struct(F.lit(space).alias("namespace"), e.alias("element")),
-    )
-    each = F.explode_outer(F.concat(tagged("tags", STANDARD), tagged("exts", EXTENSION)))
-    return (
-        frames.select("run_id", F.lower("bssid").alias("bssid"), each.alias("e"))
-        .groupBy("run_id", "bssid", "e.namespace", "e.element")
+    none = F.array().cast("array<int>")
+    tags, exts = (F.array_distinct(F.coalesce(F.col(c), none)) for c in ("tags", "exts"))
+    codes = F.concat(tags, F.transform(exts, lambda e: e + _EXTENSION_OFFSET))
+    counted = (
+        frames.select("run_id", F.lower("bssid").alias("bssid"), F.explode_outer(codes).alias("code"))
+        .groupBy("run_id", "bssid", "code")
         .agg(F.count("*").alias("frames"))
     )
+    extension = F.col("code") >= _EXTENSION_OFFSET
+    return counted.select(
+        "run_id", "bssid",
+        F.when(extension, EXTENSION).when(F.col("code").isNotNull(), STANDARD).alias("namespace"),
+        F.when(extension, F.col("code") - _EXTENSION_OFFSET).otherwise(F.col("code")).alias("element"),
+        "frames",
+    )
 
 
 def ie_capabilities(frames: DataFrame) -> DataFrame:
