@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quietband import config as C
@@ -32,19 +33,46 @@ def coverage_totals(bands: DataFrame) -> DataFrame:
     return bands.groupBy("band").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def snapshot(hourly: DataFrame) -> DataFrame:
-    """Latest, lowest, middle and highest value over the trend runs, one row per measure.
+def _medians(long: DataFrame) -> DataFrame:
+    """Exact median of `v` per measure, averaging the middle pair.
 
-    The exact median works on the counts of distinct values, not on collected rows.
+    Values are counted, the counts are summed per bucket of 1,024 neighboring values to find
+    the buckets holding the middle positions, and only those are ranked.  No task sees more
+    than the bucket list or the values of two buckets, however many runs there are.
     """
+    counts = long.groupBy("measure", "v").agg(F.count("*").alias("n"))
+    bucketed = counts.withColumn("bucket", F.floor(F.col("v") / 1024))
+    by_bucket = W.partitionBy("measure").orderBy("bucket")
+    ends = bucketed.groupBy("measure", "bucket").agg(F.sum("n").alias("held")).select(
+        "measure", "bucket", "held",
+        F.sum("held").over(by_bucket).alias("upto"),
+        F.sum("held").over(W.partitionBy("measure")).alias("total"),
+    )
+    # Positions of the middle pair, counted from 1; they coincide for an odd total.
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    middle = ends.where((F.col("upto") >= low) & (F.col("upto") - F.col("held") < high)).select(
+        "measure", "bucket", low.alias("low"), high.alias("high"), (F.col("upto") - F.col("held")).alias("before")
+    )
+    ranked = bucketed.join(middle, ["measure", "bucket"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(W.partitionBy("measure", "bucket").orderBy("v"))
+    )
+    at = lambda pos: F.min(F.when(F.col("upto") >= F.col(pos), F.col("v")))
+    return ranked.groupBy("measure").agg(((at("low") + at("high")) / 2).alias("median"))
+
+
+def snapshot(hourly: DataFrame) -> DataFrame:
+    """Latest, lowest, middle and highest value over the trend runs, one row per measure."""
     measures = ("observed_bssids", "beacon_frames")
     long = hourly.select(
         "run_id",
         F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in measures])),
     )
-    return long.groupBy("measure").agg(
+    extremes = long.groupBy("measure").agg(
         F.count("*").alias("trend_runs"), F.max_by("v", "run_id").alias("latest"),
-        F.min("v").alias("lowest"), F.median("v").alias("median"), F.max("v").alias("highest"),
+        F.min("v").alias("lowest"), F.max("v").alias("highest"),
+    )
+    return extremes.join(_medians(long), "measure").select(
+        "measure", "trend_runs", "latest", "lowest", "median", "highest"
     )
 
 
@@ -96,17 +124,18 @@ def extraction_failures(run: DataFrame) -> DataFrame:
 def load_summary(load: DataFrame) -> DataFrame:
     """BSS Load over the whole series.
 
-    Distinct addresses and distinct runs are counted from one row per (address, run), in two
-    aggregates, so the frames themselves are read and shuffled once.
+    Frames combine map-side to one row per address and one per run; the two short lists are
+    stacked and summed, which needs no expansion for the two distinct counts.
     """
-    pairs = load.groupBy("bssid", "run_id").agg(
+    addresses = load.groupBy("bssid").agg(
         F.count("*").alias("n"),
         F.min("station_count").alias("s_lo"), F.max("station_count").alias("s_hi"),
         F.min("utilization").alias("u_lo"), F.max("utilization").alias("u_hi"),
-    )
-    return pairs.agg(
+    ).withColumn("address", F.col("bssid").isNotNull()).drop("bssid")
+    runs = load.select("run_id").distinct().select(F.lit(True).alias("run"))
+    return addresses.unionByName(runs, allowMissingColumns=True).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("frames"),
-        F.count_distinct("bssid").alias("bssids"), F.count_distinct("run_id").alias("runs"),
+        F.count_if("address").alias("bssids"), F.count_if("run").alias("runs"),
         F.min("s_lo").alias("stations_min"), F.max("s_hi").alias("stations_max"),
         F.min("u_lo").alias("utilization_min"), F.max("u_hi").alias("utilization_max"),
     )

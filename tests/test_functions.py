@@ -149,3 +149,33 @@ def test_clock_before_start_expects_nothing(spark):
 def test_modal_interval_prefers_the_smallest_tie(spark):
     rows = spark.createDataFrame([("r", 102), ("r", 100), ("r", 102), ("r", 100), ("r", None)], "run_id string, v bigint")
     assert P._modal(rows, "v").first().v == 100
+
+
+def test_exact_median_across_buckets(spark):
+    import random
+    import statistics
+
+    from quietband.operators import briefing as B
+    for size in (1, 2, 7, 400, 401):
+        values = [random.Random(size).randrange(0, 5000) for _ in range(size)]
+        rows = spark.createDataFrame([("m", v) for v in values], "measure string, v bigint")
+        assert B._medians(rows).first().median == statistics.median(values)
+
+
+def test_neighbor_state_agrees_with_the_fused_evidence(spark):
+    import random
+    rng = random.Random(3)
+    rnr = spark.createDataFrame(
+        [(f"r{rng.randrange(3)}", rng.choice(["t", "u", None]), rng.choice(["a", "b", "c", None]),
+          rng.choice(["single_occurrence", "unpaired_multi_occurrence"]), rng.choice(["6GHz", "unknown", "5GHz", None]),
+          rng.choice([None, "1", "False"])) for _ in range(200)],
+        "run_id string, tx_bssid string, neighbor_bssid string, structure_status string, target_band string, disabled_link string")
+    obs = spark.createDataFrame(
+        [(f"r{rng.randrange(3)}", rng.choice("abxyz"), rng.choice(["6GHz", "5GHz"]), 2) for _ in range(12)],
+        "run_id string, bssid string, band string, beacons bigint")
+    names = ["advertised_6ghz_neighbors", "advertised_6ghz_disabled_links", "unresolved_operating_classes", "ambiguous_rnr_rows"]
+    fused = {r.run_id: r for r in V.address_evidence(obs, rnr).collect()}
+    for r in V.neighbor_state(rnr).collect():
+        assert [r[n] for n in names] == [fused[r.run_id][n] for n in names]
+    unheard = {r.run_id: r[1] for r in V.not_observed_counts(rnr, obs).collect()}
+    assert {k: v.advertised_not_observed_nonconcurrent for k, v in fused.items() if v.advertised_not_observed_nonconcurrent} == unheard

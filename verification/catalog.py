@@ -1061,16 +1061,23 @@ def p6(i):
 # Extensions: run-to-run comparisons
 # =========================================================================================
 
-# Two neighboring hours of the series.
-_BEFORE, _AFTER = "20240110-000012", "20240110-010019"
-simple("x1_churn", lambda i: X.churn(i.observations, _BEFORE, _AFTER),
-       f"""SELECT coalesce(a.bssid, b.bssid) AS bssid, CASE WHEN b.bssid IS NULL THEN 'lost' ELSE 'gained' END AS change
-       FROM (SELECT DISTINCT bssid FROM observations WHERE run_id = '{_BEFORE}') a
-       FULL JOIN (SELECT DISTINCT bssid FROM observations WHERE run_id = '{_AFTER}') b ON a.bssid = b.bssid WHERE a.bssid IS NULL OR b.bssid IS NULL""")
-simple("x2_rssi_shift", lambda i: X.rssi_shift(i.observations.withColumn("run_id", F.substring("run_id", 1, 8)), "20240110", "20240111"),
-       """SELECT a.bssid, a.frequency_mhz, a.m AS before_dbm, b.m AS after_dbm, b.m - a.m AS delta_db
-       FROM (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM observations WHERE substr(run_id, 1, 8) = '20240110' GROUP BY 1, 2) a
-       JOIN (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM observations WHERE substr(run_id, 1, 8) = '20240111' GROUP BY 1, 2) b
+# The whole series, split at a boundary as an instrument change would split it.
+_split = lambda boundary: f"CASE WHEN run_id < '{boundary}' THEN 'before' ELSE 'after' END"
+_EARLY, _MIDDLE = _split("20240101-120000"), _split("20240116-000000")
+
+
+def _sides(i: Inputs, split: str) -> DataFrame:
+    return i.observations.withColumn("run_id", F.expr(split))
+
+
+_SIDES_SQL = f"(SELECT *, {_MIDDLE} AS side FROM observations)"
+simple("x1_churn", lambda i: X.churn(_sides(i, _EARLY), "before", "after"),
+       f"""SELECT bssid, CASE WHEN bool_or({_EARLY} = 'before') THEN 'lost' ELSE 'gained' END AS change
+       FROM observations GROUP BY bssid HAVING count(DISTINCT {_EARLY}) = 1""")
+simple("x2_rssi_shift", lambda i: X.rssi_shift(_sides(i, _MIDDLE), "before", "after"),
+       f"""SELECT a.bssid, a.frequency_mhz, a.m AS before_dbm, b.m AS after_dbm, b.m - a.m AS delta_db
+       FROM (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM {_SIDES_SQL} s WHERE side = 'before' GROUP BY 1, 2) a
+       JOIN (SELECT bssid, frequency_mhz, avg(rssi_mean_dbm) AS m FROM {_SIDES_SQL} s WHERE side = 'after' GROUP BY 1, 2) b
          ON a.bssid = b.bssid AND a.frequency_mhz = b.frequency_mhz WHERE a.m IS NOT NULL AND b.m IS NOT NULL""")
 simple("x3_sweep_comparison", lambda i: X.sweep_comparison(i.observations),
        """SELECT run_id, count(DISTINCT (band, frequency_mhz)) AS populated, CAST(sum(beacons) AS BIGINT) AS beacons, min(rssi_mean_dbm) AS weakest_mean_dbm,
