@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,15 +46,14 @@ def text_slices(text: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int
 
 
 def flat_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column end to end with a zero byte after each text, and where each text starts.
+    """The bytes of a string column end to end with a space after each text, and where each text starts.
 
-    A null counts as an empty text. The zero byte keeps runs of neighbouring texts apart.
+    A null counts as an empty text. The space keeps words of neighbouring texts apart.
     """
-    parts = [b"" if x is None else x for x in pa.compute.cast(text, pa.binary()).to_pylist()]
+    parts = [x or b"" for x in pa.compute.cast(text, pa.binary()).to_pylist()]
     starts = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) + 1 for p in parts], out=starts[1:])
-    flat = np.frombuffer(b"\0".join(parts) + b"\0" if parts else b"", np.uint8)
-    return flat, starts
+    return np.frombuffer(b" ".join([*parts, b""]), np.uint8), starts
 
 
 def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +79,9 @@ def _power_tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) < n:
         size = 1 << int(n - 1).bit_length()
         for k, b in enumerate((_BASE, _INVERSE)):
-            _powers[k] = np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64))
+            steps = np.full(size, b, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
     return _powers
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
+from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.sharding import kd_shards
 
 
@@ -21,8 +22,13 @@ def op5_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup)
+    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {
