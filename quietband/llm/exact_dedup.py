@@ -48,7 +48,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         )
         alone, ended = F.col("n").isNull(), F.length("block") < size
         step = stored(
-            state.withColumn("block", block).join(groups, ["group", "block"], "left").select(
+            state.withColumn("block", block).join(groups.hint("merge"), ["group", "block"], "left").select(
                 "doc_id", "text_sha256",
                 F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                 F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
