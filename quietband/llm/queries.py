@@ -10,6 +10,7 @@ from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.sharding import kd_shards
+from quietband.llm.toxicity import score_toxicity, training_model
 
 
 def op1_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +28,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, training_model(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join)
+    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join, op10_compression_toxicity)
 }
 
 ORACLES: dict[str, str] = {
