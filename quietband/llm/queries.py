@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
+from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.sharding import kd_shards
 from quietband.llm.toxicity import score_toxicity, training_model
@@ -28,6 +30,13 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op8_minhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their repeated and near-repeated lines."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "lines_before", "lines_gone", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    )
+
+
 def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -35,7 +44,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join, op10_compression_toxicity)
+    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join, op8_minhash_line_dedup, op10_compression_toxicity)
 }
 
 ORACLES: dict[str, str] = {
