@@ -355,3 +355,22 @@ def jaccard_components(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with the smallest id of their component, all columns as they are.
+
+    Documents without words link with nothing and stay, and so do rows with a null id whose component has no other id. Rows that
+    repeat a kept id with the same text are one document and stay once.
+    """
+    kept = (
+        jaccard_components(docs, words, percent, id_col, text_col)
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    )
+    kept = stored(kept.select(F.col("doc_id").alias("__kept"), F.col("times").alias("__times")), "jaccard-kept")
+    rows = docs.join(kept.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col("__kept")))
+    once = rows.where("__times = 1").select(*docs.columns)
+    if kept.where("__times > 1").isEmpty():
+        return once
+    return once.unionByName(rows.where("__times > 1").select(*docs.columns).dropDuplicates([id_col, text_col]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components
+from quietband.llm.packing import pack_along_curve
 from quietband.llm.sharding import kd_shards
 from quietband.llm.toxicity import score_toxicity, training_model
 
@@ -20,6 +22,11 @@ def op1_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 ids, neighbours along a Hilbert curve together."""
+    return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, the largest doc_id staying."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -44,7 +51,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_tree_shards, op5_radix_exact_dedup, op6_ngram_jaccard_join, op8_minhash_line_dedup, op10_compression_toxicity)
+    f.__name__: f for f in (op1_kd_tree_shards, op3_hilbert_packing, op5_radix_exact_dedup, op6_ngram_jaccard_join, op8_minhash_line_dedup, op10_compression_toxicity)
 }
 
 ORACLES: dict[str, str] = {
