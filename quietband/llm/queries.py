@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quietband.llm.bpe import encode_documents
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.line_dedup import dedup_lines
@@ -15,6 +16,7 @@ from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.packing import pack_along_curve
 from quietband.llm.sharding import kd_shards
 from quietband.llm.toxicity import score_toxicity, training_model
+from quietband.llm.warc import round_trip
 
 
 def op1_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,11 @@ def op1_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op2_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages through archives: written, normalised to a gzip member per record, read back by index."""
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids, neighbours along a Hilbert curve together."""
     return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -37,6 +44,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and what they decode to."""
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_minhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without their repeated and near-repeated lines."""
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -51,10 +63,25 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_tree_shards, op3_hilbert_packing, op5_radix_exact_dedup, op6_ngram_jaccard_join, op8_minhash_line_dedup, op10_compression_toxicity)
+    f.__name__: f
+    for f in (
+        op1_kd_tree_shards, op2_gzip_normaliser, op3_hilbert_packing, op5_radix_exact_dedup, op6_ngram_jaccard_join,
+        op7_bpe_round_trip, op8_minhash_line_dedup, op10_compression_toxicity,
+    )
 }
 
 ORACLES: dict[str, str] = {
+    "op2_gzip_normaliser": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to
+        FROM f
+    """,
     "op5_radix_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
