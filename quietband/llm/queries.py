@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quietband.llm.bpe import encode_documents
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
+from quietband.llm.fingerprints import compare_with_edit_and_next
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.packing import pack_along_curve
@@ -56,6 +57,11 @@ def op8_minhash_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_invertible_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and likenesses recovered from them."""
+    return compare_with_edit_and_next(table(spark, sf_dir, "documents"))
+
+
 def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -66,7 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_kd_tree_shards, op2_gzip_normaliser, op3_hilbert_packing, op5_radix_exact_dedup, op6_ngram_jaccard_join,
-        op7_bpe_round_trip, op8_minhash_line_dedup, op10_compression_toxicity,
+        op7_bpe_round_trip, op8_minhash_line_dedup, op9_invertible_sketch, op10_compression_toxicity,
     )
 }
 
