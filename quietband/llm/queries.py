@@ -12,6 +12,7 @@ from quietband.llm.bpe import encode_documents
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.fingerprints import compare_with_edit_and_next
+from quietband.llm.license_scan import scan_licenses
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.packing import pack_along_curve
@@ -35,6 +36,11 @@ def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_positional_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_radix_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, the largest doc_id staying."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -71,7 +77,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_kd_tree_shards, op2_gzip_normaliser, op3_hilbert_packing, op5_radix_exact_dedup, op6_ngram_jaccard_join,
+        op1_kd_tree_shards, op2_gzip_normaliser, op3_hilbert_packing, op4_positional_license_scan, op5_radix_exact_dedup, op6_ngram_jaccard_join,
         op7_bpe_round_trip, op8_minhash_line_dedup, op9_invertible_sketch, op10_compression_toxicity,
     )
 }
