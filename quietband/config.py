@@ -9,8 +9,8 @@ from dataclasses import dataclass
 class SeriesConfig:
     """The one place where the boundary of a survey series is stated."""
 
-    series_start: str = "20260827-090003"
-    commissioning: tuple[str, ...] = ("20260827-054734", "20260827-060013")
+    series_start: str
+    commissioning: tuple[str, ...]
     derived_schema_id: str = "survey-derived/1"
     extractor_version: str = "quietband-enrich/1"
     decoder_version: str = "quietband-frames/1"
@@ -85,7 +85,6 @@ THIN_BEACONS = 10
 RSSI_SPREAD_DB = 15
 EMPTY_CAPTURE_BYTES = 24
 RADIOTAP_LINK_TYPE = 127
-RADIOTAP_SAMPLE_FRAMES = 200
 
 # --- Fixed values: 802.11 element and extension identifiers -----------------------------
 

@@ -40,14 +40,8 @@ def is_bad_cell(cell: Column, parsed: Column) -> Column:
 def int_set(cell: Column) -> Column:
     """Distinct integers of a comma-joined cell, ascending; other tokens are dropped."""
     tokens = F.transform(F.split(F.coalesce(cell, F.lit("")), ","), strip)
-    return F.array_sort(
-        F.array_distinct(
-            F.transform(
-                F.filter(tokens, lambda t: t.rlike("^-*[0-9]+$")),
-                lambda t: t.try_cast("int"),
-            )
-        )
-    )
+    numbers = F.transform(F.filter(tokens, lambda t: t.rlike("^-?[0-9]+$")), lambda t: t.try_cast("bigint"))
+    return F.array_sort(F.array_distinct(F.array_compact(numbers)))
 
 
 def joined(values: Column) -> Column:

@@ -135,7 +135,8 @@ def extension_name(ext: Column) -> Column:
 
 def bss_parameter_names(cell: Column) -> Column:
     """Names of the bits set in a ``0x..`` BSS-parameters cell; NULL for other cells."""
-    value = F.conv(F.substring(cell, 3, 16), 16, 10).try_cast("bigint")
+    # All named bits are in the last byte, however many digits the cell has.
+    value = F.conv(F.regexp_extract(cell, "([0-9A-Fa-f]{1,2})$", 1), 16, 10).try_cast("bigint")
     bits = [
         (value.bitwiseAND(F.lit(1 << n)) != 0, name)
         for n, name in enumerate(C.BSS_PARAMETER_BITS)

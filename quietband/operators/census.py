@@ -33,13 +33,14 @@ def capture_counts(captures: DataFrame) -> DataFrame:
 
 
 def radiotap_population(
-    frames: DataFrame, captures: DataFrame, sample: int = C.RADIOTAP_SAMPLE_FRAMES
+    frames: DataFrame, captures: DataFrame, sample: int | None = None
 ) -> DataFrame:
-    """How each Radiotap field is filled over the first packets of the largest capture."""
+    """How each Radiotap field is filled in the largest capture; `sample` limits it to its first packets."""
     largest = captures.where(F.col("length") > C.EMPTY_CAPTURE_BYTES).groupBy("run_id").agg(
         F.min_by("pcap_file", F.struct(-F.col("length"), F.col("pcap_file"))).alias("pcap_file")
     )
-    chosen = frames.where((F.col("frame_number") <= sample) & F.col("error").isNull()).join(
+    wanted = F.col("error").isNull() if sample is None else F.col("error").isNull() & (F.col("frame_number") <= sample)
+    chosen = frames.where(wanted).join(
         largest, ["run_id", "pcap_file"], "left_semi"
     )
     measures = []

@@ -165,13 +165,15 @@ def bss_load_records(frames: DataFrame) -> DataFrame:
 def beacon_summary(frames: DataFrame, frequencies: DataFrame) -> DataFrame:
     """Observations per (run, frequency, address) from decoded frames.
 
-    Name and interval are the last non-empty ones in frame order.  Channel and dwell come
-    from the manifest, joined after the frames are aggregated.
+    Name and interval are the last non-empty ones in frame order.  The frequency is in the
+    capture's name; channel and dwell come from the manifest, joined after the frames are
+    aggregated, and stay empty where it has no row for a capture. Captures with an error count for nothing.
     """
     order = F.col("frame_number")
     last = lambda value, keep: F.max_by(value, F.when(keep, order))
+    broken = frames.where(F.col("error").isNotNull()).select("run_id", "pcap_file").distinct()
     heard = (
-        frames.where(F.col("error").isNull())
+        frames.where(F.col("error").isNull()).join(broken, ["run_id", "pcap_file"], "left_anti")
         .groupBy("run_id", "pcap_file", F.lower("bssid").alias("bssid"))
         .agg(
             F.count("*").alias("beacons"),
@@ -187,9 +189,10 @@ def beacon_summary(frames: DataFrame, frequencies: DataFrame) -> DataFrame:
     tuned = frequencies.where(F.col("pcap_file") != "").groupBy("run_id", "pcap_file").agg(
         F.min(F.struct("frequency_mhz", "channel", "dwell_seconds")).alias("t")
     )
-    mhz = F.col("t.frequency_mhz")
+    named = F.regexp_extract("pcap_file", "freq-([0-9]+)", 1).try_cast("bigint")
+    mhz = F.coalesce(named, F.col("t.frequency_mhz"))
     return schemas.conform(
-        heard.join(tuned, ["run_id", "pcap_file"]).select(
+        heard.join(tuned, ["run_id", "pcap_file"], "left").select(
             "run_id", radio.band_of_frequency(mhz).alias("band"), mhz.alias("frequency_mhz"),
             F.col("t.channel").alias("channel"), "bssid", "ssid", "beacons", "beacon_interval_tu",
             "rssi_min_dbm", "rssi_mean_dbm", "rssi_max_dbm",

@@ -61,12 +61,11 @@ def coverage_by_band(frequencies: DataFrame) -> DataFrame:
 
 
 def state_by_outcome(frequencies: DataFrame) -> DataFrame:
-    """Cross-tab of regulatory state and sample status; the four statuses are columns."""
-    return (
-        frequencies.groupBy("run_id", "regulatory_state")
-        .pivot("sample_status", list(C.SAMPLE_STATUSES))
-        .count()
-        .na.fill(0, list(C.SAMPLE_STATUSES))
+    """Cross-tab of regulatory state and sample status; any status beyond the four counts as `other`."""
+    status = F.col("sample_status")
+    known = F.coalesce(status.isin(*C.SAMPLE_STATUSES), F.lit(False))
+    return frequencies.groupBy("run_id", "regulatory_state").agg(
+        *[F.count_if(status == s).alias(s) for s in C.SAMPLE_STATUSES], F.count_if(~known).alias("other")
     )
 
 
@@ -158,10 +157,9 @@ def radio_families(features: DataFrame) -> DataFrame:
         F.collect_set("band").alias("bands"),
         F.sum("rssi_sum").alias("rssi_sum"), F.sum("rssi_n").alias("rssi_n"),
     )
-    seen = lambda b: F.when(F.bool_or(F.array_contains("bands", b)), F.lit(b))
     return per_band.groupBy("run_id", "radio_family").agg(
         F.count("bssid").alias("bssids"),
-        F.array_join(F.array_compact(F.array(*[seen(b) for b in C.BANDS])), "/").alias("bands"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("bands")))), "/").alias("bands"),
         F.try_divide(F.sum("rssi_sum"), F.sum("rssi_n")).alias("mean_rssi_dbm"),
     )
 

@@ -43,21 +43,23 @@ def derive_tables(
 
 def enrich(
     spark: SparkSession, root: str, derived_root: str, batch: str, series: SeriesConfig,
-    runs: DataFrame | None = None, pruned: list[str] | None = None, registry: DataFrame | None = None,
+    runs: DataFrame | None = None, registry: DataFrame | None = None,
 ) -> None:
     """Derive `runs` (default: every eligible finished attempt) as one batch.
 
     Frames are decoded once into a stored table, so the Python decoder runs a single time and
-    a lost executor re-reads files instead of re-decoding.  The manifest is written last.
+    a lost executor re-reads files instead of re-decoding.  Captures are chosen by joining
+    their listing, which holds no bytes.  The manifest is written last; until then a batch can be
+    run again and replaces what an earlier attempt left. A batch with a manifest is refused.
     """
+    if not D.read_manifest_history(spark, derived_root).where(F.col("derived_version") == batch).isEmpty():
+        raise ValueError(f"batch {batch} is recorded already")
     registry = tree.stored_registry(spark, root, derived_root, batch) if registry is None else registry
     classified = inventory(registry, series).where(
         F.col("eligible") & (F.col("attempt_state") != C.RUNNING)
     )
 
     def chosen(rows: DataFrame) -> DataFrame:
-        if pruned is not None:
-            return rows.where(F.col("run_id").isin(pruned))
         wanted = runs if runs is not None else classified.select("run_id")
         return rows.join(wanted, "run_id", "left_semi")
 
@@ -78,5 +80,5 @@ def enrich(
     run = D.read_stored(spark, derived_root, "run").where(F.col("batch") == batch)
     sources = spark.read.parquet(identity_path)
     D.write_manifests(
-        D.build_manifests(run, sources, D.batch_digests(spark, derived_root, batch), batch), derived_root
+        D.build_manifests(run, sources, D.batch_digests(spark, derived_root, batch), batch), derived_root, batch
     )

@@ -55,4 +55,4 @@ def observations(spark: SparkSession, root: str) -> DataFrame:
 def captures(spark: SparkSession, root: str) -> DataFrame:
     if S.matches(spark, f"{root}/*/freq-*.pcap"):
         return CAP.capture_files(spark, f"{root}/*/")
-    return spark.createDataFrame([], "run_id string, pcap_file string, length bigint, content binary")
+    return spark.createDataFrame([], "run_id string, pcap_file string, length bigint, path string")

@@ -13,10 +13,6 @@ from quietband.plans.enrich import enrich
 from quietband.sources import derived as D
 from quietband.sources.survey_files import source_files
 
-# Up to this many run ids are passed to the readers as a file-pruning list; a larger
-# backfill reads the tree and filters by join.
-PRUNED_RUNS = 5000
-
 
 def plan_update(
     spark: SparkSession, root: str, derived_root: str, series: SeriesConfig, registry: DataFrame | None = None
@@ -42,8 +38,6 @@ def update(spark: SparkSession, root: str, derived_root: str, batch: str, series
     planned.write.mode("overwrite").parquet(outcomes_path)
     outcomes = spark.read.schema(planned.schema).parquet(outcomes_path)
     todo = outcomes.where(F.col("outcome") == "processed").select("run_id")
-    head = [r.run_id for r in todo.limit(PRUNED_RUNS + 1).collect()]
-    if head:
-        pruned = head if len(head) <= PRUNED_RUNS else None
-        enrich(spark, root, derived_root, batch, series, todo, pruned, registry)
+    if not todo.isEmpty():
+        enrich(spark, root, derived_root, batch, series, todo, registry)
     return outcomes

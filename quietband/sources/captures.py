@@ -1,16 +1,18 @@
 """Capture archive: binary files to one row per beacon frame.
 
-Files are the unit of parallelism.  A capture holds one dwell of one frequency, so its size
-is bounded by the dwell; a file that binary reading cannot carry is reported as an error of
-its run and never read.  This module holds the package's only Python-worker code.
+Files are the unit of parallelism.  A worker reads a file packet by packet and hands rows on
+in batches, so memory does not grow with the file.  This module holds the core's only
+Python-worker code.
 """
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,9 @@ from quietband import config as C
 from quietband import schemas
 from quietband.sources.survey_files import path_file, path_run_id
 
-MAX_CAPTURE_BYTES = 2_000_000_000
 _BATCH_ROWS = 4096
+_BUFFER_BYTES = 1 << 20
+_TASK_BYTES = 1 << 25
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "array<int>": pa.list_(pa.int32()),
           "array<string>": pa.list_(pa.string())}
@@ -53,7 +56,7 @@ class CaptureError(ValueError):
 
 
 def capture_files(spark: SparkSession, paths) -> DataFrame:
-    """(run_id, pcap_file, length, content); `content` is only read when it is used."""
+    """(run_id, pcap_file, length, path): a listing, no file is opened."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "freq-*.pcap").load(paths)
     )
@@ -61,7 +64,7 @@ def capture_files(spark: SparkSession, paths) -> DataFrame:
     source = F.col("_metadata.file_path")
     return files.select(
         path_run_id(source).alias("run_id"), path_file(source).alias("pcap_file"),
-        "length", "content",
+        "length", source.alias("path"),
     )
 
 
@@ -71,29 +74,44 @@ def populated(captures: DataFrame) -> DataFrame:
 
 
 def decode_captures(captures: DataFrame) -> DataFrame:
-    """Beacon frames of all populated captures, plus one error row per unreadable one."""
+    """Beacon frames of all populated captures, plus one error row per unreadable one.
+
+    Captures are given by `path`, or by `content` where the bytes are at hand. A file that fails
+    half-way has both frames and an error row. Listed files are dealt out anew, since a
+    filtered listing is tiny and would otherwise end in one task.
+    """
     full = populated(captures)
-    readable = full.where(F.col("length") <= MAX_CAPTURE_BYTES)
-    frames = readable.select("run_id", "pcap_file", "content").mapInArrow(_decode, schemas.FRAMES)
-    oversize = full.where(F.col("length") > MAX_CAPTURE_BYTES).select(
-        "run_id", "pcap_file", F.lit("capture too large to read").alias("error")
-    )
-    return frames.unionByName(oversize, allowMissingColumns=True)
+    if "content" in captures.columns:
+        source = full.select("run_id", "pcap_file", "length", "content")
+    else:
+        total = full.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        tasks = max(full.sparkSession.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
+        source = full.select("run_id", "pcap_file", "length", "path").repartition(tasks, "run_id", "pcap_file")
+    return source.mapInArrow(_decode, schemas.FRAMES)
+
+
+def _stream(source: str | bytes):
+    if isinstance(source, bytes):
+        return io.BytesIO(source)
+    files, path = FileSystem.from_uri(source)
+    return io.BufferedReader(files.open_input_stream(path, compression=None), _BUFFER_BYTES)
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decode files one at a time; rows leave in batches of bounded size across files."""
+    """Decode files one at a time; rows leave in batches of bounded size within and across files."""
     rows: list[dict] = []
     for batch in batches:
-        for run_id, name, content in zip(*(batch.column(i) for i in range(3))):
+        for run_id, name, length, source in zip(*(batch.column(i) for i in range(4))):
             identity = {"run_id": run_id.as_py(), "pcap_file": name.as_py()}
             try:
-                rows += [identity | row for row in _beacons(content.as_py())]
+                with _stream(source.as_py()) as stream:
+                    for row in _beacons(stream, length.as_py()):
+                        rows.append(identity | row)
+                        if len(rows) == _BATCH_ROWS:
+                            yield _batch(rows)
+                            rows = []
             except CaptureError as problem:
                 rows.append(identity | {"error": f"{identity['pcap_file']}: {problem}"})
-            while len(rows) >= _BATCH_ROWS:
-                yield _batch(rows[:_BATCH_ROWS])
-                del rows[:_BATCH_ROWS]
     if rows:
         yield _batch(rows)
 
@@ -105,27 +123,29 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_FRAME_SCHEMA)
 
 
-def _packets(data: bytes):
-    if len(data) < 24:
+def _packets(stream, length: int):
+    start = stream.read(24)
+    if len(start) < 24:
         raise CaptureError("missing global header")
-    if data[:4] not in _MAGIC:
+    if start[:4] not in _MAGIC:
         raise CaptureError("unrecognised magic")
-    order, unit = _MAGIC[data[:4]]
-    (link,) = struct.unpack_from(order + "I", data, 20)
+    order, unit = _MAGIC[start[:4]]
+    (link,) = struct.unpack_from(order + "I", start, 20)
     if link != C.RADIOTAP_LINK_TYPE:
         raise CaptureError(f"link type {link} is not Radiotap")
     header, at, number = struct.Struct(order + "4I"), 24, 0
-    while at + 16 <= len(data):
-        seconds, fraction, held, wire = header.unpack_from(data, at)
+    while len(record := stream.read(16)) == 16:
+        seconds, fraction, held, wire = header.unpack(record)
         at += 16 + held
-        if at > len(data):
+        # A broken length is seen before its bytes are asked for.
+        if at > length or len(packet := stream.read(held)) < held:
             raise CaptureError("truncated inside a packet record")
         number += 1
-        yield number, f"{seconds}.{fraction * unit:09d}", wire, data[at - held:at]
+        yield number, f"{seconds}.{fraction * unit:09d}", wire, packet
 
 
-def _beacons(data: bytes):
-    for number, epoch, wire, packet in _packets(data):
+def _beacons(stream, length: int):
+    for number, epoch, wire, packet in _packets(stream, length):
         if len(packet) < 8:
             continue
         (radio_len,) = struct.unpack_from("<H", packet, 2)

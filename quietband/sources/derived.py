@@ -16,10 +16,11 @@ def _stored(schema: T.StructType) -> T.StructType:
 
 
 def write_derived(rows: DataFrame, root: str, table: str, batch: str) -> None:
-    """Append one batch of a table in contract column order.
+    """Write one batch of a table in contract column order, in place of what an earlier attempt left.
 
     Partitions are days, not runs, so a year is a few hundred folders.
     """
+    _remove(rows.sparkSession, f"{root}/{table}/batch={batch}")
     (
         schemas.conform(rows, schemas.DERIVED[table])
         .withColumns({"batch": F.lit(batch), "run_date": F.substring("run_id", 1, 8)})
@@ -28,6 +29,11 @@ def write_derived(rows: DataFrame, root: str, table: str, batch: str) -> None:
     )
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
@@ -45,7 +51,7 @@ def read_manifest_history(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/manifests"
     if not _exists(spark, path):
         return spark.createDataFrame([], schemas.MANIFEST)
-    return spark.read.schema(schemas.MANIFEST).json(path)
+    return spark.read.schema(schemas.MANIFEST).option("recursiveFileLookup", "true").json(path)
 
 
 def read_manifest_table(spark: SparkSession, root: str) -> DataFrame:
@@ -118,6 +124,6 @@ def build_manifests(run: DataFrame, sources: DataFrame, digests: DataFrame, batc
     )
 
 
-def write_manifests(manifests: DataFrame, root: str) -> None:
-    """Append manifests.  Done last: only then do the outputs of the batch count."""
-    manifests.write.mode("append").json(f"{root}/manifests")
+def write_manifests(manifests: DataFrame, root: str, batch: str) -> None:
+    """Write a batch's manifests.  Done last: only then do the outputs of the batch count."""
+    manifests.write.mode("overwrite").json(f"{root}/manifests/{batch}")

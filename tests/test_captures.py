@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quietband import schemas
 from quietband.operators import census as K
 from quietband.operators import enrichment as E
 from quietband.sources import captures as CAP
@@ -137,3 +138,18 @@ def test_only_sizes_are_read_to_count_captures(spark, tmp_path):
     assert (row.populated_captures, row.captures) == (1, 3)
     plan = CAP.populated(files).select("pcap_file")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(length,24)" in plan and "content" not in plan
+
+
+def test_a_long_capture_leaves_in_batches(spark, tmp_path):
+    """One file of many frames, read packet by packet from its path; a cut one gives an error and no observation."""
+    one = B.capture([(0, 0, B.beacon(B.AP1, B.element(0, b"ok")))])
+    head, packet = one[:24], one[24:]
+    run = tmp_path / "20260827-090003"
+    run.mkdir()
+    (run / "freq-2412.pcap").write_bytes(head + packet * 30_000)
+    (run / "freq-2437.pcap").write_bytes(head + packet * 10_000 + packet[:-2])
+    frames = CAP.decode_captures(CAP.capture_files(spark, f"{tmp_path}/*/")).cache()
+    assert frames.where("pcap_file = 'freq-2412.pcap'").count() == 30_000
+    assert frames.where("error is not null").count() == 1
+    row, = E.beacon_summary(frames, spark.createDataFrame([], schemas.FREQUENCIES)).collect()
+    assert (row.frequency_mhz, row.band, row.beacons, row.channel) == (2412, "2.4GHz", 30_000, None)

@@ -143,7 +143,7 @@ def test_clock_before_start_expects_nothing(spark):
     from datetime import datetime
 
     from quietband import SeriesConfig
-    assert H.expected_slots(H.clock(spark, datetime(2026, 8, 27, 8)), SeriesConfig()).count() == 0
+    assert H.expected_slots(H.clock(spark, datetime(2026, 8, 27, 8)), SeriesConfig("20260827-090003", ("20260827-054734", "20260827-060013"))).count() == 0
 
 
 def test_modal_interval_prefers_the_smallest_tie(spark):

@@ -17,7 +17,7 @@ from quietband.plans.views import build_views
 from quietband.sources import derived as D
 from tests import capture_bytes as B
 
-SERIES = SeriesConfig(series_start="20260827-130000")
+SERIES = SeriesConfig("20260827-130000", ("20260827-054734", "20260827-060013"))
 NOW = datetime(2026, 8, 27, 17, 30)
 SWEEP, SECOND, SKIP, FAIL = (f"20260827-{h}0003" for h in ("13", "14", "15", "16"))
 
@@ -135,12 +135,29 @@ def test_unchanged_then_changed_then_stale(spark, built, tmp_path):
     assert again[SECOND] == "prior derivation failed" and again[SWEEP] == "unchanged"
 
 
+def test_a_lost_attempt_is_replaced(spark, tmp_path):
+    root = tmp_path / "tree"
+    B.write_run(root, SWEEP)
+    clean, derived = str(tmp_path / "clean"), str(tmp_path / "derived")
+    enrich(spark, str(root), clean, "b1", SERIES)
+    # An attempt that wrote a table, with other days too, and died before its manifest.
+    lost = D.read_stored(spark, clean, "observations").drop("batch", "run_date")
+    D.write_derived(lost.unionByName(lost.withColumn("run_id", F.lit("20260701-000000"))), derived, "observations", "b1")
+    enrich(spark, str(root), derived, "b1", SERIES)
+    digests = [sorted(map(tuple, D.batch_digests(spark, r, "b1").collect())) for r in (clean, derived)]
+    assert digests[0] == digests[1]
+    with pytest.raises(ValueError, match="recorded already"):
+        enrich(spark, str(root), derived, "b1", SERIES)
+
+
 def test_damage_and_gaps_are_errors(spark, tmp_path):
     root = tmp_path / "tree"
     B.write_run(root, SWEEP)
     derived = str(tmp_path / "derived")
     enrich(spark, str(root), derived, "b1", SERIES)
-    D.write_derived(D.read_stored(spark, derived, "observations").limit(1), derived, "observations", "b1")
+    # A part file that the manifest does not know.
+    extra = D.read_stored(spark, derived, "observations").limit(1)
+    extra.write.mode("append").partitionBy("batch", "run_date").parquet(f"{derived}/observations")
     with pytest.raises(I.ReconciliationError, match="observations"):
         build_views(spark, str(root), derived, NOW, SERIES)
     detail = plan_update(spark, str(root), derived, SERIES).first().detail
@@ -201,7 +218,7 @@ def test_states_of_odd_runs(spark, tmp_path):
     (datetime(2026, 8, 27, 8), None, None, 0),
 ])
 def test_expected_slots(spark, now, first, last, n):
-    slots = sorted(r.slot for r in H.expected_slots(H.clock(spark, now), SeriesConfig()).collect())
+    slots = sorted(r.slot for r in H.expected_slots(H.clock(spark, now), SeriesConfig("20260827-090003", ("20260827-054734", "20260827-060013"))).collect())
     assert len(slots) == n and (not n or (slots[0], slots[-1]) == (first, last))
 
 
@@ -210,7 +227,7 @@ def test_slots_do_not_follow_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         # 02:00 does not exist in New York on this date.
-        series = SeriesConfig(series_start="20260308-010003")
+        series = SeriesConfig("20260308-010003", ())
         slots = sorted(r.slot for r in H.expected_slots(H.clock(spark, datetime(2026, 3, 8, 3, 30)), series).collect())
         assert slots == ["20260308-010000", "20260308-020000", "20260308-030000"]
     finally:

@@ -315,7 +315,7 @@ def b2(i):
         F.sha2(F.col("length").cast("string"), 256).alias("sha256"),
     )
     run = D.read_stored(i.spark, root, "run")
-    D.write_manifests(D.build_manifests(run, sources, D.batch_digests(i.spark, root), "b1"), root)
+    D.write_manifests(D.build_manifests(run, sources, D.batch_digests(i.spark, root), "b1"), root, "b1")
     return D.read_manifest_table(i.spark, root).select(
         "run_id", "status", F.size("source_files").alias("n_sources"), F.inline("outputs")
     ).drop("sha256")
@@ -354,17 +354,17 @@ def b5(i):
     return i.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS n FROM {v}" for v in C.VIEW_NAMES))
 
 
-_SUMMARY = """SELECT h.run_id, CASE WHEN t.frequency_mhz < 4900 THEN '2.4GHz' WHEN t.frequency_mhz < 5925 THEN '5GHz' ELSE '6GHz' END AS band,
-    t.frequency_mhz, t.channel, h.bssid, coalesce(h.ssid, '') AS ssid, h.beacons, h.interval_tu AS beacon_interval_tu,
+_SUMMARY = """SELECT h.run_id, CASE WHEN h.mhz < 4900 THEN '2.4GHz' WHEN h.mhz < 5925 THEN '5GHz' ELSE '6GHz' END AS band,
+    h.mhz AS frequency_mhz, t.channel, h.bssid, coalesce(h.ssid, '') AS ssid, h.beacons, h.interval_tu AS beacon_interval_tu,
     h.lo AS rssi_min_dbm, h.mean AS rssi_mean_dbm, h.hi AS rssi_max_dbm,
     {0} AS first_seen, {1} AS last_seen,
     round(h.beacons / (t.dwell_seconds / (h.interval_tu * CAST(0.001024 AS DOUBLE))), 3) AS beacon_reception_ratio
-    FROM (SELECT run_id, pcap_file, bssid, count(*) AS beacons, arg_max(ssid_text, frame_number) FILTER (ssid_text <> '') AS ssid,
+    FROM (SELECT run_id, pcap_file, CAST(regexp_extract(pcap_file, '([0-9]+)', 1) AS BIGINT) AS mhz, bssid, count(*) AS beacons, arg_max(ssid_text, frame_number) FILTER (ssid_text <> '') AS ssid,
         arg_max(interval_tu, frame_number) FILTER (interval_tu <> 0) AS interval_tu, min(rssi_dbm) AS lo,
         round_even(avg(rssi_dbm), 1) AS mean, max(rssi_dbm) AS hi,
         arg_min(frame_time_epoch, frame_number) AS first_epoch, arg_max(frame_time_epoch, frame_number) AS last_epoch
-      FROM frames GROUP BY 1, 2, 3) h
-    JOIN (SELECT * FROM (SELECT run_id, pcap_file, frequency_mhz, channel, dwell_seconds, row_number() OVER
+      FROM frames GROUP BY 1, 2, 3, 4) h
+    LEFT JOIN (SELECT * FROM (SELECT run_id, pcap_file, frequency_mhz, channel, dwell_seconds, row_number() OVER
         (PARTITION BY run_id, pcap_file ORDER BY frequency_mhz, channel, dwell_seconds) AS place FROM frequencies WHERE pcap_file <> '') q
       WHERE place = 1) t ON t.run_id = h.run_id AND t.pcap_file = h.pcap_file""".format(*[
     f"strftime(make_timestamp(CAST(split_part({c}, '.', 1) AS BIGINT) * 1000000 + CAST(substr(split_part({c}, '.', 2), 1, 6) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%fZ')"
@@ -541,22 +541,22 @@ simple("s26_resolve_fields", lambda i: i.resolution, f"SELECT {cols(schemas.FIEL
 # =========================================================================================
 
 simple("d1_run_health", lambda i: i.views["pilot_run_health"], "SELECT * FROM v_run_health")
-simple("d2_hourly_join", lambda i: V.hourly_metrics(i.frequencies, i.observations.where("band <> '5GHz'"), i.health).select(
+simple("d2_hourly_join", lambda i: V.hourly_metrics(i.frequencies, i.observations, i.health).select(
     "run_id", "observed_bssids", "manifest_frequencies"),
     """SELECT t.run_id, coalesce(o.n, 0) AS observed_bssids, f.n AS manifest_frequencies FROM trend t
     JOIN (SELECT run_id, count(*) AS n FROM frequencies GROUP BY 1) f ON f.run_id = t.run_id
-    LEFT JOIN (SELECT run_id, count(DISTINCT bssid) AS n FROM observations WHERE band <> '5GHz' GROUP BY 1) o ON o.run_id = t.run_id""")
-simple("d3_band_join", lambda i: V.band_metrics(i.frequencies, i.observations.where("beacons > 100"), i.health).select(
+    LEFT JOIN (SELECT run_id, count(DISTINCT bssid) AS n FROM observations GROUP BY 1) o ON o.run_id = t.run_id""")
+simple("d3_band_join", lambda i: V.band_metrics(i.frequencies, i.observations, i.health).select(
     "run_id", "band", "observed_bssids", "attempted_frequencies"),
     """SELECT f.run_id, f.band, coalesce(o.n, 0) AS observed_bssids, f.n AS attempted_frequencies
     FROM (SELECT run_id, band, count(*) AS n FROM frequencies GROUP BY 1, 2) f JOIN trend t ON t.run_id = f.run_id
-    LEFT JOIN (SELECT run_id, band, count(DISTINCT bssid) AS n FROM observations WHERE beacons > 100 GROUP BY 1, 2) o
+    LEFT JOIN (SELECT run_id, band, count(DISTINCT bssid) AS n FROM observations GROUP BY 1, 2) o
       ON o.run_id = f.run_id AND o.band = f.band""")
 simple("d4_capability_join", lambda i: V.capability_metrics(i.derived_table("ie_capabilities"), i.health).select("run_id", "started_utc", "observed_bssids"),
        "SELECT t.run_id, t.started_utc, count(*) AS observed_bssids FROM capabilities x JOIN trend t ON t.run_id = x.run_id GROUP BY 1, 2")
 simple("d5_trend_semi_join", lambda i: M.trend_only(i.observations, i.health).groupBy("run_id").agg(F.count("*").alias("n")),
        "SELECT run_id, count(*) AS n FROM observations WHERE run_id IN (SELECT run_id FROM trend) GROUP BY run_id")
-simple("d6_advertised_not_observed", lambda i: V.advertised_not_observed(i.staged_table("rnr"), i.staged_table("observations")), "SELECT * FROM x_unheard")
+simple("d6_advertised_not_observed", lambda i: V.advertised_not_observed(i.staged_table("rnr"), i.staged_table("observations")), "SELECT * FROM unheard")
 simple("d7_evidence_spine", lambda i: i.views["pilot_6ghz_evidence"], "SELECT * FROM v_6ghz")
 simple("d8_missing_slots", lambda i: H.missing_slots(i.slots, i.classified), "SELECT slot FROM missing")
 
@@ -703,10 +703,19 @@ simple("e6_observation_totals", lambda i: V.observation_totals(i.observations),
 simple("e7_hourly_metrics", lambda i: V.hourly_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health), "SELECT * FROM v_hourly")
 simple("e8_band_metrics", lambda i: V.band_metrics(i.staged_table("frequencies"), i.staged_table("observations"), i.health), "SELECT * FROM v_band")
 simple("e9_capability_metrics", lambda i: V.capability_metrics(i.staged_table("ie_capabilities"), i.health), "SELECT * FROM v_capability")
-simple("e10_direct_6ghz", lambda i: V.direct_6ghz(i.staged_table("observations")), "SELECT * FROM x_direct")
-simple("e11_frequency_states_6ghz", lambda i: V.frequency_states_6ghz(i.staged_table("frequencies")), "SELECT * FROM x_states")
-simple("e12_neighbor_state", lambda i: V.neighbor_state(i.staged_table("rnr")), "SELECT * FROM x_rnr")
-simple("e13_not_observed_counts", lambda i: V.not_observed_counts(i.staged_table("rnr"), i.staged_table("observations")), "SELECT * FROM x_unheard_n")
+simple("e10_direct_6ghz", lambda i: V.direct_6ghz(i.staged_table("observations")), """SELECT run_id, count(*) AS direct_bssids, CAST(sum(b) AS BIGINT) AS direct_beacons
+       FROM (SELECT run_id, bssid, coalesce(sum(beacons), 0) AS b FROM stg_observations WHERE band = '6GHz' GROUP BY 1, 2) o GROUP BY 1""")
+simple("e11_frequency_states_6ghz", lambda i: V.frequency_states_6ghz(i.staged_table("frequencies")), """SELECT DISTINCT run_id,
+         (SELECT count(*) FROM stg_frequencies s WHERE s.run_id = f.run_id AND band = '6GHz' AND sample_status = 'sampled') AS sampled_frequencies,
+         (SELECT count(*) FROM stg_frequencies s WHERE s.run_id = f.run_id AND band = '6GHz' AND sample_status = 'sampled_empty') AS sampled_empty_frequencies,
+         (SELECT count(*) FROM stg_frequencies s WHERE s.run_id = f.run_id AND band = '6GHz') AS manifest_frequencies
+       FROM stg_frequencies f WHERE band = '6GHz'""")
+simple("e12_neighbor_state", lambda i: V.neighbor_state(i.staged_table("rnr")), """SELECT DISTINCT run_id, (SELECT count(*) FROM claims c WHERE c.run_id = r.run_id) AS advertised_6ghz_neighbors,
+         (SELECT count(*) FROM disabled_claims c WHERE c.run_id = r.run_id) AS advertised_6ghz_disabled_links,
+         (SELECT count(*) FROM unknown_claims c WHERE c.run_id = r.run_id) AS unresolved_operating_classes,
+         (SELECT count(*) FROM stg_rnr a WHERE a.run_id = r.run_id AND structure_status = 'unpaired_multi_occurrence') AS ambiguous_rnr_rows
+       FROM stg_rnr r""")
+simple("e13_not_observed_counts", lambda i: V.not_observed_counts(i.staged_table("rnr"), i.staged_table("observations")), "SELECT run_id, count(*) AS advertised_not_observed_nonconcurrent FROM unheard GROUP BY 1")
 _EVIDENCE = lambda i: V.evidence_6ghz(
     i.staged_table("frequencies"), i.staged_table("observations"), i.staged_table("rnr"), i.health)
 simple("e14_6ghz_evidence", _EVIDENCE, "SELECT * FROM v_6ghz")
@@ -746,7 +755,9 @@ simple("e18_coverage", lambda i: P.coverage(i.frequencies), f"""SELECT run_id, c
 simple("e19_coverage_by_band", lambda i: P.coverage_by_band(i.frequencies), f"""SELECT run_id, band, count(*) AS freqs, {_ATTEMPTED},
        CAST(coalesce(sum(bssid_count), 0) AS BIGINT) AS bssids, CAST(coalesce(sum(beacon_count), 0) AS BIGINT) AS beacons FROM frequencies GROUP BY 1, 2""")
 simple("e20_state_by_outcome", lambda i: P.state_by_outcome(i.frequencies), "SELECT run_id, regulatory_state, "
-       + ", ".join(f"count(*) FILTER (sample_status = '{s}') AS {s}" for s in C.SAMPLE_STATUSES) + " FROM frequencies GROUP BY 1, 2")
+       + ", ".join(f"count(*) FILTER (sample_status = '{s}') AS {s}" for s in C.SAMPLE_STATUSES)
+       + ", count(*) FILTER (sample_status IS NULL OR sample_status NOT IN ('sampled', 'sampled_empty', 'regulatory_skip', 'capture_error')) AS other"
+       + " FROM frequencies GROUP BY 1, 2")
 simple("e21_positive_control", lambda i: P.positive_control(i.frequencies),
        """SELECT run_id, band, detections, attempted, CASE WHEN detections = 0 THEN 'unvalidated' ELSE 'receiver_confirmed' END AS verdict,
        CASE WHEN detections = 0 THEN states END AS regulatory_states FROM (SELECT run_id, band, count(*) FILTER (sample_status = 'sampled') AS detections,
@@ -834,10 +845,9 @@ def _probe_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-_PROBE_FRAMES = 6000
-simple("e34_radiotap_population", lambda i: K.radiotap_population(i.frames, i.captures, _PROBE_FRAMES),
+simple("e34_radiotap_population", lambda i: K.radiotap_population(i.frames, i.captures),
        f"""SELECT * FROM (WITH chosen AS (SELECT f.* FROM frames f JOIN (SELECT run_id, arg_min(pcap_file, (-length, pcap_file)) AS pcap_file FROM captures
-         WHERE length > 24 GROUP BY 1) l ON l.run_id = f.run_id AND l.pcap_file = f.pcap_file WHERE f.frame_number <= {_PROBE_FRAMES}) {_probe_sql()}) z""")
+         WHERE length > 24 GROUP BY 1) l ON l.run_id = f.run_id AND l.pcap_file = f.pcap_file) {_probe_sql()}) z""")
 simple("e35_truncation", lambda i: K.truncation(i.frames),
        """SELECT run_id, count(*) AS frames, max(captured_length) AS largest_captured,
        count(*) FILTER (captured_length < wire_length) AS truncated FROM frames GROUP BY 1""")
@@ -940,7 +950,7 @@ simple("u2_layer_union", lambda i: i.frequencies.select("run_id", "band", "frequ
     "SELECT run_id, band, frequency_mhz, NULL AS bssid FROM frequencies UNION ALL SELECT run_id, band, NULL, bssid FROM observations")
 simple("u3_id_difference", lambda i: i.classified.where("eligible").select("run_id").exceptAll(i.manifests.select("run_id")),
        "SELECT run_id FROM classified WHERE eligible EXCEPT ALL SELECT run_id FROM manifests")
-simple("u4_advertised_pairs", lambda i: V.advertised_pairs(i.staged_table("rnr")), "SELECT * FROM x_advertised")
+simple("u4_advertised_pairs", lambda i: V.advertised_pairs(i.staged_table("rnr")), "SELECT * FROM enabled_neighbors")
 simple("u5_expected_slots", lambda i: i.slots, "SELECT slot FROM slots")
 simple("u6_element_union", lambda i: E.element_counts(i.frames.where("bssid is not null")).where("element is not null"),
        "SELECT run_id, bssid, namespace, element, count(*) AS frames FROM elements WHERE bssid IS NOT NULL GROUP BY 1, 2, 3, 4")

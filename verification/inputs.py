@@ -119,17 +119,22 @@ class Inputs:
         status = self.manifests.select("run_id", F.col("status").alias("extraction_status"), error.alias("error"))
         return E.run_table(self.finished, status, SERIES)
 
+    @cached_property
+    def identified(self) -> DataFrame:
+        """Frames as the derived layer takes them: a run with a frame without identity has none."""
+        return E.identified_frames(self.frames)
+
     @cached_property
     def rnr(self) -> DataFrame:
-        return E.rnr_records(self.frames)
+        return E.rnr_records(self.identified)
 
     @cached_property
     def load(self) -> DataFrame:
-        return E.bss_load_records(self.frames)
+        return E.bss_load_records(self.identified)
 
     @cached_property
     def capabilities(self) -> DataFrame:
-        return E.ie_capabilities(self.frames.where("bssid is not null"))
+        return E.ie_capabilities(self.identified)
 
     @cached_property
     def available(self) -> DataFrame:
