@@ -56,7 +56,7 @@ def deduped_lines(rows, order):
     places = []
     for doc in sorted(range(len(rows)), key=order):
         for at, line in enumerate((rows[doc][1] or "").split("\n")):
-            plain = line.strip(" \t\r").lower()
+            plain = line.strip(" \t\r")
             if len(plain.split(" ")) >= 8:
                 places.append((doc, at, plain))
     distinct = list(dict.fromkeys(p for *_, p in places))
