@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quietband.llm.common import text_or_empty, text_slices
 
 #: Bounds of the memory that remembered words take: entries, and characters of one.
-KNOWN_WORDS, KNOWN_CHARS = 300_000, 48
+KNOWN_WORDS, KNOWN_CHARS = 500_000, 48
 _WHITE = r"[\t-\r \x85\xa0  -     　]"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+")
 _NONE = np.int64(2**62)
@@ -58,6 +58,7 @@ class WordBpe:
             self.names[i] = token.encode("utf-8")
         self.digits = [str(i).encode() for i in range(size)]
         self.known: dict[str, bytes] = {}
+        self.merged_words: dict[str, bytes] = {}
         self.path, self.library = path, None
 
     def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
@@ -133,16 +134,22 @@ class WordBpe:
             self.known.clear()
             new = list(set().union(*words))
         split = [self._split(w) for w in new]
-        pieces = list({p for parts in split for p in parts if isinstance(p, str)})
-        ids = {p: x.astype(self.kind).tobytes() for p, x in zip(pieces, self.merge_words([p.encode("utf-8", "replace") for p in pieces]))}
+        pieces = {p for parts in split for p in parts if isinstance(p, str)}
+        unknown = list(pieces - self.merged_words.keys())
+        if len(self.merged_words) + len(unknown) > KNOWN_WORDS:
+            self.merged_words.clear()
+            unknown = list(pieces)
+        ids = self.merged_words
+        ids.update((p, x.astype(self.kind).tobytes()) for p, x in zip(unknown, self.merge_words([p.encode("utf-8", "replace") for p in unknown])))
         for w, parts in zip(new, split):
             self.known[w] = b"".join(
                 ids[p] if isinstance(p, str) else np.array([p], self.kind).tobytes() for p in parts
             )
         out = [b"".join([self.known[w] for w in parts]) for parts in words]
-        for w in new:
-            if len(w) > KNOWN_CHARS:
-                del self.known[w]
+        for known, fresh in ((self.known, new), (ids, unknown)):
+            for w in fresh:
+                if len(w) > KNOWN_CHARS:
+                    del known[w]
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
