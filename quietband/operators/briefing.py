@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quietband import config as C
+from quietband.config import SeriesConfig
 from quietband.functions import radio
 from quietband.operators import health as H
 
-_SCOPE, _HEALTH, _COVERAGE, _SNAPSHOT, _CAPABILITY, _SIX, _LOAD, _QUALITY, _COMMISSIONING, _ = (
+_SCOPE, _HEALTH, _COVERAGE, _SNAPSHOT, _CAPABILITY, _SIX, _LOAD, _QUALITY, _COMMISSIONING, _PROVENANCE = (
     C.BRIEFING_SECTIONS
 )
 _CAPABILITIES = ("advertises_he", "advertises_he_6ghz", "advertises_eht", "advertises_mld",
@@ -141,16 +142,21 @@ def load_summary(load: DataFrame) -> DataFrame:
     )
 
 
-def commissioning_summary(frequencies: DataFrame, observations: DataFrame) -> DataFrame:
-    """Commissioning runs straight from their source tables, outside the derived layer."""
+def commissioning_summary(frequencies: DataFrame, observations: DataFrame, runs: tuple[str, ...]) -> DataFrame:
+    """Every configured commissioning run, straight from the source tables, outside the derived layer.
+
+    A run without a manifest table is not `present` and has zeros.
+    """
     freq = frequencies.groupBy("run_id").agg(
         F.count("*").alias("frequencies"), F.count_if(F.col("sample_status") == "sampled").alias("sampled")
     )
     heard = observations.groupBy("run_id", "bssid").agg(F.count("*").alias("n")).groupBy("run_id").agg(
         F.sum("n").alias("observations"), F.count("bssid").alias("bssids")
     )
-    return freq.join(heard, "run_id", "left").select(
-        "run_id", "frequencies", "sampled",
+    named = frequencies.sparkSession.createDataFrame([(r,) for r in runs], "run_id string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return named.join(freq, "run_id", "left").join(heard, "run_id", "left").select(
+        "run_id", F.col("frequencies").isNotNull().alias("present"), zero("frequencies"), zero("sampled"),
         F.coalesce("observations", F.lit(0)).alias("observations"),
         F.coalesce("bssids", F.lit(0)).alias("bssids"),
     )
@@ -261,11 +267,28 @@ def briefing_metrics(
         _long(findings(run, health, rnr, resolution), _QUALITY, [
             {"metric": "finding", "numerator": "n", "label": "concat_ws(' ', subject, detail)"}]),
         _long(commissioning, _COMMISSIONING, [
-            _count(n, n, run_id="run_id") for n in ("frequencies", "sampled", "observations", "bssids")]),
+            _count("present", "CAST(present AS INT)", run_id="run_id"),
+            *[_count(n, n, run_id="run_id") for n in ("frequencies", "sampled", "observations", "bssids")]]),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def provenance(spark: SparkSession, series: SeriesConfig, root: str, derived_root: str) -> DataFrame:
+    """Briefing rows of what the numbers were made from: series boundary, versions, roots and views."""
+    facts = [
+        (_SCOPE, "series_start", series.series_start),
+        *[(_SCOPE, "commissioning_run", r) for r in series.commissioning],
+        (_PROVENANCE, "derived_schema_id", series.derived_schema_id),
+        (_PROVENANCE, "extractor_version", series.extractor_version),
+        (_PROVENANCE, "source_root", root), (_PROVENANCE, "derived_root", derived_root),
+        *[(_PROVENANCE, "view", v) for v in C.VIEW_NAMES],
+    ]
+    rows = spark.createDataFrame(facts, "section string, metric string, label string")
+    return rows.select("section", *[
+        F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in _SHAPE.items()
+    ])
+
+
 def in_section_order(briefing: DataFrame) -> DataFrame:
     """Briefing rows in section order."""
     position = F.array_position(F.array(*[F.lit(s) for s in C.BRIEFING_SECTIONS]), F.col("section"))

@@ -36,10 +36,20 @@ def briefing_from_views(views: dict[str, DataFrame], commissioning: DataFrame) -
     )
 
 
-def briefing(spark: SparkSession, root: str, views: dict[str, DataFrame], series: SeriesConfig) -> DataFrame:
-    """Every briefing number.  Commissioning runs come from their source tables."""
+def briefing(
+    spark: SparkSession, root: str, derived_root: str, views: dict[str, DataFrame], series: SeriesConfig
+) -> DataFrame:
+    """All ten sections in order.  Commissioning runs come from their source tables."""
     frequencies, observations = read_commissioning(
         tree.frequencies(spark, root), tree.observations(spark, root), series.commissioning
     )
-    summary = B.commissioning_summary(frequencies, observations)
-    return briefing_from_views(store_run_grain(spark, views), summary)
+    summary = B.commissioning_summary(frequencies, observations, series.commissioning)
+    return whole_briefing(spark, store_run_grain(spark, views), summary, series, root, derived_root)
+
+
+def whole_briefing(
+    spark: SparkSession, views: dict[str, DataFrame], commissioning: DataFrame, series: SeriesConfig,
+    root: str, derived_root: str,
+) -> DataFrame:
+    made_from = B.provenance(spark, series, root, derived_root)
+    return B.in_section_order(briefing_from_views(views, commissioning).unionByName(made_from))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quietband.config import CAPABILITY_COLUMNS, RADIOTAP_PROBE, RNR_CELLS
@@ -124,6 +127,17 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], DERIVED[table])
 
 
+def union_layers(parts: list[DataFrame], schema: T.StructType) -> DataFrame:
+    """One table from runs or batches of several ages: columns that an older part lacks are typed NULL."""
+    whole = [
+        part.select(*[
+            (F.col(f.name) if f.name in part.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+        ])
+        for part in parts
+    ]
+    return reduce(DataFrame.unionByName, whole)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project `df` onto a declared schema: same columns, order and types."""
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema])

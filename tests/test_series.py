@@ -99,7 +99,7 @@ def test_contract_columns_and_types(built):
 
 def test_briefing_numbers(spark, built):
     root, _, _, views = built
-    rows = briefing(spark, str(root), views, SERIES).collect()
+    rows = briefing(spark, str(root), "/derived", views, SERIES).collect()
     value = {(r.section, r.metric, r.run_id, r.label): r for r in rows}
     assert value[("Collection health", "completed_sweep", None, None)].numerator == 2
     assert value[("Commissioning reference", "observations", SERIES.commissioning[0], None)].numerator == 4
@@ -108,7 +108,18 @@ def test_briefing_numbers(spark, built):
     assert value[("Data-quality findings", "missing_slot", None, "20260827-170000")].numerator == 1
     assert value[("Data-quality findings", "ambiguous_rnr_rows", None, "2")].numerator == 2
     assert ("Scope and cutoff", "last_successful_sweep", None, SECOND) in value
-    assert {r.section for r in rows} == set(C.BRIEFING_SECTIONS[:-1])
+    assert list(dict.fromkeys(r.section for r in rows)) == list(C.BRIEFING_SECTIONS)
+    assert value[("Provenance", "derived_root", None, "/derived")] and ("Scope and cutoff", "series_start", None, SERIES.series_start) in value
+    present = {r.run_id: r.numerator for r in rows if r.metric == "present"}
+    assert present == dict.fromkeys(SERIES.commissioning, 1)
+
+
+def test_an_absent_commissioning_run_has_a_row(spark):
+    from quietband import schemas
+    from quietband.operators.briefing import commissioning_summary
+
+    none = spark.createDataFrame([], schemas.FREQUENCIES), spark.createDataFrame([], schemas.OBSERVATIONS)
+    assert [tuple(r) for r in commissioning_summary(*none, ("20260827-054734",)).collect()] == [("20260827-054734", False, 0, 0, 0, 0)]
 
 
 def test_unchanged_then_changed_then_stale(spark, built, tmp_path):

@@ -7,6 +7,7 @@ its SQL names the relations of ``verification.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from quietband.operators import membership as M
 from quietband.operators import metrics as V
 from quietband.operators import profile as P
 from quietband.operators import sweep_summary as S
-from quietband.plans.briefing import briefing_from_views, store_run_grain
+from quietband.plans.briefing import briefing_from_views, store_run_grain, whole_briefing
 from quietband.plans.views import base_view
 from quietband.sources import captures as CAP
 from quietband.sources import derived as D
@@ -291,24 +292,44 @@ def a13(i):
 # =========================================================================================
 
 
-@query("b1_write_derived", f"SELECT {cols(schemas.OBSERVATIONS)}, substr(run_id, 1, 8) AS run_date FROM observations")
+_TABLE_SQL = {"run": "run", "frequencies": "frequencies", "observations": "observations", "ie_capabilities": "capabilities",
+              "rnr": "rnr", "bss_load": "bss_load", "field_resolution": "resolution"}
+# A table's rows and how many of its cells hold something, column by column.
+_FILLED = lambda t: " + ".join(f"count({c})" for c in schemas.DERIVED[t].fieldNames())
+
+
+def _content(tables: dict[str, DataFrame], *more: str) -> DataFrame:
+    parts = [
+        rows.groupBy("run_id", *more).agg(F.count("*").alias("n"), F.expr(_FILLED(name)).alias("filled"))
+        .select(F.lit(name).alias("table_name"), "run_id", *more, "n", "filled")
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("b1_write_derived", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, run_id, substr(run_id, 1, 8) AS run_date, count(*) AS n, {_FILLED(name)} AS filled FROM {source} GROUP BY run_id"
+    for name, source in _TABLE_SQL.items()))
 def b1(i):
+    """All seven tables written twice under one batch id, as after a lost attempt, and read back."""
     root = i.scratch("derived")
-    D.write_derived(i.observations, root, "observations", "b1")
-    return D.read_stored(i.spark, root, "observations").drop("batch")
+    for name in C.DERIVED_TABLES:
+        D.write_derived(i.derived[name].limit(10), root, name, "b1")
+        D.write_derived(i.derived[name], root, name, "b1")
+    return _content({name: D.read_stored(i.spark, root, name) for name in C.DERIVED_TABLES}, "run_date")
 
 
 @query("b2_write_manifests", """SELECT r.run_id, r.extraction_status AS status, t.name,
-    CAST(coalesce(CASE t.name WHEN 'run.parquet' THEN 1 WHEN 'observations.parquet' THEN o.n WHEN 'rnr.parquet' THEN x.n END, 0) AS BIGINT) AS rows,
-    s.n AS n_sources
+    CAST(coalesce(o.n, 0) AS BIGINT) AS rows, s.n AS n_sources
     FROM run r CROSS JOIN (VALUES ('run.parquet'), ('frequencies.parquet'), ('observations.parquet'), ('ie_capabilities.parquet'),
       ('rnr.parquet'), ('bss_load.parquet'), ('field_resolution.parquet')) t(name)
-    LEFT JOIN (SELECT run_id, count(*) AS n FROM observations GROUP BY 1) o ON o.run_id = r.run_id
-    LEFT JOIN (SELECT run_id, count(*) AS n FROM rnr GROUP BY 1) x ON x.run_id = r.run_id
+    LEFT JOIN (""" + " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS name, run_id, count(*) AS n FROM {source} GROUP BY run_id" for name, source in _TABLE_SQL.items()) + """) o
+      ON o.run_id = r.run_id AND o.name = t.name
     LEFT JOIN (SELECT run_id, count(DISTINCT pcap_file) AS n FROM captures GROUP BY 1) s ON s.run_id = r.run_id""")
 def b2(i):
     root = i.scratch("manifest")
-    for table in ("run", "observations", "rnr"):
+    for table in C.DERIVED_TABLES:
         D.write_derived(i.derived[table], root, table, "b1")
     sources = i.captures.select(
         "run_id", F.col("pcap_file").alias("name"), F.col("length").alias("size"),
@@ -897,11 +918,14 @@ _SIXES = ("direct_bssids", "direct_beacons", "sampled_frequencies", "sampled_emp
           "advertised_6ghz_disabled_links", "unresolved_operating_classes", "ambiguous_rnr_rows", "advertised_not_observed_nonconcurrent")
 simple("e44_evidence_totals", lambda i: B.evidence_totals(_EVIDENCE(i)), f"SELECT {_big(*_SIXES)} FROM v_6ghz")
 simple("e44_latest_evidence", lambda i: B.latest_row(_EVIDENCE(i)), "SELECT * FROM v_6ghz ORDER BY run_id DESC LIMIT 1")
-_commissioning = lambda i: B.commissioning_summary(*SRC.read_commissioning(i.frequencies, i.observations, SERIES.commissioning))
+_commissioning = lambda i: B.commissioning_summary(
+    *SRC.read_commissioning(i.frequencies, i.observations, SERIES.commissioning), SERIES.commissioning)
 _COMM = f"""SELECT f.run_id, count(*) AS frequencies, count(*) FILTER (sample_status = 'sampled') AS sampled,
     (SELECT count(*) FROM observations o WHERE o.run_id = f.run_id) AS observations,
-    (SELECT count(DISTINCT bssid) FROM observations o WHERE o.run_id = f.run_id) AS bssids FROM frequencies f
-    WHERE f.run_id IN ('{SERIES.commissioning[0]}', '{SERIES.commissioning[1]}') GROUP BY 1"""
+    (SELECT count(DISTINCT bssid) FROM observations o WHERE o.run_id = f.run_id) AS bssids, TRUE AS present FROM frequencies f
+    WHERE f.run_id IN ('{SERIES.commissioning[0]}', '{SERIES.commissioning[1]}') GROUP BY 1
+    UNION ALL SELECT run_id, 0, 0, 0, 0, FALSE FROM (VALUES ('{SERIES.commissioning[0]}'), ('{SERIES.commissioning[1]}')) c(run_id)
+    WHERE run_id NOT IN (SELECT run_id FROM frequencies)"""
 simple("e45_commissioning_summary", _commissioning, _COMM)
 _MARKS = """SELECT 'data_cutoff' AS marker, max(started_utc) AS text FROM stg_run UNION ALL SELECT 'latest_input', max(run_id) FROM health
     UNION ALL SELECT 'last_successful_sweep', max(run_id) FROM v_hourly UNION ALL SELECT 'last_discovered_attempt', max(run_id) FROM stg_run"""
@@ -945,9 +969,12 @@ simple("w8_descending_counts", lambda i: P.channel_occupancy(i.observations).ord
        """SELECT run_id, band, frequency_mhz, channel, count(DISTINCT bssid) AS bssids,
        CAST(sum(beacons) AS BIGINT) AS beacons FROM observations GROUP BY 1, 2, 3, 4 ORDER BY bssids DESC, run_id, band, frequency_mhz, channel""")
 simple("u1_health_union", lambda i: i.health, "SELECT * FROM health")
-simple("u2_layer_union", lambda i: i.frequencies.select("run_id", "band", "frequency_mhz").unionByName(
-    i.observations.select("run_id", "band", "bssid"), allowMissingColumns=True),
-    "SELECT run_id, band, frequency_mhz, NULL AS bssid FROM frequencies UNION ALL SELECT run_id, band, NULL, bssid FROM observations")
+# Runs of the first half come from a batch that did not have two columns yet.
+_OLD = "run_id < '20240116-000000'"
+simple("u2_layer_union", lambda i: schemas.union_layers(
+    [i.observations.where(_OLD).drop("channel", "beacon_reception_ratio"), i.observations.where(f"NOT ({_OLD})")], schemas.OBSERVATIONS),
+    f"""SELECT * REPLACE (CASE WHEN NOT ({_OLD}) THEN channel END AS channel,
+        CASE WHEN NOT ({_OLD}) THEN beacon_reception_ratio END AS beacon_reception_ratio) FROM observations""")
 simple("u3_id_difference", lambda i: i.classified.where("eligible").select("run_id").exceptAll(i.manifests.select("run_id")),
        "SELECT run_id FROM classified WHERE eligible EXCEPT ALL SELECT run_id FROM manifests")
 simple("u4_advertised_pairs", lambda i: V.advertised_pairs(i.staged_table("rnr")), "SELECT * FROM enabled_neighbors")
@@ -965,21 +992,22 @@ simple("p1_plan_update", lambda i: I.update_outcomes(i.classified, _decisions(i)
        FROM classified x LEFT JOIN (SELECT run_id, {_REASON} AS reason FROM runs) d ON d.run_id = x.run_id WHERE x.eligible""")
 
 
-@query("p2_enrich", """SELECT 'ie_capabilities' AS table_name, run_id, count(*) AS n FROM capabilities WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
-    UNION ALL SELECT 'rnr', run_id, count(*) FROM rnr WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
-    UNION ALL SELECT 'bss_load', run_id, count(*) FROM bss_load WHERE run_id IN (SELECT run_id FROM wanted) GROUP BY 2
-    UNION ALL SELECT 'run', run_id, 1 FROM classified WHERE eligible AND attempt_state <> 'running'""".replace(
-        "wanted", "(SELECT run_id FROM frames GROUP BY run_id HAVING count(*) = count(bssid)) w"))
+# The run row is of finished eligible attempts, with the status that the frames lead to; the rest is as in the mapped tables.
+@query("p2_enrich", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, run_id, count(*) AS n, {_FILLED(name)} AS filled FROM {source} GROUP BY run_id"
+    for name, source in _TABLE_SQL.items() if name not in ("run", "field_resolution")) + f"""
+    UNION ALL SELECT 'run', run_id, 1, {len(schemas.RUN.fieldNames()) - 3} + count(run_status) + count(started_utc)
+        + CASE WHEN any_value(frequencies_ok AND aggregate_ok) AND run_id NOT IN (SELECT run_id FROM frames WHERE bssid IS NULL) THEN 0 ELSE 1 END
+      FROM (SELECT c.*, r.frequencies_ok, r.aggregate_ok FROM classified c JOIN runs r ON r.run_id = c.run_id) z
+      WHERE eligible AND attempt_state <> 'running' GROUP BY run_id
+    UNION ALL SELECT 'field_resolution', run_id, {len(C.FIELD_CANDIDATES)}, {5 * len(C.FIELD_CANDIDATES)} FROM classified
+      WHERE eligible AND attempt_state <> 'running'""")
 def p2(i):
     from quietband.plans.enrich import derive_tables
 
     flagged = lambda rows: rows.withColumn("bad_cell", F.lit(False))
     tables = derive_tables(i.finished, i.registry, flagged(i.frequencies), flagged(i.observations), i.frames, SERIES)
-    out = None
-    for name in ("ie_capabilities", "rnr", "bss_load", "run"):
-        part = tables[name].groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "run_id", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _content(tables)
 
 
 @query("p3_build_views", " UNION ALL ".join(
@@ -1024,15 +1052,20 @@ def _briefing_sql() -> str:
         + rows("SELECT * FROM v_6ghz ORDER BY run_id DESC LIMIT 1", sec[5], [n(m, None, "run_id", None, "latest_") for m in _SIXES])
         + rows(_LOADS, sec[6], [n(m) for m in ("frames", "bssids", "runs", "stations_min", "stations_max")] + [n(m, "255") for m in ("utilization_min", "utilization_max")])
         + rows(_FINDINGS, sec[7], [("finding", "n", None, None, None, "concat_ws(' ', subject, detail)")])
-        + rows(_COMM, sec[8], [n(m, None, "run_id") for m in ("frequencies", "sampled", "observations", "bssids")])
+        + rows(_COMM, sec[8], [("'present'", "CAST(present AS INT)", None, None, "run_id", None)]
+               + [n(m, None, "run_id") for m in ("frequencies", "sampled", "observations", "bssids")])
     )
     return " UNION ALL ".join(parts)
 
 
 ORACLE_SNAP = " UNION ALL ".join(_SNAP.format(m) for m in ("observed_bssids", "beacon_frames"))
 simple("p4_briefing_metrics", lambda i: briefing_from_views(store_run_grain(i.spark, i.views), _commissioning(i)), _briefing_sql())
-QUERIES["b7_briefing"] = QUERIES["p4_briefing_metrics"]
-ORACLES["b7_briefing"] = ORACLES["p4_briefing_metrics"]
+_MADE_FROM = [("Scope and cutoff", "series_start", SERIES.series_start), *[("Scope and cutoff", "commissioning_run", r) for r in SERIES.commissioning],
+              ("Provenance", "derived_schema_id", "survey-derived/1"), ("Provenance", "extractor_version", "quietband-enrich/1"),
+              ("Provenance", "source_root", "/survey"), ("Provenance", "derived_root", "/derived"), *[("Provenance", "view", v) for v in _VIEW_SQL]]
+simple("b7_briefing", lambda i: whole_briefing(i.spark, store_run_grain(i.spark, i.views), _commissioning(i), SERIES, "/survey", "/derived"),
+       _briefing_sql() + " UNION ALL SELECT s, m, NULL, NULL, NULL, NULL, l FROM (VALUES "
+       + ", ".join(f"('{s}', '{m}', '{v}')" for s, m, v in _MADE_FROM) + ") v(s, m, l)")
 
 
 def _sizes(relations: dict[str, DataFrame], keep: tuple[str, ...]) -> DataFrame:
@@ -1055,16 +1088,16 @@ def p5(i):
                   ("coverage", "coverage_by_band", "features", "channel_occupancy", "radio_family_names"))
 
 
-@query("p6_census_captures", """SELECT 'truncation' AS relation, run_id, 1 AS n FROM frames GROUP BY run_id
-    UNION ALL SELECT 'elements', run_id, count(DISTINCT (namespace, element)) FROM elements GROUP BY run_id
-    UNION ALL SELECT 'observed', run_id, count(*) FROM observed GROUP BY run_id
+@query("p6_census_captures", """SELECT 'truncation' AS relation, run_id, 1 AS n FROM good GROUP BY run_id
+    UNION ALL SELECT 'elements', run_id, count(DISTINCT (namespace, element)) FROM elements WHERE run_id IN (SELECT run_id FROM good) GROUP BY run_id
+    UNION ALL SELECT 'observed', run_id, count(*) FROM observed WHERE run_id IN (SELECT run_id FROM good) GROUP BY run_id
     UNION ALL SELECT 'advertisements', run_id, count(*) FROM adverts GROUP BY run_id
     UNION ALL SELECT 'bss_load', run_id, count(*) FROM bss_load GROUP BY run_id
     UNION ALL SELECT 'rnr', run_id, count(*) FROM rnr GROUP BY run_id""")
 def p6(i):
     from quietband.plans.census import census_captures
 
-    return _sizes(census_captures(i.frames, i.captures), ("truncation", "elements", "observed", "advertisements", "bss_load", "rnr"))
+    return _sizes(census_captures(i.identified, i.captures), ("truncation", "elements", "observed", "advertisements", "bss_load", "rnr"))
 
 
 # =========================================================================================
