@@ -17,12 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(rows: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, *partition_by: str, compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, and lost executors cost no earlier step."""
     spark = rows.sparkSession
     path = scratch_path(spark, f"llm-{label}")
-    writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
-    writer.parquet(path)
+    writer = rows.write.option("compression", compression)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
