@@ -200,7 +200,7 @@ def compare_with_edit_and_next(docs: DataFrame, id_col: str = "doc_id", text_col
             fingerprint("digests").alias("fingerprint"), fingerprint("edited_digests").alias("edited_fingerprint"),
             "digests", "edited_digests", "next_digests",
         ),
-        "sketch-rows",
+        "sketch-rows", compression="zstd",
     )
     key = ["bucket", "row", "kind"]
     pairs = kept.select("bucket", "row", F.explode(F.array(
