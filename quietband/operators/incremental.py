@@ -136,20 +136,27 @@ def unreconciled_runs(classified: DataFrame, manifests: DataFrame) -> DataFrame:
     return waiting.select("run_id").join(manifests.select("run_id"), "run_id", "left_anti")
 
 
-def require_reconciled(classified: DataFrame, manifests: DataFrame) -> None:
-    """Raise, naming a few of them, when eligible attempts have no manifest."""
-    missing = unreconciled_runs(classified, manifests)
-    sample = [r.run_id for r in missing.orderBy("run_id").limit(20).collect()]
-    if sample:
-        raise ReconciliationError(f"eligible attempts without a derivation manifest, first: {sample}")
-
-
-def require_intact(damaged: DataFrame) -> None:
-    """Raise when any recorded output no longer matches its manifest."""
-    sample = damaged.orderBy("run_id", "name").limit(20).collect()
-    if sample:
-        listed = [f"{r.run_id}: {r.name} {r.problem}" for r in sample]
-        raise ReconciliationError(f"damaged outputs, first: {listed}")
+def _report(rows: DataFrame, path: str, what: str, line) -> None:
+    """Raise when there are rows: all are written to `path`, a few are named."""
+    if rows.isEmpty():
+        return
+    rows.write.mode("overwrite").parquet(path)
+    written = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    named = [line(r) for r in written.orderBy(*written.columns).limit(20).collect()]
+    raise ReconciliationError(f"{what}, all {written.count()} in {path}, first: {named}")
+
+
+def require_reconciled(classified: DataFrame, manifests: DataFrame, report: str) -> None:
+    """Raise when eligible attempts have no manifest; they are listed in the table at `report`."""
+    _report(
+        unreconciled_runs(classified, manifests), report, "eligible attempts without a derivation manifest",
+        lambda r: r.run_id,
+    )
+
+
+def require_intact(damaged: DataFrame, report: str) -> None:
+    """Raise when any recorded output no longer matches its manifest; they are listed in the table at `report`."""
+    _report(damaged, report, "damaged outputs", lambda r: f"{r.run_id}: {r.name} {r.problem}")
 
 
 def latest_manifests(manifests: DataFrame) -> DataFrame:

@@ -48,11 +48,12 @@ def build_views(
     classified = tree.classified(spark, root, series)
     manifests = D.read_manifest_table(spark, derived_root)
     if verify:
-        I.require_reconciled(classified, manifests)
+        I.require_reconciled(classified, manifests, f"{derived_root}/reports/unreconciled")
         I.require_intact(
             I.damaged_outputs(
                 I.recorded_outputs(manifests), D.recorded_batch_digests(spark, derived_root, manifests)
-            )
+            ),
+            f"{derived_root}/reports/damaged",
         )
     health = H.build_run_health(classified, H.expected_slots(H.clock(spark, now), series))
     views = assemble_views(D.read_derived(spark, derived_root), health)

@@ -176,6 +176,8 @@ def test_damage_and_gaps_are_errors(spark, tmp_path):
     B.write_run(root, SECOND)
     with pytest.raises(I.ReconciliationError, match=SECOND):
         build_views(spark, str(root), derived, NOW, SERIES)
+    assert [r.run_id for r in spark.read.parquet(f"{derived}/reports/unreconciled").collect()] == [SECOND]
+    assert [r.name for r in spark.read.parquet(f"{derived}/reports/damaged").collect()] == ["observations.parquet"]
 
 
 def test_unreadable_capture_makes_its_run_partial(spark, tmp_path):
