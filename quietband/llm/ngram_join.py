@@ -78,7 +78,8 @@ def _index(words: int, buckets: int):
             order = np.lexsort((packed, bucket))
             bucket, packed = bucket[order], packed[order]
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            rows = [(int(bucket[a]), packed[a:b].tobytes()) for a, b in zip(cut, [*cut[1:], len(packed)])]
+            # Byte planes of sorted numbers have long runs, which the shuffle's compression takes up.
+            rows = [(int(bucket[a]), packed[a:b].view(np.uint8).reshape(-1, 8).T.tobytes()) for a, b in zip(cut, [*cut[1:], len(packed)])]
             return pa.record_batch({
                 "bucket": pa.array([b for b, _ in rows] + [buckets + src], pa.int64()),
                 "src": pa.array([src] * (len(rows) + 1), pa.int64()),
@@ -114,7 +115,8 @@ def _shared(group: pa.Table) -> pa.Table:
         return group.append_column("tokens", pa.array([None] * len(group), pa.binary())).drop_columns(["bucket", "body"]).select(
             ["src", "tokens", "ids", "head"])
     bucket = np.uint64(group.column("bucket")[0].as_py())
-    parts = [np.frombuffer(x, np.uint64) for x in group.column("body").to_pylist()]
+    planes = [np.frombuffer(x, np.uint8).reshape(8, -1) for x in group.column("body").to_pylist()]
+    parts = [np.ascontiguousarray(x.T).view(np.uint64).ravel() for x in planes]
     src = np.repeat(np.array(group.column("src").to_pylist(), np.int64), [len(p) for p in parts])
     packed = np.concatenate(parts)
     order = np.argsort(packed, kind="stable")
