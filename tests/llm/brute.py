@@ -81,5 +81,34 @@ def deduped_lines(rows, order):
     ]
 
 
+def whole_lines(rows, order):
+    """As deduped_lines, of every non-blank line and by the 16 characters from every offset."""
+    places = []
+    for doc in sorted(range(len(rows)), key=order):
+        for at, line in enumerate((rows[doc][1] or "").split("\n")):
+            if line.strip(" \t\r"):
+                places.append((doc, at, line.strip(" \t\r")))
+    distinct = list(dict.fromkeys(p for *_, p in places))
+    sets = [{x[i : i + 16] for i in range(max(1, len(x) - 15))} for x in distinct]
+    links = []
+    held = defaultdict(list)
+    for i, s in enumerate(sets):
+        common = defaultdict(int)
+        for t in s:
+            for j in held[t]:
+                common[j] += 1
+            held[t].append(i)
+        links += [(i, j) for j, c in common.items() if 100 * c >= 80 * (len(s) + len(sets[j]) - c)]
+    root = dict(zip(distinct, groups(len(distinct), links)))
+    seen, gone = set(), defaultdict(set)
+    for doc, at, plain in places:
+        if root[plain] in seen:
+            gone[doc].add(at)
+        seen.add(root[plain])
+    return [
+        t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d]) for d, (_, t) in enumerate(rows)
+    ]
+
+
 def paragraphs(text):
     return {x.strip(" \t\r\n") for x in re.findall(r"(?:\S+[^\S\n]*){1,24}\n?", text or "", re.A)}

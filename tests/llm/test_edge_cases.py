@@ -137,6 +137,14 @@ def test_line_dedup(edge, nothing):
     assert dedup_lines(nothing).count() == 0
 
 
+def test_lines_that_differ_late_in_long_words_stay(spark):
+    """Two lists of addresses whose words share their first 16 characters."""
+    lists = [" ".join(f"https://www.example.com/{kind}/{i}" for i in range(n)) for kind, n in (("articles", 10), ("products", 64))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lists, lists[1] + " end"])], "doc_id long, text string")
+    rows = {r.doc_id: r for r in dedup_lines(docs).collect()}
+    assert [rows[i].text for i in range(3)] == [*lists, ""]
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]
