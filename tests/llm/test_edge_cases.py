@@ -145,6 +145,17 @@ def test_lines_that_differ_late_in_long_words_stay(spark):
     assert [rows[i].text for i in range(3)] == [*lists, ""]
 
 
+def test_short_lines_and_lines_without_blanks(spark):
+    """Equal lines go at any length and in any script; blank lines stay."""
+    han = "".join(chr(0x4E00 + i) for i in range(200))
+    other = "".join(chr(0x6E00 + i) for i in range(200))
+    texts = ["Menu\n\na\tb\tc", f" Menu\n\n{han}", f"{other}\n{han}x", "a\tb\tc\nmenu"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in dedup_lines(docs).collect()}
+    assert [rows[i].text for i in range(4)] == [texts[0], f"\n{han}", other, "menu"]
+    assert [rows[i].text for i in range(4)] == brute.whole_lines(list(enumerate(texts)), lambda k: k)
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]

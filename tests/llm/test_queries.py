@@ -75,6 +75,15 @@ def test_line_dedup_recall(spark, docs):
     assert did >= 0.95 * should and same >= 0.97 * len(docs)
 
 
+def test_line_dedup_of_all_lines(spark, docs):
+    """As above, of lines of any length and with the shingles of every offset."""
+    want = dict(zip((i for i, _ in docs), brute.whole_lines(docs, lambda k: docs[k][0])))
+    rows = {r.doc_id: r for r in QUERIES["op8_minhash_line_dedup"](spark, SF).collect()}
+    should = sum((t or "").count("\n") - (want[i] or "").count("\n") for i, t in docs)
+    same = sum(rows[i].text_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in want.items() if t is not None)
+    assert sum(r.lines_gone for r in rows.values()) >= 0.95 * should and same >= 0.97 * len(docs)
+
+
 @pytest.mark.parametrize("key", NATIVE)
 def test_native_plans_run_no_python(spark, key):
     plan = QUERIES[key](spark, SF)._jdf.queryExecution().toString()
