@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -64,6 +65,11 @@ def document_points(ids: list[np.ndarray]) -> np.ndarray:
     return np.clip((vectors @ directions + 4) / 8 * steps, 0, steps - 1).astype(np.int64)
 
 
+def _is_letters(word: str) -> bool:
+    """Whether a word is letters only, also once composed and lower-cased: that turns some letters into a letter and a mark."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class WordIds:
     """Token ids of whole texts by the tokenizers library, word by word.
 
@@ -89,21 +95,22 @@ class WordIds:
     def split(word: str) -> tuple[str, ...]:
         """Letters and the signs after them, or the word as it is; ASCII letters in the lower case that the vocabulary uses."""
         head = word.rstrip(SIGNS)
-        if not head.isalpha():
+        if not _is_letters(head):
             return (word,)
         plain = head.lower() if head.isascii() else head
         return (plain,) if len(head) == len(word) else (plain, word[len(head) :])
 
     def _ids(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each piece with its ids; words of letters go to the library in runs, where each ends with its own word-end token."""
-        plain = [p for p in pieces if p.isalpha()]
+        letters = [_is_letters(p) for p in pieces]
+        plain = [p for p, x in zip(pieces, letters) if x]
         runs = [" ".join(plain[i : i + RUN]) for i in range(0, len(plain), RUN)]
         found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, self.kind) for e in found]) if found else np.zeros(0, self.kind)
         ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
         data = ids.tobytes()
         yield from zip(plain, map(lambda a, b: data[a:b], [0, *ends], ends), strict=True)
-        other = [p for p in pieces if not p.isalpha()]
+        other = [p for p, x in zip(pieces, letters) if not x]
         for p, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             yield p, np.array(e.ids, self.kind).tobytes()
 

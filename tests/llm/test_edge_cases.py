@@ -16,7 +16,7 @@ from quietband.llm.fingerprints import compare_with_edit_and_next
 from quietband.llm.license_scan import scan_licenses
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components, one_per_component
-from quietband.llm.packing import pack_along_curve
+from quietband.llm.packing import WordIds, pack_along_curve
 from quietband.llm.sharding import kd_shards
 from quietband.llm.toxicity import fit, score_toxicity, training_model, without_toxic
 from quietband.llm.warc import round_trip
@@ -88,6 +88,14 @@ def test_packing(edge, nothing):
     assert pack_along_curve(nothing, WORDS).count() == 0
 
 
+def test_words_that_normalisation_takes_apart():
+    """Letters that become a letter and a mark, among plain words; ids as those of the library for the whole text."""
+    odd = ["İstanbul", "İ", *(chr(c) + "क" for c in range(0x958, 0x960)), "\ufb2a", "\ufb4bש", "e\u0301té", "ΣΑΣ", "straße", "ﬁn", "ǅ"]
+    text = " ".join(f"plain {w} {w}, words{w}" for w in odd)
+    got = np.frombuffer(WordIds(WORDS).encode([text])[0], "<u2")
+    assert got.tolist() == library_ids(text)
+
+
 def test_licenses(edge, nothing):
     rows = {(r.doc_id, r.n_words): r for r in scan_licenses(edge).collect()}
     assert rows[1, 7].base_labels == "mit" and (rows[1, 7].n_base, rows[1, 7].first_word, rows[1, 7].last_word) == (1, 5, 5)
