@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from quietband.llm.common import flat_bytes, lower_ascii, runs_of, span_hashes, text_or_empty, text_slices
 
-#: Words per template that the index holds, by highest inverse document frequency, and such words that a file looks up.
-INDEXED_WORDS, FILE_WORDS = 8, 16
+#: Words per template that the index holds, by highest inverse document frequency, and how many of its first key phrase at least.
+INDEXED_WORDS, PHRASE_WORDS = 8, 2
 #: Words around the aligned template in which its key phrases must stand.
 SLACK = 24
 _WORD = np.zeros(256, bool)
@@ -88,8 +88,10 @@ class Index:
     def build(cls, idf: dict[int, float]) -> Index:
         templates = [(label, hashed(t.split()), [hashed(p.split()) for p in keys]) for label, t, keys in TEMPLATES]
         postings: dict[int, list[tuple[int, int]]] = {}
-        for k, (_, words, _) in enumerate(templates):
+        for k, (_, words, keys) in enumerate(templates):
             rare = sorted(dict.fromkeys(words), key=lambda w: (-idf[w], w))[:INDEXED_WORDS]
+            # With these, a place of the first key phrase has the votes that make a candidate.
+            rare += sorted(dict.fromkeys(keys[0]), key=lambda w: (-idf[w], w))[:PHRASE_WORDS]
             for at, w in enumerate(words):
                 if w in rare:
                     postings.setdefault(w, []).append((k, at))
@@ -115,16 +117,20 @@ class Index:
         base = {label for label, starts in found if len(starts)}
         starts = np.concatenate([s for _, s in found])
         labels, score = set(base), float(bool(base))
-        present = sorted({int(w) for w in np.unique(own)} & self.postings.keys(), key=lambda w: (-self.idf[w], w))[:FILE_WORDS]
-        # How many of the file's rare words put a template at each relative position.
-        votes: Counter = Counter()
-        for w in present:
-            for place in hits[own == w].tolist():
-                votes.update((k, place - at) for k, at in self.postings[w])
+        # How many of the file's indexed words put a template at each relative position.
+        votes = [
+            ((k << 40) + (1 << 39) - at) + places
+            for w in np.unique(own).tolist() if w in self.postings
+            for places in (hits[own == w],) for k, at in self.postings[w]
+        ]
+        keyed, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *votes]), return_counts=True)
+        keyed, counts = keyed[counts > 1], counts[counts > 1]
+        order = np.argsort(-counts, kind="stable")
         tried: set = set()
-        for (k, start), n in votes.most_common():
+        for key in keyed[order].tolist():
+            k, start = key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
             label, template, keys = self.templates[k]
-            if n < min(2, len(template)) or label in tried:
+            if label in tried:
                 continue
             lo, hi = max(0, start - SLACK), start + len(template) + SLACK
             window = words[lo:hi]
@@ -170,8 +176,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Words are runs of 0-9, a-z and non-ASCII bytes after A-Z are lower-cased. Base phrases are found at all their places. Beyond
-    them, a text looks up its licence words of highest inverse document frequency (counted over all documents) in a positional
-    index of the templates; words that agree on a template's relative position make it a candidate, and its mandatory key phrases
+    them, a text looks up all its words that are in a positional index of each template's words of highest inverse document
+    frequency (counted over all documents), two of its first key phrase among them; words that agree on a template's relative position make it a candidate, and its mandatory key phrases
     must stand around that place. `score` is the largest share of an accepted template's words there, 1 if a base phrase stands in the
     text, 0 without any label. Label lists are sorted and joined by commas, empty without labels.
 

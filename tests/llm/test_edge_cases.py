@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from quietband.llm.bpe import encode_documents
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.fingerprints import compare_with_edit_and_next
-from quietband.llm.license_scan import scan_licenses
+from quietband.llm.license_scan import BASE, TEMPLATES, scan_licenses
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components, one_per_component
 from quietband.llm.packing import WordIds, pack_along_curve
@@ -103,6 +103,20 @@ def test_licenses(edge, nothing):
     assert scan_licenses(edge).count() == len(ROWS) and scan_licenses(nothing).count() == 0
 
 
+def test_licenses_of_one_text_do_not_hide_each_other(spark):
+    """Labels against a search for the key phrases, in texts with up to all templates."""
+    filler = " plain words between the notices" * 12
+    parts = [t for _, t, _ in TEMPLATES]
+    cut = [(parts[9] + filler).join(["", parts[1], parts[2], parts[12]]), filler.join(parts), filler.join(parts[::-1]), filler.join(parts[::3])]
+    phrases = [filler.join([*keys, "of", "0"]) if len(keys) == 1 else t for _, t, keys in TEMPLATES]
+    texts = [*cut, *parts, *phrases, filler]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in scan_licenses(docs).collect():
+        has = lambda p: f" {p} " in f" {texts[r.doc_id]} "  # noqa: B023, E731
+        want = {label for label, _, keys in TEMPLATES if all(map(has, keys))} | {label for phrase, label in BASE if has(phrase)}
+        assert set(filter(None, r.labels.split(","))) == want
+
+
 def test_exact_dedup(edge, nothing):
     groups = defaultdict(list)
     for i, t in TEXTS:
