@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quietband.llm.bpe import encode_documents
+from quietband.llm.centroids import cluster_vectors
 from quietband.llm.common import table
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.fingerprints import compare_with_edit_and_next
+from quietband.llm.importance import importance_resample
 from quietband.llm.license_scan import scan_licenses
 from quietband.llm.line_dedup import dedup_lines
 from quietband.llm.ngram_join import jaccard_components
 from quietband.llm.packing import pack_along_curve
 from quietband.llm.sharding import kd_shards
+from quietband.llm.token_counts import longest_prefix, prefix_counts, tokens_up_to
 from quietband.llm.toxicity import score_toxicity, training_model
 from quietband.llm.warc import round_trip
 
@@ -74,15 +77,67 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, training_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents; from the counts of their prefixes, where 2048 tokens end and how many the first half has."""
+    counts = prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    half = tokens_up_to(counts.withColumn("half", F.floor(F.col("n_chars") / 2)), "half", "half_tokens")
+    return longest_prefix(half, 2048, "fitting_chars").select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "fitting_chars", "half_tokens"
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64-dimensional vectors in eight clusters after ten rounds, in integers."""
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).drop("measured")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn towards the words of the benchmark."""
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_kd_tree_shards, op2_gzip_normaliser, op3_hilbert_packing, op4_positional_license_scan, op5_radix_exact_dedup, op6_ngram_jaccard_join,
-        op7_bpe_round_trip, op8_minhash_line_dedup, op9_invertible_sketch, op10_compression_toxicity,
+        op7_bpe_round_trip, op8_minhash_line_dedup, op9_invertible_sketch, op10_compression_toxicity, op11_prefix_token_counts,
+        op12_centroid_clusters, op13_importance_resampling,
     )
 }
 
+def _clustering_sql(clusters: int = 8, rounds: int = 10, size: int = 64, scale: int = 1024) -> str:
+    """Lloyd's rounds one after the other, each with all distances."""
+    nearest = """a{i} AS MATERIALIZED (
+            SELECT row, vec_id, w, unnest(min({{'d': d, 'c': c}})) FROM (
+                SELECT v.*, c.c, list_sum(list_transform(list_zip(v.w, c.w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{i} c
+            ) GROUP BY row, vec_id, w
+        )"""
+    # Integer division cuts towards zero.
+    moved = """c{j} AS MATERIALIZED (
+            SELECT c, coalesce(q, w) AS w FROM c{i} LEFT JOIN (
+                SELECT c, list(CASE WHEN s >= 0 THEN s // n ELSE -((n - 1 - s) // n) END ORDER BY k)::BIGINT[] AS q FROM (
+                    SELECT c, k, sum(w[k]) AS s, count(*) AS n FROM a{i}, range(1, {end}) t(k) GROUP BY c, k
+                ) GROUP BY c
+            ) USING (c)
+        )"""
+    steps = [nearest.format(i=0)]
+    for i in range(rounds):
+        steps += [moved.format(i=i, j=i + 1, end=size + 1), nearest.format(i=i + 1)]
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS w FROM embeddings
+            WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, w FROM v ORDER BY c LIMIT {clusters}
+        ), {", ".join(steps)}
+        SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+               (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.w, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON a.c = c.c
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op12_centroid_clusters": _clustering_sql(),
     "op2_gzip_normaliser": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
