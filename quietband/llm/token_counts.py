@@ -8,6 +8,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ KNOWN_WORDS, KNOWN_CHARS, KNOWN_PAIRS, KNOWN_CLUSTERS = 200_000, 48, 400_000, 50
 #: Bytes of text handled together.
 SLICE = 1 << 20
 LETTER, DIGIT, OTHER, WHITE = range(4)
+#: Signs that may follow a word; a run of them is one piece.
+SIGNS = ".,;:!?*&%$#"
 
 
 @lru_cache(maxsize=1)
@@ -48,32 +51,30 @@ class Prefixes:
         self.last, self.count, self.ended = [-1], [0], [0]
 
     def add(self, more: bytes) -> None:
-        bpe, last, count, ended = self.bpe, self.last, self.count, self.ended
-        inner, final, fits = bpe.inner, bpe.final, bpe.fits
-        # No token reaches back further than the longest one.
-        data = bytes(self.data[-bpe.longest :]) + more
-        skipped = len(self.data) + len(more) - len(data)
-        self.data += more
-        for end in range(len(data) - len(more) + 1, len(data) + 1):
-            starts = range(end - bpe.longest if end > bpe.longest else 0, end)
-            known = before = None
-            for start in starts:
-                part = data[start:end]
-                if known is None:
-                    token = final.get(part)
-                    if token is not None and fits(last[skipped + start], token):
-                        known = count[skipped + start] + 1
-                        if before is not None:
-                            break
-                if before is None:
-                    token = inner.get(part)
-                    if token is not None and fits(last[skipped + start], token):
-                        before = token, count[skipped + start] + 1
-                        if known is not None:
-                            break
+        bpe, data, last, count, ended = self.bpe, self.data, self.last, self.count, self.ended
+        step, inner, final, pairs, base = bpe.step, bpe.inner, bpe.final, bpe.pairs, bpe.base
+        done = len(data)
+        data += more
+        for end in range(done + 1, len(data) + 1):
+            # Backwards through the tokens that end here, until no token ends in the bytes walked.
+            start, node, token, known = end, 0, -1, -1
+            while start and (token < 0 or known < 0):
+                start -= 1
+                node = step.get(node << 8 | data[start])
+                if node is None:
+                    break
+                before = last[start]
+                if known < 0 and final[node] >= 0:
+                    fits = pairs.get(before * base + final[node])
+                    if bpe.fits(before, final[node]) if fits is None else fits:
+                        known = count[start] + 1
+                if token < 0 and inner[node] >= 0:
+                    fits = pairs.get(before * base + inner[node])
+                    if bpe.fits(before, inner[node]) if fits is None else fits:
+                        token, tokens = inner[node], count[start] + 1
             ended.append(known)
-            last.append(before[0])
-            count.append(before[1])
+            last.append(token)
+            count.append(tokens)
 
     def cut(self, size: int) -> None:
         """Forget all but the first `size` bytes."""
@@ -104,19 +105,28 @@ class PrefixBpe:
             token, a, b = names[a + b], names[a], names[b]
             self.pair_rank[a * self.base + b] = rank
             self.rank[token], self.left[token], self.right[token] = rank, a, b
-        self.inner: dict[bytes, int] = {}
-        self.final: dict[bytes, int] = {}
+        #: A trie of the tokens' bytes from the last to the first; per node the token that goes on and the one that ends a word.
+        self.step: dict[int, int] = {}
+        self.inner, self.final = [-1], [-1]
         for name, token in names.items():
             ends = name.endswith(suffix) and len(name) > len(suffix)
             content = name[: -len(suffix)] if ends else name
             # Tokens that no merge makes, of more than one byte, are never part of an encoding.
             if all(c in number for c in content) and (self.rank[token] >= 0 or len(content) == 1):
-                (self.final if ends else self.inner)[bytes(number[c] for c in content)] = token
-        self.longest = max(map(len, (*self.inner, *self.final)))
+                node = 0
+                for c in reversed(content):
+                    node = self.step.setdefault(node << 8 | number[c], len(self.inner))
+                    if node == len(self.inner):
+                        self.inner.append(-1)
+                        self.final.append(-1)
+                (self.final if ends else self.inner)[node] = token
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
-        self.whole = {t: self._comes_whole(t) for t in (*self.inner.values(), *self.final.values())}
+        self.whole = {t: self._comes_whole(t) for t in (*self.inner, *self.final) if t >= 0}
+        #: What is known of pairs of tokens, by the first (-1: none) and the second.
         self.pairs: dict[int, bool] = {}
+        #: Letters that are one letter after normalisation, whatever stands around them.
+        self.plain: set[str] = set()
         self.kinds: dict[str, int] = {}
         self.clusters: dict[str, str] = {}
         self.words: dict[str, bytes] = {}
@@ -154,14 +164,10 @@ class PrefixBpe:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether `token` may follow `before` (-1: nothing) in an encoding."""
-        if before < 0:
-            return self.whole[token]
-        key = before * self.base + token
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.whole[token] and not self._crossed(before, token)
+        if len(self.pairs) >= KNOWN_PAIRS:
+            self.pairs.clear()
+        known = self.whole[token] and (before < 0 or not self._crossed(before, token))
+        self.pairs[before * self.base + token] = known
         return known
 
     def kind(self, c: str) -> int:
@@ -191,12 +197,28 @@ class PrefixBpe:
         return known
 
     def _letters(self, word: str) -> list[int] | None:
-        """The short way for a word of ASCII letters."""
-        if not (word.isascii() and word.isalpha()):
+        """The short way for a word of letters, and of signs after them, that no neighbour changes."""
+        head = word.rstrip(SIGNS)
+        if not head.isalpha() or not (self.plain.issuperset(head) or all(map(self._is_plain, head))):
+            return None
+        if not unicodedata.is_normalized("NFC", head):
             return None
-        piece = Prefixes(self, LETTER)
-        piece.add(word.lower().encode())
-        return piece.ended[1:]
+        piece, lower = Prefixes(self, LETTER), "".join(map(str.lower, head))
+        piece.add(lower.encode())
+        ended = piece.ended
+        counts = ended[1:] if head.isascii() else [ended[n] for n in accumulate(len(c.encode()) for c in lower)]
+        if len(head) < len(word):
+            signs = Prefixes(self, OTHER)
+            signs.add(word[len(head) :].encode())
+            counts += [counts[-1] + n for n in signs.ended[1:]]
+        return counts
+
+    def _is_plain(self, c: str) -> bool:
+        if c not in self.plain:
+            if len(c.lower()) > 1 or self.normalize(c) != c.lower() or self.kind(c.lower()) != LETTER:
+                return False
+            self.plain.add(c)
+        return True
 
     def _anything(self, word: str) -> list[int]:
         counts: list[int] = []

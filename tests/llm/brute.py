@@ -46,43 +46,11 @@ def jaccard_components(rows, words, percent):
     return [(i, len(s), least.get(r) if s else i) for (i, _), s, r in zip(rows, sets, roots)]
 
 
-def line_shingles(line):
-    w = line.split(" ")
-    return {" ".join(w[i : i + 3])[:16] for i in range(len(w))}
-
-
-def deduped_lines(rows, order):
-    """Texts of rows (doc_id, text) without the lines that repeat or nearly repeat an earlier one; order: key of a row."""
-    places = []
-    for doc in sorted(range(len(rows)), key=order):
-        for at, line in enumerate((rows[doc][1] or "").split("\n")):
-            plain = line.strip(" \t\r")
-            if len(plain.split(" ")) >= 8:
-                places.append((doc, at, plain))
-    distinct = list(dict.fromkeys(p for *_, p in places))
-    sets = [line_shingles(x) for x in distinct]
-    links = []
-    held = defaultdict(list)
-    for i, s in enumerate(sets):
-        common = defaultdict(int)
-        for t in s:
-            for j in held[t]:
-                common[j] += 1
-            held[t].append(i)
-        links += [(i, j) for j, c in common.items() if 100 * c >= 80 * (len(s) + len(sets[j]) - c)]
-    root = dict(zip(distinct, groups(len(distinct), links)))
-    seen, gone = set(), defaultdict(set)
-    for doc, at, plain in places:
-        if root[plain] in seen:
-            gone[doc].add(at)
-        seen.add(root[plain])
-    return [
-        t if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d]) for d, (_, t) in enumerate(rows)
-    ]
-
-
 def whole_lines(rows, order):
-    """As deduped_lines, of every non-blank line and by the 16 characters from every offset."""
+    """Texts of rows (doc_id, text) without the lines that repeat or nearly repeat an earlier one; order: key of a row.
+
+    Every line that is not blank takes part, by the 16 characters from every offset.
+    """
     places = []
     for doc in sorted(range(len(rows)), key=order):
         for at, line in enumerate((rows[doc][1] or "").split("\n")):

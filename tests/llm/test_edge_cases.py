@@ -159,6 +159,15 @@ def test_line_dedup(edge, nothing):
     assert dedup_lines(nothing).count() == 0
 
 
+def test_a_text_of_very_many_lines(spark):
+    """Rewriting takes time in proportion to the lines."""
+    lines = [f"line {i // 2}" for i in range(100_000)]
+    docs = spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")
+    row, = dedup_lines(docs).collect()
+    assert row.lines_before == 100_000 and row.lines_gone == 50_000
+    assert row.text == "\n".join(lines[::2])
+
+
 def test_lines_that_differ_late_in_long_words_stay(spark):
     """Two lists of addresses whose words share their first 16 characters."""
     lists = [" ".join(f"https://www.example.com/{kind}/{i}" for i in range(n)) for kind, n in (("articles", 10), ("products", 64))]
