@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,9 @@ from quietband.llm.bpe import byte_characters
 from quietband.llm.common import text_or_empty, text_slices
 
 #: Bounds of the memories that only save time: words, characters of a word, pairs of tokens, runs of combining characters.
-KNOWN_WORDS, KNOWN_CHARS, KNOWN_PAIRS, KNOWN_CLUSTERS = 200_000, 48, 400_000, 50_000
+KNOWN_WORDS, KNOWN_CHARS, KNOWN_PAIRS, KNOWN_CLUSTERS = 500_000, 48, 1 << 18, 50_000
+#: Slots for pairs that numpy looks up; a power of two.
+PAIR_SLOTS = 1 << 20
 #: Bytes of text handled together.
 SLICE = 1 << 20
 LETTER, DIGIT, OTHER, WHITE = range(4)
@@ -122,6 +124,10 @@ class PrefixBpe:
                 (self.final if ends else self.inner)[node] = token
         specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        keys = sorted(self.step)
+        self.step_keys, self.step_nodes = np.array(keys), np.array([self.step[k] for k in keys])
+        self.token_arrays = np.array([self.inner, self.final])
+        self.slot_keys, self.slot_fits = np.full(PAIR_SLOTS, -(1 << 62)), np.zeros(PAIR_SLOTS, bool)
         self.whole = {t: self._comes_whole(t) for t in (*self.inner, *self.final) if t >= 0}
         #: What is known of pairs of tokens, by the first (-1: none) and the second.
         self.pairs: dict[int, bool] = {}
@@ -164,10 +170,12 @@ class PrefixBpe:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether `token` may follow `before` (-1: nothing) in an encoding."""
-        if len(self.pairs) >= KNOWN_PAIRS:
-            self.pairs.clear()
-        known = self.whole[token] and (before < 0 or not self._crossed(before, token))
-        self.pairs[before * self.base + token] = known
+        key = before * self.base + token
+        known = self.pairs.get(key)
+        if known is None:
+            if len(self.pairs) >= KNOWN_PAIRS:
+                self.pairs.clear()
+            known = self.pairs[key] = self.whole[token] and (before < 0 or not self._crossed(before, token))
         return known
 
     def kind(self, c: str) -> int:
@@ -184,34 +192,114 @@ class PrefixBpe:
             self.kinds[c] = known
         return known
 
-    def word(self, word: str) -> bytes:
-        """Changes of the count at each code point of a text without blanks and newlines and at the blank after it: int16."""
-        known = self.words.get(word)
-        if known is None:
-            counts = self._letters(word) or self._anything(word)
-            known = np.diff(np.array([0, *counts, counts[-1] if counts else 0])).astype("<i2").tobytes()
-            if len(word) <= KNOWN_CHARS:
-                if len(self.words) >= KNOWN_WORDS:
-                    self.words.clear()
-                self.words[word] = known
-        return known
+    def changes(self, texts: list[str]) -> list[np.ndarray]:
+        """Change of the token count at each code point of each text.
 
-    def _letters(self, word: str) -> list[int] | None:
-        """The short way for a word of letters, and of signs after them, that no neighbour changes."""
-        head = word.rstrip(SIGNS)
-        if not head.isalpha() or not (self.plain.issuperset(head) or all(map(self._is_plain, head))):
-            return None
-        if not unicodedata.is_normalized("NFC", head):
-            return None
-        piece, lower = Prefixes(self, LETTER), "".join(map(str.lower, head))
-        piece.add(lower.encode())
-        ended = piece.ended
-        counts = ended[1:] if head.isascii() else [ended[n] for n in accumulate(len(c.encode()) for c in lower)]
-        if len(head) < len(word):
-            signs = Prefixes(self, OTHER)
-            signs.add(word[len(head) :].encode())
-            counts += [counts[-1] + n for n in signs.ended[1:]]
-        return counts
+        Words (between blanks and newlines) do not depend on each other; `words` holds, per word, the changes at its code points
+        and at the blank after it, as 16-bit integers.
+        """
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*split) - self.words.keys()
+        if len(self.words) + len(new) > KNOWN_WORDS:
+            self.words.clear()
+            new = set().union(*split)
+        self._learn(new)
+        out = [np.frombuffer(b"".join([self.words[w] for w in own]), "<i2")[:-1] for own in split]
+        for w in new:
+            if len(w) > KNOWN_CHARS:
+                del self.words[w]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Plain words are counted together, all others one by one."""
+        plain, heads, tails = [], [], []
+        for word in words:
+            head = word.rstrip(SIGNS)
+            if (
+                len(head) <= KNOWN_CHARS and head.isalpha()
+                and (head.isascii() or unicodedata.is_normalized("NFC", head) and (self.plain.issuperset(head) or all(map(self._is_plain, head))))
+            ):
+                plain.append(word)
+                heads.append(head)
+                tails.append(word[len(head) :])
+            else:
+                self.words[word] = _packed(self._anything(word))
+        signs = {t: _packed(self._anything(t)) for t in set(tails)}
+        if heads:
+            # Each letter alone: a sigma has no final form.
+            packed, ends = self._heads("\n".join(heads).replace("Σ", "σ").lower().encode().split(b"\n"))
+            # The changes of a piece after another one are those of the piece alone.
+            self.words.update(
+                (word, packed[start:end] + signs[tail]) for word, tail, start, end in zip(plain, tails, [0, *ends], ends)
+            )
+
+    def _heads(self, pieces: list[bytes]) -> tuple[bytes, list[int]]:
+        """Changes at the code points of each piece, one after the other, and where each piece's end."""
+        data, lengths = np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces])
+        ends = np.cumsum(lengths)
+        at = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
+        counts = self._ended(data, at)
+        # Only the last byte of a code point ends a prefix.
+        whole = np.append(data[1:] & 0xC0 != 0x80, True)
+        first = at == 0
+        before = np.where(np.cumsum(first)[whole] != np.concatenate([[0], np.cumsum(first)[whole][:-1]]), 0,
+                          np.concatenate([[0], counts[whole][:-1]]))
+        packed = (counts[whole] - before).astype("<i2").tobytes()
+        return packed, (np.cumsum(whole)[ends - 1] * 2).tolist()
+
+    def _ended(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What Prefixes counts, for many pieces at once: tokens if the piece ended at each byte; at: a byte's place in its piece.
+
+        First the tokens that end at each byte are found, by length. Then the pieces are walked side by side, byte after byte;
+        of the tokens that end at one byte exactly one fits, in either table.
+        """
+        found = []
+        active, node = np.arange(len(data)), np.zeros(len(data), np.int64)
+        size = 0
+        while len(active):
+            size += 1
+            key = node << 8 | data[active - size + 1]
+            place = np.minimum(np.searchsorted(self.step_keys, key), len(self.step_keys) - 1)
+            known = self.step_keys[place] == key
+            active, node = active[known], self.step_nodes[place[known]]
+            # By place in the piece, so that each step of the walk takes a slice.
+            order = np.argsort(at[active], kind="stable")
+            ends = active[order]
+            found.append((ends, self.token_arrays[:, node[order]], np.searchsorted(at[ends], np.arange(at.max() + 2))))
+            longer = at[active] >= size
+            active, node = active[longer], node[longer]
+        last, count = np.full(len(data), -1), np.zeros(len(data), np.int64)
+        ended = np.zeros(len(data), np.int64)
+        for step in range(at.max() + 1):
+            for size, (ends, tokens, starts) in enumerate(found[: step + 1], 1):
+                part = slice(starts[step], starts[step + 1])
+                here = ends[part]
+                if not len(here):
+                    break
+                before, so_far = (last[here - size], count[here - size]) if size <= step else (np.full(len(here), -1), np.zeros(len(here), np.int64))
+                for kind, of in enumerate(tokens[:, part]):
+                    open_ = np.flatnonzero((of >= 0) & ((last[here] < 0) if kind == 0 else (ended[here] == 0)))
+                    open_ = open_[self._fit(before[open_], of[open_])]
+                    if kind == 0:
+                        last[here[open_]], count[here[open_]] = of[open_], so_far[open_] + 1
+                    else:
+                        ended[here[open_]] = so_far[open_] + 1
+        return ended
+
+    def _fit(self, before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """`fits` of many pairs; answers lie in a table that newer ones overwrite."""
+        keys = before * self.base + tokens
+        slots = (keys * 0x9E3779B1 >> 7) & (len(self.slot_keys) - 1)
+        missing = self.slot_keys[slots] != keys
+        out = self.slot_fits[slots]
+        if missing.any():
+            new, which = np.unique(keys[missing], return_inverse=True)
+            first = np.full(len(new), -1)
+            first[which] = before[missing]
+            answers = np.array([self.fits(b, k - b * self.base) for b, k in zip(first.tolist(), new.tolist())], bool)
+            out[missing] = answers[which]
+            self.slot_keys[slots[missing]], self.slot_fits[slots[missing]] = keys[missing], answers[which]
+        return out
 
     def _is_plain(self, c: str) -> bool:
         if c not in self.plain:
@@ -260,10 +348,10 @@ class PrefixBpe:
             known = self.clusters[cluster] = self.normalize(cluster)
         return known
 
-    def changes(self, text: str) -> np.ndarray:
-        """Change of the token count at each code point of the text."""
-        joined = b"".join([self.word(w) for w in text.replace("\n", " ").split(" ")])
-        return np.frombuffer(joined, "<i2")[:-1]
+
+def _packed(counts: list[int]) -> bytes:
+    """Changes at each code point and at the blank after them, as 16-bit integers."""
+    return np.diff(np.array([0, *counts, counts[-1] if counts else 0])).astype("<i2").tobytes()
 
 
 #: Contractions that are pieces of their own, by the letters after the apostrophe.
@@ -337,17 +425,22 @@ def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pack = _counter(vocabulary), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for lo, hi in text_slices(batch.column(1), SLICE):
-                texts = batch.column(1)[lo:hi].to_pylist()
-                changes = [bpe.changes(t) for t in texts]
-                yield pa.record_batch({
-                    "doc_id": batch.column(0)[lo:hi],
-                    "n_bytes": batch.column(2)[lo:hi],
-                    "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-                    "n_tokens": pa.array([int(x.sum(dtype=np.int64)) for x in changes], pa.int64()),
-                    "changes": pa.array([pack.compress(x.tobytes()) for x in changes], pa.binary()),
-                })
+        # What is remembered holds no cycles, and looking for them takes time.
+        gc.disable()
+        try:
+            for batch in batches:
+                for lo, hi in text_slices(batch.column(1), SLICE):
+                    texts = batch.column(1)[lo:hi].to_pylist()
+                    changes = bpe.changes(texts)
+                    yield pa.record_batch({
+                        "doc_id": batch.column(0)[lo:hi],
+                        "n_bytes": batch.column(2)[lo:hi],
+                        "n_chars": pa.array([len(t) for t in texts], pa.int64()),
+                        "n_tokens": pa.array([int(x.sum(dtype=np.int64)) for x in changes], pa.int64()),
+                        "changes": pa.array([pack.compress(x.tobytes()) for x in changes], pa.binary()),
+                    })
+        finally:
+            gc.enable()
 
     rows = docs.select(
         F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"),
