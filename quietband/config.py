@@ -77,6 +77,43 @@ BRIEFING_SECTIONS = (
 )
 RECENT_RUNS = 12
 
+# --- Fixed values: texts of run health, inventories and update reports --------------------
+# They are cells of published views and exports, which consumers compare with earlier ones, so they have to be these.
+
+REASONS = {
+    "not_a_timestamp": "directory name is not a run timestamp",
+    "not_a_directory": "not a directory",
+    "commissioning": "named commissioning/reference run; predates instrument.json and the approved series start",
+    "before_start": "predates the approved series start {start} and is not a named commissioning run",
+    "no_instrument": "instrument.json missing or unreadable",
+    "running": "run in progress at last instrument write",
+    "skipped": "receiver absent at run start; skip record written",
+    "skipped_incomplete": "receiver absent but skip record incomplete",
+    "failed": "collector exited before completing the sweep",
+    "completed": "instrument records a completed sweep with parseable manifest and aggregate",
+    "sweep_without_tables": "run_status=sweep but frequencies.tsv or aggregate.tsv is missing or unreadable",
+    "missing_slot": "expected hourly slot with no attempt in the pilot tree",
+    "no_manifest": "no derivation manifest",
+    "failed_before": "prior derivation failed",
+    "schema_changed": "derived schema changed",
+    "extractor_changed": "extractor version changed",
+    "source_changed": "source identity changed",
+    "outputs_changed": "derived outputs no longer match the manifest",
+    "deferred": "run in progress; enrichment deferred",
+}
+DETECTED = "detected"
+LINK_DISABLED = "administratively_disabled"
+NOT_OBSERVED = "advertised_but_not_observed_in_nonconcurrent_dwell"
+# Checks of the identity census: name -> the element whose frames it counts.
+ELEMENT_CHECKS = {
+    "element_71_multiple_bssid": 71,
+    "element_201_rnr": 201,
+    "element_11_bss_load": 11,
+    "element_195_tx_power_envelope": 195,
+    "element_244_rsnx": 244,
+    "element_107_interworking": 107,
+}
+
 # --- Fixed values: measurement constants ------------------------------------------------
 
 TU_SECONDS = 0.001024

@@ -44,6 +44,33 @@ def int_set(cell: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(numbers)))
 
 
+#: A set of small numbers is this many words of 64 bits.
+_WORD_BITS = 64
+
+
+def bit_words(ids: Column, size: int = 256) -> list[Column]:
+    """A set of integers from 0 to below `size` as 64-bit words; sets are united by bit_or, in buffers of fixed width."""
+
+    def word(k: int) -> Column:
+        def add(bits: Column, i: Column) -> Column:
+            return F.when(F.shiftright(i, 6) == k, bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i.bitwiseAND(F.lit(63)))))\
+                .otherwise(bits)
+
+        return F.coalesce(F.aggregate(ids, F.lit(0).cast("bigint"), add), F.lit(0).cast("bigint"))
+
+    return [word(k) for k in range(size // _WORD_BITS)]
+
+
+def bit_members(words: list[Column]) -> Column:
+    """The integers of a set held as words, ascending."""
+    bits = F.sequence(F.lit(0), F.lit(_WORD_BITS - 1))
+
+    def members(word: Column, first: int) -> Column:
+        return F.transform(F.filter(bits, lambda bit: F.getbit(word, bit) == 1), lambda bit: bit + first)
+
+    return F.flatten(F.array(*[members(word, k * _WORD_BITS) for k, word in enumerate(words)]))
+
+
 def joined(values: Column) -> Column:
     """Comma-joined verbatim cell; an empty or NULL array is NULL."""
     return F.nullif(F.array_join(values, ","), F.lit(""))

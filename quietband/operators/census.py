@@ -10,9 +10,7 @@ from quietband.functions import names, radio
 from quietband.functions.cells import filled, joined
 from quietband.operators.enrichment import STANDARD, element_counts
 
-DETECTED = "detected"
-LINK_DISABLED = "administratively_disabled"
-NOT_OBSERVED = "advertised_but_not_observed_in_nonconcurrent_dwell"
+DETECTED, LINK_DISABLED, NOT_OBSERVED = C.DETECTED, C.LINK_DISABLED, C.NOT_OBSERVED
 
 _ADVERTISEMENT = ("tx_bssid", "tx_ssid", "op_class", "channel", "neighbor", "short_ssid",
                   "bss_params", "mld_link_id", "disabled_link")
@@ -150,12 +148,7 @@ def identity_counts(frames: DataFrame) -> DataFrame:
     tag = lambda n: F.array_contains("tags", n)
     some = lambda c: F.size(F.coalesce(F.col(c), F.array())) > 0
     checks = {
-        "element_71_multiple_bssid": tag(71),
-        "element_201_rnr": tag(201),
-        "element_11_bss_load": tag(11),
-        "element_195_tx_power_envelope": tag(195),
-        "element_244_rsnx": tag(244),
-        "element_107_interworking": tag(107),
+        **{name: tag(element) for name, element in C.ELEMENT_CHECKS.items()},
         "any_extension_element": some("exts"),
         "he_bss_color": some("he_bss_color"),
         "rnr_mld_link_id": some("rnr_mld_link_id"),

@@ -9,7 +9,7 @@ from quietband import config as C
 from quietband import schemas
 from quietband.config import SeriesConfig
 from quietband.functions import names, radio
-from quietband.functions.cells import filled, first_of, joined, set_names
+from quietband.functions.cells import bit_members, bit_words, filled, first_of, joined, set_names
 from quietband.functions.times import iso_stamp
 
 _IDENTITY = ("frame_number", "frame_time_epoch", "bssid")
@@ -74,13 +74,15 @@ def element_counts(frames: DataFrame) -> DataFrame:
 def ie_capabilities(frames: DataFrame) -> DataFrame:
     """One capability row per run and address.
 
-    Element ids are one byte each, so a collected set never exceeds 256 values.
+    Element ids are one byte each, so an address's set is four 64-bit words per namespace: frames are aggregated as they are, by
+    hashing, without a row per element.
     """
-    in_space = lambda space: F.array_sort(
-        F.collect_set(F.when(F.col("namespace") == space, F.col("element")))
-    )
-    sets = element_counts(frames).groupBy("run_id", "bssid").agg(
-        in_space(STANDARD).alias("tags"), in_space(EXTENSION).alias("exts")
+    words = {f"{c}{k}": word for c in ("tags", "exts") for k, word in enumerate(bit_words(F.col(c)))}
+    united = frames.select("run_id", F.lower("bssid").alias("bssid"), *[w.alias(n) for n, w in words.items()]).groupBy(
+        "run_id", "bssid"
+    ).agg(*[F.bit_or(n).alias(n) for n in words])
+    sets = united.select(
+        "run_id", "bssid", *[bit_members([F.col(n) for n in words if n.startswith(c)]).alias(c) for c in ("tags", "exts")]
     )
     flags = radio.capability_flags(F.col("tags"), F.col("exts"))
     return schemas.conform(
@@ -268,16 +270,22 @@ def decoder_fields(runs: DataFrame) -> DataFrame:
 # --- Extraction status --------------------------------------------------------------------
 
 def core_errors(registry: DataFrame, frequencies: DataFrame, observations: DataFrame) -> DataFrame:
-    """(run_id, error) of runs whose two source tables are missing or hold a bad cell."""
+    """(run_id, error) of runs whose two source tables are missing, open with a blank line or hold a bad cell."""
     bad = (
         frequencies.select("run_id", "bad_cell")
         .unionByName(observations.select("run_id", "bad_cell"))
         .where("bad_cell").select("run_id", F.lit("unparseable cell").alias("problem"))
     )
+
+    def fault(table: str) -> Column:
+        """What keeps a table from being read, given that something does."""
+        # Registries without this evidence cannot tell a blank table from an absent one.
+        found = F.col(f"{table}_found") if f"{table}_found" in registry.columns else F.lit(False)
+        return F.when(found, f"no header in source file: {table}.tsv").otherwise(f"missing source file: {table}.tsv")
+
     absent = registry.where("is_dir").select(
         F.col("name").alias("run_id"),
-        F.when(~F.col("frequencies_ok"), "missing source file: frequencies.tsv")
-        .when(~F.col("aggregate_ok"), "missing source file: aggregate.tsv").alias("problem"),
+        F.when(~F.col("frequencies_ok"), fault("frequencies")).when(~F.col("aggregate_ok"), fault("aggregate")).alias("problem"),
     ).where(F.col("problem").isNotNull())
     return bad.unionByName(absent).groupBy("run_id").agg(F.min("problem").alias("error"))
 

@@ -53,7 +53,7 @@ def build_run_health(classified: DataFrame, slots: DataFrame) -> DataFrame:
         F.lit(C.MISSING_SLOT).alias("state"),
         F.lit(True).alias("eligible"),
         F.lit(False).alias("in_trend"),
-        F.lit("expected hourly slot with no attempt in the pilot tree").alias("reason"),
+        F.lit(C.REASONS["missing_slot"]).alias("reason"),
         F.lit(None).cast("string").alias("started_utc"),
         F.lit(False).alias("input_complete"),
     )

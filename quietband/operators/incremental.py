@@ -7,7 +7,7 @@ manifest mentions, so readers never see it and a retry needs no clean-up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quietband import config as C
@@ -18,13 +18,6 @@ class ReconciliationError(RuntimeError):
     """Derived tables, manifests and the run tree disagree."""
 
 
-def source_identity(files: DataFrame) -> DataFrame:
-    """(run_id, name, size, sha256) from binary file content."""
-    return files.select(
-        "run_id", "name", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256")
-    )
-
-
 def recorded_sources(manifests: DataFrame) -> DataFrame:
     return manifests.select("run_id", F.inline("source_files"))
 
@@ -33,37 +26,78 @@ def recorded_outputs(manifests: DataFrame) -> DataFrame:
     return manifests.select("run_id", F.inline("outputs"))
 
 
-def changed_files(recorded: DataFrame, current: DataFrame) -> DataFrame:
-    """Every (run, file) that was added, removed or altered since it was recorded."""
-    was = recorded.select("run_id", "name", F.struct("sha256", "size").alias("was"))
-    now = current.select("run_id", "name", F.struct("sha256", "size").alias("now"))
+def run_roots(files: DataFrame) -> DataFrame:
+    """(run_id, day, root): one hash over the names, sizes and hashes of a run's files. A run has a few hundred at most."""
+    line = F.concat_ws("\n", "name", F.col("size").cast("string"), F.coalesce("sha256", F.lit("unread")))
+    return files.groupBy("run_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("root")).select(
+        "run_id", F.substring("run_id", 1, 8).alias("day"), "root"
+    )
+
+
+def day_roots(runs: DataFrame) -> DataFrame:
+    """(day, root): one hash over a day's runs. A day has some twenty-four."""
+    line = F.concat_ws("\n", "run_id", "root")
+    return runs.groupBy("day").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("root"))
+
+
+def _unlike(was: DataFrame, now: DataFrame, key: str) -> DataFrame:
+    """Keys whose roots differ, or that only one side has."""
+    both = was.select(key, F.col("root").alias("was")).join(now.select(key, F.col("root").alias("now")), key, "full_outer")
+    return both.where(~F.col("was").eqNullSafe(F.col("now"))).select(key)
+
+
+def changed_files(recorded: DataFrame, current: DataFrame, recorded_roots: DataFrame | None = None) -> DataFrame:
+    """Every (run, file) that was added, removed or altered since it was recorded.
+
+    Files, runs and days form a hash tree. A day with the same root on both sides is ruled out as a whole, and so is a run of
+    a day that differs; files are compared for what is left. `recorded_roots` are the run roots as stored with the record.
+    """
+    was_runs = run_roots(recorded) if recorded_roots is None else recorded_roots
+    now_runs = run_roots(current)
+    days = _unlike(day_roots(was_runs), day_roots(now_runs), "day")
+    runs = _unlike(was_runs.join(days, "day", "left_semi"), now_runs.join(days, "day", "left_semi"), "run_id")
+
+    def left(files: DataFrame, name: str) -> DataFrame:
+        return files.join(runs, "run_id", "left_semi").select("run_id", "name", F.struct("sha256", "size").alias(name))
+
     change = (
         F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed")
-        .when(F.col("was") != F.col("now"), "altered")
+        # A file that could not be read is altered.
+        .when(~F.coalesce(F.col("was") == F.col("now"), F.lit(False)) | F.col("now.sha256").isNull(), "altered")
     )
     return (
-        was.join(now, ["run_id", "name"], "full_outer")
+        left(recorded, "was").join(left(current, "now"), ["run_id", "name"], "full_outer")
         .select("run_id", "name", change.alias("change")).where(F.col("change").isNotNull())
     )
 
 
-def changed_runs(recorded: DataFrame, current: DataFrame) -> DataFrame:
-    return changed_files(recorded, current).groupBy("run_id").agg(F.count("*").alias("changed_files"))
+def changed_runs(recorded: DataFrame, current: DataFrame, recorded_roots: DataFrame | None = None) -> DataFrame:
+    return changed_files(recorded, current, recorded_roots).groupBy("run_id").agg(F.count("*").alias("changed_files"))
 
 
-def table_digest(rows: DataFrame, table: str) -> DataFrame:
-    """Row count and order-free content digest of each run's share of a table.
+def row_digests(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """(keys, rows, total, mixed): row count, and sum and xor of row hashes. They add up over any split of the rows.
 
     Sums and xors combine map-side, so a run holding most rows costs no more than others.
     """
     columns = sorted(c for c in rows.columns if c not in ("batch", "run_date"))
     digest = F.xxhash64(*columns)
-    return rows.groupBy("run_id").agg(
-        F.count("*").alias("rows"),
-        F.concat_ws(
-            ":", F.sum(digest.cast("decimal(20,0)")).cast("string"), F.bit_xor(digest).cast("string")
-        ).alias("sha256"),
-    ).select("run_id", F.lit(f"{table}.parquet").alias("name"), "rows", "sha256")
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("rows"), F.sum(digest.cast("decimal(38,0)")).alias("total"), F.bit_xor(digest).alias("mixed")
+    )
+
+
+def added_up(parts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, rows, sha256) from the digests of parts: the content digest as manifests record it."""
+    return parts.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"),
+        F.concat_ws(":", F.sum("total").cast("decimal(38,0)").cast("string"), F.bit_xor("mixed").cast("string")).alias("sha256"),
+    )
+
+
+def table_digest(rows: DataFrame, table: str) -> DataFrame:
+    """Row count and order-free content digest of each run's share of a table."""
+    return added_up(row_digests(rows, "run_id"), "run_id").select("run_id", F.lit(f"{table}.parquet").alias("name"), "rows", "sha256")
 
 
 def damaged_outputs(recorded: DataFrame, actual: DataFrame) -> DataFrame:
@@ -101,13 +135,13 @@ def reprocess_decisions(
     )
     differs = lambda c, v: ~F.col(c).eqNullSafe(F.lit(v))
     reason = (
-        F.when(F.col("known").isNull(), "no derivation manifest")
+        F.when(F.col("known").isNull(), C.REASONS["no_manifest"])
         .when(~F.coalesce(F.col("status").isin("succeeded", "partial"), F.lit(False)),
-              "prior derivation failed")
-        .when(differs("schema_id", series.derived_schema_id), "derived schema changed")
-        .when(differs("extractor_version", series.extractor_version), "extractor version changed")
-        .when(F.col("changed"), "source identity changed")
-        .when(F.col("damaged"), "derived outputs no longer match the manifest")
+              C.REASONS["failed_before"])
+        .when(differs("schema_id", series.derived_schema_id), C.REASONS["schema_changed"])
+        .when(differs("extractor_version", series.extractor_version), C.REASONS["extractor_changed"])
+        .when(F.col("changed"), C.REASONS["source_changed"])
+        .when(F.col("damaged"), C.REASONS["outputs_changed"])
         .otherwise("unchanged")
     )
     return joined.select("run_id", reason.alias("reason")).withColumn(
@@ -122,14 +156,10 @@ def update_outcomes(classified: DataFrame, decisions: DataFrame) -> DataFrame:
     return joined.select(
         "run_id", "attempt_state",
         F.when(running, "deferred").when(F.col("needed"), "processed").otherwise("unchanged").alias("outcome"),
-        F.when(running, "run in progress; enrichment deferred").otherwise(F.col("reason")).alias("detail"),
+        F.when(running, C.REASONS["deferred"]).otherwise(F.col("reason")).alias("detail"),
     )
 
 
-def update_totals(outcomes: DataFrame) -> DataFrame:
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("runs"))
-
-
 def unreconciled_runs(classified: DataFrame, manifests: DataFrame) -> DataFrame:
     """Eligible attempts that are neither derived nor still running."""
     waiting = classified.where(F.col("eligible") & (F.col("attempt_state") != C.RUNNING))

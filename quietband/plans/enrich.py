@@ -11,13 +11,12 @@ from quietband import config as C
 from quietband import schemas
 from quietband.config import SeriesConfig
 from quietband.operators import enrichment as E
-from quietband.operators import incremental as I
 from quietband.operators.membership import inventory
 from quietband.plans import tree
 from quietband.session import run_together
 from quietband.sources import derived as D
 from quietband.sources.captures import decode_captures
-from quietband.sources.survey_files import source_files
+from quietband.sources.run_tree import file_identity
 
 
 def derive_tables(
@@ -43,14 +42,15 @@ def derive_tables(
 
 def enrich(
     spark: SparkSession, root: str, derived_root: str, batch: str, series: SeriesConfig,
-    runs: DataFrame | None = None, registry: DataFrame | None = None,
+    runs: DataFrame | None = None, registry: DataFrame | None = None, files: DataFrame | None = None,
+    identity: DataFrame | None = None,
 ) -> None:
     """Derive `runs` (default: every eligible finished attempt) as one batch.
 
-    Frames are decoded once into a stored table, so the Python decoder runs a single time and
-    a lost executor re-reads files instead of re-decoding.  Captures are chosen by joining
-    their listing, which holds no bytes.  The manifest is written last; until then a batch can be
-    run again and replaces what an earlier attempt left. A batch with a manifest is refused.
+    `files` is the tree's listing and `identity` what is known of their hashes; both are made here where they are not given.
+    Frames are decoded once into a stored table, so a lost executor re-reads files instead of re-decoding. Captures are chosen by
+    joining their listing, which holds no bytes. The manifest is written last; until then a batch can be run again and
+    replaces what an earlier attempt left. A batch with a manifest is refused.
     """
     if not D.read_manifest_history(spark, derived_root).where(F.col("derived_version") == batch).isEmpty():
         raise ValueError(f"batch {batch} is recorded already")
@@ -63,11 +63,11 @@ def enrich(
         wanted = runs if runs is not None else classified.select("run_id")
         return rows.join(wanted, "run_id", "left_semi")
 
+    files = tree.stored_files(registry, derived_root, batch) if files is None else files
     frames_path = f"{derived_root}/frames/batch={batch}"
-    identity_path = f"{derived_root}/sources/batch={batch}"
     run_together([
-        lambda: decode_captures(chosen(tree.captures(spark, root))).write.mode("overwrite").parquet(frames_path),
-        lambda: I.source_identity(chosen(source_files(spark, root))).write.mode("overwrite").parquet(identity_path),
+        lambda: decode_captures(tree.captures(chosen(files))).write.mode("overwrite").parquet(frames_path),
+        lambda: D.write_sources(file_identity(chosen(files)) if identity is None else chosen(identity), derived_root, batch),
     ])
     frames = spark.read.schema(schemas.FRAMES).parquet(frames_path)
 
@@ -78,7 +78,10 @@ def enrich(
     run_together([partial(D.write_derived, tables[name], derived_root, name, batch) for name in C.DERIVED_TABLES])
 
     run = D.read_stored(spark, derived_root, "run").where(F.col("batch") == batch)
-    sources = spark.read.parquet(identity_path)
+    sources = spark.read.parquet(f"{derived_root}/sources/batch={batch}")
     D.write_manifests(
         D.build_manifests(run, sources, D.batch_digests(spark, derived_root, batch), batch), derived_root, batch
     )
+    # What the batch was made from is in the tree.
+    D.remove(spark, frames_path)
+    D.remove(spark, f"{derived_root}/listing/batch={batch}")

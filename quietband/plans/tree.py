@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quietband import schemas
 from quietband.config import SeriesConfig
 from quietband.operators.membership import inventory
-from quietband.sources import captures as CAP
+from quietband.sources import run_tree as R
 from quietband.sources import survey_files as S
 
 
@@ -23,15 +23,22 @@ def registry(spark: SparkSession, root: str) -> DataFrame:
         headers = S.read_text_headers(spark, tables)
     else:
         headers = spark.createDataFrame([], "run_id string, file string, readable boolean")
-    return S.assemble_registry(S.list_run_tree(spark, root), instruments, headers)
+    return S.assemble_registry(R.list_children(spark, root), instruments, headers)
+
+
+def _snapshot(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def stored_registry(spark: SparkSession, root: str, derived_root: str, label: str) -> DataFrame:
     """The registry as one stored snapshot, so every step of a job sees the same tree."""
-    path = f"{derived_root}/registry/batch={label}"
-    rows = registry(spark, root)
-    rows.write.mode("overwrite").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return _snapshot(registry(spark, root), f"{derived_root}/registry/batch={label}")
+
+
+def stored_files(registry: DataFrame, derived_root: str, label: str) -> DataFrame:
+    """The parsed files of the registry's runs as one stored listing."""
+    return _snapshot(R.list_sources(registry), f"{derived_root}/listing/batch={label}")
 
 
 def classified(spark: SparkSession, root: str, series: SeriesConfig) -> DataFrame:
@@ -52,7 +59,8 @@ def observations(spark: SparkSession, root: str) -> DataFrame:
     return S.read_observations(spark, path) if S.matches(spark, path) else _typed_empty(spark, schemas.OBSERVATIONS)
 
 
-def captures(spark: SparkSession, root: str) -> DataFrame:
-    if S.matches(spark, f"{root}/*/freq-*.pcap"):
-        return CAP.capture_files(spark, f"{root}/*/")
-    return spark.createDataFrame([], "run_id string, pcap_file string, length bigint, path string")
+def captures(files: DataFrame) -> DataFrame:
+    """(run_id, pcap_file, length, path) of the captures among listed files."""
+    return files.where(F.col("name").endswith(".pcap")).select(
+        "run_id", F.col("name").alias("pcap_file"), F.col("size").alias("length"), "path"
+    )

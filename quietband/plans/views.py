@@ -42,16 +42,19 @@ def assemble_views(tables: dict[str, DataFrame], health: DataFrame) -> dict[str,
 
 def build_views(
     spark: SparkSession, root: str, derived_root: str, now: datetime, series: SeriesConfig,
-    verify: bool = True,
+    verify: bool = True, reread: bool = False,
 ) -> dict[str, DataFrame]:
-    """Check that tree, manifests and tables agree, then publish the views."""
+    """Check that tree, manifests and tables agree, then publish the views.
+
+    Part files whose digest is known, by name, size and time of change, are not read again unless `reread` asks for it.
+    """
     classified = tree.classified(spark, root, series)
     manifests = D.read_manifest_table(spark, derived_root)
     if verify:
         I.require_reconciled(classified, manifests, f"{derived_root}/reports/unreconciled")
         I.require_intact(
             I.damaged_outputs(
-                I.recorded_outputs(manifests), D.recorded_batch_digests(spark, derived_root, manifests)
+                I.recorded_outputs(manifests), D.recorded_batch_digests(spark, derived_root, manifests, reread)
             ),
             f"{derived_root}/reports/damaged",
         )

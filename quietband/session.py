@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "quietband", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC time, AQE and explicit arrow batching; `conf` overrides."""
+    """A session with UTC time and AQE; `conf` overrides."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

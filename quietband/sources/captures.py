@@ -1,8 +1,8 @@
-"""Capture archive: binary files to one row per beacon frame.
+"""Capture archive: binary files to packets, packets to one row per beacon frame.
 
-Files are the unit of parallelism.  A worker reads a file packet by packet and hands rows on
-in batches, so memory does not grow with the file.  This module holds the core's only
-Python-worker code.
+Packets can only be found one after the other, so a large capture is first walked for its packet headers alone; the pieces
+between the places found are dealt out like files of their own and read as packets. All that a packet holds is taken from it by
+Column functions. The two readers of record headers are the core's only Python-worker code.
 """
 
 from __future__ import annotations
@@ -18,37 +18,25 @@ from pyspark.sql import functions as F
 
 from quietband import config as C
 from quietband import schemas
+from quietband.functions import wire
+from quietband.sources.run_tree import tasks
 from quietband.sources.survey_files import path_file, path_run_id
 
+#: Bytes of a piece of a capture, and of a batch of packets.
+_PIECE_BYTES, _BATCH_BYTES = 1 << 22, 1 << 22
 _BATCH_ROWS = 4096
 _BUFFER_BYTES = 1 << 20
-_TASK_BYTES = 1 << 25
+_HEADER_BYTES = 24
 
-_ARROW = {"string": pa.string(), "bigint": pa.int64(), "array<int>": pa.list_(pa.int32()),
-          "array<string>": pa.list_(pa.string())}
-_FRAME_SCHEMA = pa.schema(
-    [(f.name, _ARROW[f.dataType.simpleString()]) for f in schemas.FRAMES]
-)
-
-# Fixed values: (size, alignment) of each Radiotap field by presence bit.
-_RADIOTAP = {
-    0: (8, 8), 1: (1, 1), 2: (1, 1), 3: (4, 2), 4: (2, 2), 5: (1, 1), 6: (1, 1), 7: (2, 2),
-    8: (2, 2), 9: (2, 2), 10: (1, 1), 11: (1, 1), 12: (1, 1), 13: (1, 1), 14: (2, 2),
-    15: (2, 2), 16: (1, 1), 17: (1, 1), 18: (8, 4), 19: (3, 1), 20: (8, 4), 21: (12, 2),
-    22: (12, 8), 23: (12, 2), 24: (12, 2), 25: (6, 2), 26: (1, 1), 27: (4, 2),
-}
 # Capture magic -> (byte order, nanoseconds per fraction unit).
 _MAGIC = {
     b"\xd4\xc3\xb2\xa1": ("<", 1000), b"\xa1\xb2\xc3\xd4": (">", 1000),
     b"\x4d\x3c\xb2\xa1": ("<", 1), b"\xa1\xb2\x3c\x4d": (">", 1),
 }
-# Neighbor entry length -> offsets of (address, short SSID, parameters, MLD).
-_NEIGHBOR_LAYOUT = {
-    1: (None, None, None, None), 2: (None, None, 1, None), 5: (None, 1, None, None),
-    6: (None, 1, 5, None), 7: (1, None, None, None), 8: (1, None, 7, None),
-    9: (1, None, 7, None), 11: (1, 7, None, None), 12: (1, 7, 11, None),
-    13: (1, 7, 11, None), 16: (1, 7, 11, 13),
-}
+_PIECES = "run_id string, pcap_file string, path string, start bigint, stop bigint, first bigint, error string"
+_PACKETS = (
+    "run_id string, pcap_file string, frame_number bigint, frame_time_epoch string, wire_length bigint, packet binary, error string"
+)
 
 
 class CaptureError(ValueError):
@@ -76,56 +64,51 @@ def populated(captures: DataFrame) -> DataFrame:
 def decode_captures(captures: DataFrame) -> DataFrame:
     """Beacon frames of all populated captures, plus one error row per unreadable one.
 
-    Captures are given by `path`, or by `content` where the bytes are at hand. A file that fails
-    half-way has both frames and an error row. Listed files are dealt out anew, since a
-    filtered listing is tiny and would otherwise end in one task.
+    Captures are given by `path`, or by `content` where the bytes are at hand. A file that fails half-way has both frames and
+    an error row; so has one that the store does not give, and its neighbours are read all the same.
+    """
+    return beacon_frames(read_packets(captures))
+
+
+def packet_index(captures: DataFrame) -> DataFrame:
+    """(run_id, pcap_file, path, start, stop, first, error): pieces of the captures that begin and end between packets.
+
+    `first` is the number of the piece's first packet. A capture of up to _PIECE_BYTES is one piece and is not opened; of
+    a larger one only record headers are looked at. What stops the walk is the error of the last piece.
     """
-    full = populated(captures)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run_id, name, path, length in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                # A file's pieces are few: one for each _PIECE_BYTES.
+                rows = list(_pieces(path, length))
+                columns = list(zip(*[(run_id, name, path, *row) for row in rows]))
+                yield pa.record_batch(
+                    [pa.array(c, pa.int64() if i in (3, 4, 5) else pa.string()) for i, c in enumerate(columns)],
+                    names=["run_id", "pcap_file", "path", "start", "stop", "first", "error"],
+                )
+
+    full = populated(captures).select("run_id", "pcap_file", "path", "length")
+    # Dealt out, since a filtered listing is tiny and would otherwise end in one task.
+    return full.repartition(tasks(captures.sparkSession), "run_id", "pcap_file").mapInArrow(run, _PIECES)
+
+
+def read_packets(captures: DataFrame) -> DataFrame:
+    """(run_id, pcap_file, frame_number, frame_time_epoch, wire_length, packet, error) of all populated captures."""
     if "content" in captures.columns:
-        source = full.select("run_id", "pcap_file", "length", "content")
-    else:
-        total = full.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-        tasks = max(full.sparkSession.sparkContext.defaultParallelism, -(-total // _TASK_BYTES))
-        source = full.select("run_id", "pcap_file", "length", "path").repartition(tasks, "run_id", "pcap_file")
-    return source.mapInArrow(_decode, schemas.FRAMES)
-
-
-def _stream(source: str | bytes):
-    if isinstance(source, bytes):
-        return io.BytesIO(source)
-    files, path = FileSystem.from_uri(source)
-    return io.BufferedReader(files.open_input_stream(path, compression=None), _BUFFER_BYTES)
-
-
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decode files one at a time; rows leave in batches of bounded size within and across files."""
-    rows: list[dict] = []
-    for batch in batches:
-        for run_id, name, length, source in zip(*(batch.column(i) for i in range(4))):
-            identity = {"run_id": run_id.as_py(), "pcap_file": name.as_py()}
-            try:
-                with _stream(source.as_py()) as stream:
-                    for row in _beacons(stream, length.as_py()):
-                        rows.append(identity | row)
-                        if len(rows) == _BATCH_ROWS:
-                            yield _batch(rows)
-                            rows = []
-            except CaptureError as problem:
-                rows.append(identity | {"error": f"{identity['pcap_file']}: {problem}"})
-    if rows:
-        yield _batch(rows)
-
-
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    columns = [
-        pa.array([row.get(field.name) for row in rows], type=field.type) for field in _FRAME_SCHEMA
-    ]
-    return pa.RecordBatch.from_arrays(columns, schema=_FRAME_SCHEMA)
-
-
-def _packets(stream, length: int):
-    start = stream.read(24)
-    if len(start) < 24:
+        return populated(captures).select("run_id", "pcap_file", "content").mapInArrow(_packets_of_contents, _PACKETS)
+    pieces = packet_index(captures).repartition(tasks(captures.sparkSession), "run_id", "pcap_file", "start")
+    return pieces.mapInArrow(_packets_of_pieces, _PACKETS)
+
+
+def _open(path: str):
+    files, name = FileSystem.from_uri(path)
+    return files.open_input_file(name)
+
+
+def _header(start: bytes) -> tuple[struct.Struct, int]:
+    """How record headers are laid out, and nanoseconds of a fraction unit."""
+    if len(start) < _HEADER_BYTES:
         raise CaptureError("missing global header")
     if start[:4] not in _MAGIC:
         raise CaptureError("unrecognised magic")
@@ -133,160 +116,148 @@ def _packets(stream, length: int):
     (link,) = struct.unpack_from(order + "I", start, 20)
     if link != C.RADIOTAP_LINK_TYPE:
         raise CaptureError(f"link type {link} is not Radiotap")
-    header, at, number = struct.Struct(order + "4I"), 24, 0
-    while len(record := stream.read(16)) == 16:
-        seconds, fraction, held, wire = header.unpack(record)
+    return struct.Struct(order + "4I"), unit
+
+
+def _pieces(path: str, length: int) -> Iterator[tuple[int, int, int, str | None]]:
+    """(start, stop, number of the first packet, error) of each piece."""
+    if length <= _PIECE_BYTES:
+        yield _HEADER_BYTES, length, 1, None
+        return
+    start, at, first, number = _HEADER_BYTES, _HEADER_BYTES, 1, 1
+    try:
+        with _open(path) as file:
+            layout, _ = _header(file.read(_HEADER_BYTES))
+            held, base = b"", _HEADER_BYTES
+            while at + 16 <= length:
+                if at + 16 > base + len(held):
+                    # Headers are near each other: they are picked from large reads.
+                    file.seek(at)
+                    held, base = file.read(_BUFFER_BYTES), at
+                    if len(held) < 16:
+                        break
+                size = layout.unpack_from(held, at - base)[2]
+                if at + 16 + size > length:
+                    raise CaptureError("truncated inside a packet record")
+                at, number = at + 16 + size, number + 1
+                if at - start >= _PIECE_BYTES:
+                    yield start, at, first, None
+                    start, first = at, number
+    except (CaptureError, OSError) as problem:
+        yield start, at, first, str(problem)
+        return
+    if at > start:
+        yield start, at, first, None
+
+
+def _records(stream, size: int, layout: struct.Struct, unit: int, number: int):
+    """(number, time, length on air, bytes) of the records in the next `size` bytes."""
+    at = 0
+    while at + 16 <= size and len(record := stream.read(16)) == 16:
+        seconds, fraction, held, wire_length = layout.unpack(record)
         at += 16 + held
         # A broken length is seen before its bytes are asked for.
-        if at > length or len(packet := stream.read(held)) < held:
+        if at > size or len(packet := stream.read(held)) < held:
             raise CaptureError("truncated inside a packet record")
+        yield number, f"{seconds}.{fraction * unit:09d}", wire_length, packet
         number += 1
-        yield number, f"{seconds}.{fraction * unit:09d}", wire, packet
-
-
-def _beacons(stream, length: int):
-    for number, epoch, wire, packet in _packets(stream, length):
-        if len(packet) < 8:
-            continue
-        (radio_len,) = struct.unpack_from("<H", packet, 2)
-        mac = packet[radio_len:]
-        # Management type, subtype 8.
-        if len(mac) < 24 or mac[0] & 0xFC != 0x80:
-            continue
-        row, has_fcs = _radiotap(packet, radio_len)
-        if has_fcs:
-            mac = mac[:-4]
-        row.update(
-            frame_number=number, frame_time_epoch=epoch, captured_length=len(packet),
-            wire_length=wire, bssid=mac[16:22].hex(":"),
-            interval_tu=struct.unpack_from("<H", mac, 32)[0] if len(mac) >= 34 else None,
-            beacon_timestamp=str(struct.unpack_from("<Q", mac, 24)[0]) if len(mac) >= 32 else None,
-        )
-        row.update(_elements(mac[36:]))
-        yield row
-
-
-def _radiotap(packet: bytes, size: int) -> tuple[dict, bool]:
-    """Radiotap cells; `rssi_dbm` is the signal of the first presence word only."""
-    cells: dict = {}
-    if size < 8 or size > len(packet):
-        return cells, False
-    words, at = [], 4
-    while at + 4 <= size:
-        words.append(struct.unpack_from("<I", packet, at)[0])
-        at += 4
-        if not words[-1] >> 31:
-            break
-    has_fcs = False
-    for index, word in enumerate(words):
-        for bit in range(29):
-            if not word >> bit & 1:
-                continue
-            if bit not in _RADIOTAP:
-                return cells, has_fcs
-            length, align = _RADIOTAP[bit]
-            at = -(-at // align) * align
-            value = packet[at:at + length]
-            at += length
-            if at > size:
-                return cells, has_fcs
-            if bit == 0:
-                _add(cells, "radiotap_tsft", int.from_bytes(value, "little"))
-            elif bit == 1:
-                has_fcs = has_fcs or bool(value[0] & 0x10)
-                _add(cells, "radiotap_flags_badfcs", bool(value[0] & 0x40))
-            elif bit == 2:
-                _add(cells, "radiotap_datarate", value[0] / 2)
-            elif bit == 5:
-                signal = int.from_bytes(value, "little", signed=True)
-                _add(cells, "radiotap_dbm_signal", signal)
-                if index == 0:
-                    cells["rssi_dbm"] = signal
-            elif bit == 6:
-                _add(cells, "radiotap_noise", int.from_bytes(value, "little", signed=True))
-            elif bit == 11:
-                _add(cells, "radiotap_antenna", value[0])
-            elif bit == 12:
-                _add(cells, "radiotap_db_signal", value[0])
-            elif bit == 13:
-                _add(cells, "radiotap_db_noise", value[0])
-            elif bit == 19:
-                _add(cells, "radiotap_mcs_index", value[2])
-            elif bit == 21 and value[4]:
-                _add(cells, "radiotap_vht_nss", value[4] & 0x0F)
-            elif bit == 23:
-                _add(cells, "radiotap_he_data1", int.from_bytes(value[:2], "little") & 3)
-        if word >> 30 & 1:
-            break
-    return cells, has_fcs
-
-
-def _add(cells: dict, name: str, value) -> None:
-    cells.setdefault(name, []).append(str(value))
-
-
-def _elements(body: bytes) -> dict:
-    """Element ids and the cells taken from their payloads."""
-    tags, exts, cells = [], [], {}
-    at = 0
-    while at + 2 <= len(body):
-        tag, size = body[at], body[at + 1]
-        payload = body[at + 2:at + 2 + size]
-        if tag == C.TAG_SSID:
-            # The first SSID element counts as text only where it opens the body.
-            if at == 0:
-                cells["ssid_text"] = payload.decode("utf-8", "replace").translate(
-                    {9: " ", 10: " ", 13: " "}
-                )
-            cells.setdefault("ssid_hex", payload.hex() or "<MISSING>")
-        if len(payload) < size:
-            break
-        at += 2 + size
-        if tag == C.TAG_EXTENSION:
-            if payload:
-                exts.append(payload[0])
-                if payload[0] == 36 and size >= 7:
-                    _add(cells, "he_bss_color", payload[4] & 0x3F)
-            continue
-        tags.append(tag)
-        if tag == C.TAG_BSS_LOAD and size >= 5:
-            stations, busy, admission = struct.unpack_from("<HBH", payload)
-            _add(cells, "qbss_station_count", stations)
-            _add(cells, "qbss_utilization", busy)
-            _add(cells, "qbss_admission", admission)
-        elif tag == C.TAG_RNR:
-            _neighbors(payload, cells)
-    for name, values in cells.items():
-        if name.startswith("rnr_"):
-            # Identical adjacent occurrences count as one.
-            cells[name] = [v for i, v in enumerate(values) if i == 0 or v != values[i - 1]]
-    cells.setdefault("ssid_text", "")
-    return {"tags": tags, "exts": exts} | cells
-
-
-def _neighbors(payload: bytes, cells: dict) -> None:
-    at = 0
-    while at + 4 <= len(payload):
-        count, size = (payload[at] >> 4) + 1, payload[at + 1]
-        _add(cells, "rnr_op_class", payload[at + 2])
-        _add(cells, "rnr_channel", payload[at + 3])
-        at += 4
-        address, short, params, mld = _NEIGHBOR_LAYOUT.get(size) or (
-            _NEIGHBOR_LAYOUT[16] if size > 16 else _NEIGHBOR_LAYOUT[1]
-        )
-        for _ in range(count):
-            entry = payload[at:at + size]
-            at += size
-            if len(entry) < size or not size:
-                return
-            if address is not None:
-                _add(cells, "rnr_bssid", entry[address:address + 6].hex())
-            if short is not None:
-                _add(cells, "rnr_short_ssid", f"0x{int.from_bytes(entry[short:short + 4], 'little'):08x}")
-            if params is not None:
-                _add(cells, "rnr_bss_params", f"0x{entry[params]:02x}")
-            if mld is not None:
-                bits = int.from_bytes(entry[mld:mld + 3], "little")
-                _add(cells, "rnr_mld_id", bits & 0xFF)
-                _add(cells, "rnr_mld_link_id", bits >> 8 & 0x0F)
-                _add(cells, "rnr_disabled_link", bool(bits >> 21 & 1))
+
+
+class _Rows:
+    """Packet rows, handed on in batches of bounded size."""
+
+    def __init__(self):
+        self.rows, self.size = [], 0
+
+    def add(self, *row) -> bool:
+        """Adds (run_id, pcap_file, number, time, length on air, packet, error); true when a batch is due."""
+        self.rows.append(row)
+        self.size += len(row[5] or b"")
+        return len(self.rows) >= _BATCH_ROWS or self.size >= _BATCH_BYTES
+
+    def batch(self) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string())
+        names = ("run_id", "pcap_file", "frame_number", "frame_time_epoch", "wire_length", "packet", "error")
+        columns = list(zip(*self.rows))
+        self.__init__()
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _packet_batches(sources) -> Iterator[pa.RecordBatch]:
+    """Batches of the packets of (run_id, pcap_file, function that gives the records, error known already)."""
+    out = _Rows()
+    for run_id, name, records, error in sources:
+        try:
+            for record in records():
+                if out.add(run_id, name, *record, None):
+                    yield out.batch()
+        except (CaptureError, OSError) as problem:
+            error = error or str(problem)
+        if error:
+            out.add(run_id, name, None, None, None, None, f"{name}: {error}")
+    if out.rows:
+        yield out.batch()
+
+
+def _packets_of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(path: str, start: int, stop: int, first: int):
+        with _open(path) as file:
+            layout, unit = _header(file.read(_HEADER_BYTES))
+            file.seek(start)
+            yield from _records(io.BufferedReader(file, _BUFFER_BYTES), stop - start, layout, unit, first)
+
+    def sources():
+        for batch in batches:
+            for run_id, name, path, start, stop, first, error in zip(*(c.to_pylist() for c in batch.columns)):
+                yield run_id, name, lambda a=(path, start, stop, first): records(*a), error
+
+    return _packet_batches(sources())
+
+
+def _packets_of_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(content: bytes):
+        stream = io.BytesIO(content)
+        layout, unit = _header(stream.read(_HEADER_BYTES))
+        return _records(stream, len(content) - _HEADER_BYTES, layout, unit, 1)
+
+    def sources():
+        for batch in batches:
+            for run_id, name, content in zip(*batch.columns):
+                yield run_id.as_py(), name.as_py(), lambda c=content: records(c.as_py()), None
+
+    return _packet_batches(sources())
+
+
+def beacon_frames(packets: DataFrame) -> DataFrame:
+    """One row per beacon among the packets (FRAMES), and the packets' error rows as they are."""
+    b, radio, packet = F.col("b"), F.col("radio"), F.col("packet")
+    rows = packets.withColumn("radio", wire.one_byte(packet, 2) + wire.one_byte(packet, 3) * 256)
+    # Management type, subtype 8. Only single bytes are looked at, since this is pushed below all else.
+    beacon = (F.length(packet) >= 8) & (F.length(packet) - radio >= 24) & (wire.one_byte(packet, radio).bitwiseAND(F.lit(0xFC)) == 0x80)
+    rows = rows.where(F.col("error").isNotNull() | beacon)
+    rows = rows.withColumn("b", wire.byte_values(packet))
+    rows = rows.withColumn("fields", wire.radiotap_fields(b, radio))
+    # A check sequence behind the frame is not part of it.
+    rows = rows.withColumn("end", F.size(b) - F.when(wire.has_check_sequence(b, F.col("fields")), 4).otherwise(0))
+    rows = rows.withColumns({"b": F.slice(b, F.lit(1), F.col("end")), "data": F.substring("packet", F.lit(1), F.col("end"))})
+    rows = rows.withColumn("places", wire.element_places(b, radio + 36))
+    rows = rows.withColumn("whole", F.filter("places", lambda e: e["whole"]))
+    rows = rows.withColumns({
+        "reports": wire.neighbor_reports(b, F.col("whole")), "extensions": wire.extension_elements(F.col("whole")),
+    })
+    rows = rows.withColumn("entries", wire.neighbor_entries(F.col("reports")))
+    data = F.col("data")
+    found = {
+        "captured_length": F.length("packet").cast("bigint"),
+        "bssid": F.regexp_replace(wire.hex_text(data, radio + 16, 6), "(..)(?=.)", "$1:"),
+        "interval_tu": wire.little_endian(b, radio + 32, 2),
+        "beacon_timestamp": F.when(F.size(b) - radio >= 32, wire.little_endian_text(b, radio + 24, 8)),
+        **wire.radiotap_cells(b, F.col("fields")),
+        **wire.element_cells(data, b, radio + 36, *map(F.col, ("places", "whole", "extensions"))),
+        **wire.neighbor_cells(data, b, F.col("reports"), F.col("entries")),
+    }
+    # An error row has no cells.
+    return rows.select(*[
+        (F.when(F.col("error").isNull(), found[f.name]) if f.name in found else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in schemas.FRAMES
+    ])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ def write_derived(rows: DataFrame, root: str, table: str, batch: str) -> None:
 
     Partitions are days, not runs, so a year is a few hundred folders.
     """
-    _remove(rows.sparkSession, f"{root}/{table}/batch={batch}")
+    remove(rows.sparkSession, f"{root}/{table}/batch={batch}")
     (
         schemas.conform(rows, schemas.DERIVED[table])
         .withColumns({"batch": F.lit(batch), "run_date": F.substring("run_id", 1, 8)})
@@ -29,7 +31,7 @@ def write_derived(rows: DataFrame, root: str, table: str, batch: str) -> None:
     )
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -70,27 +72,88 @@ def read_derived(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def batch_digests(spark: SparkSession, root: str, batch: str | None = None) -> DataFrame:
-    """Row counts and content digests of what is stored, per run, table (and batch)."""
-    out = None
-    for table in C.DERIVED_TABLES:
-        rows = read_stored(spark, root, table)
-        if batch is not None:
-            rows = rows.where(F.col("batch") == batch)
-        part = I.table_digest(rows, table)
-        out = part if out is None else out.unionByName(part)
-    return out
+_PART = "table string, file string, size bigint, modified timestamp"
+_PART_DIGESTS = f"{_PART}, batch string, run_id string, rows bigint, total decimal(38,0), mixed bigint"
+
+
+def part_files(spark: SparkSession, root: str) -> DataFrame:
+    """(table, file, size, modified, batch) of all stored part files: a listing, no file is opened."""
+    parts = [
+        spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", recursiveFileLookup=True).load(f"{root}/{table}").select(
+            F.lit(table).alias("table"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+            F.regexp_extract(F.col("_metadata.file_path"), "/batch=([^/]+)/", 1).alias("batch"),
+        )
+        for table in C.DERIVED_TABLES if _exists(spark, f"{root}/{table}")
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], f"{_PART}, batch string")
+
+
+def stored_digests(spark: SparkSession, root: str, reread: bool = False) -> DataFrame:
+    """(run_id, batch, name, rows, sha256): row counts and content digests of what is stored.
+
+    Digests add up over part files, and those of files met before are kept beside the tables, by name, size and time of change.
+    Only files without one are read, and of partitioned tables only batches that hold such a file. `reread` reads all, which also
+    finds a file whose bytes changed while its size and time did not.
+    """
+    known_path = f"{root}/verified"
+    present = part_files(spark, root)
+    same = ["table", "file", "size", "modified"]
+    if reread or not _exists(spark, known_path):
+        known = spark.createDataFrame([], _PART_DIGESTS)
+    else:
+        known = spark.read.schema(_PART_DIGESTS).parquet(known_path)
+    fresh = present.join(known, same, "left_anti")
+    # One row per table and batch that is not verified yet.
+    wanted: dict[str, list[str]] = {}
+    for r in fresh.select("table", "batch").distinct().collect():
+        wanted.setdefault(r.table, []).append(r.batch)
+    parts = []
+    for table, batches in wanted.items():
+        rows = read_stored(spark, root, table).where(F.col("batch").isin(batches))
+        keys = {"file": "file_path", "size": "file_size", "modified": "file_modification_time"}
+        digests = I.row_digests(rows, *[F.col(f"_metadata.{m}").alias(k) for k, m in keys.items()], "batch", "run_id")
+        parts.append(digests.select(F.lit(table).alias("table"), *keys, "batch", "run_id", "rows", "total", "mixed"))
+    if parts:
+        new = reduce(DataFrame.unionByName, parts)
+        # A batch can hold files that are known already.
+        new.join(fresh.select(*same), same, "left_semi").write.mode("overwrite" if reread else "append").parquet(known_path)
+        known = spark.read.schema(_PART_DIGESTS).parquet(known_path)
+    held = known.join(present.select(*same), same, "left_semi").dropDuplicates([*same, "run_id"])
+    return I.added_up(held, "run_id", "batch", "table").select(
+        "run_id", "batch", F.concat("table", F.lit(".parquet")).alias("name"), "rows", "sha256"
+    )
+
 
+def batch_digests(spark: SparkSession, root: str, batch: str) -> DataFrame:
+    """Row counts and content digests of one batch, per run and table."""
+    return stored_digests(spark, root).where(F.col("batch") == batch).drop("batch")
 
-def recorded_batch_digests(spark: SparkSession, root: str, manifests: DataFrame) -> DataFrame:
+
+def recorded_batch_digests(spark: SparkSession, root: str, manifests: DataFrame, reread: bool = False) -> DataFrame:
     """Digests of the batch each run's manifest names, whatever its status."""
-    out = None
     keys = manifests.select("run_id", F.col("derived_version").alias("batch"))
-    for table in C.DERIVED_TABLES:
-        rows = read_stored(spark, root, table).join(keys, ["run_id", "batch"], "left_semi")
-        part = I.table_digest(rows, table)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return stored_digests(spark, root, reread).join(keys, ["run_id", "batch"], "left_semi").drop("batch")
+
+
+_SOURCES = "run_id string, name string, size bigint, modified bigint, sha256 string"
+
+
+def write_sources(identity: DataFrame, root: str, batch: str) -> None:
+    """The identity of a batch's source files, file by file and as roots of runs."""
+    path = f"{root}/sources/batch={batch}"
+    identity.write.mode("overwrite").parquet(path)
+    I.run_roots(identity.sparkSession.read.schema(_SOURCES).parquet(path)).write.mode("overwrite").parquet(f"{root}/roots/batch={batch}")
+
+
+def recorded_identity(spark: SparkSession, root: str, manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Source files and run roots as recorded for the batch that each run's manifest names."""
+    keys = manifests.select("run_id", F.col("derived_version").alias("batch"))
+    return tuple(
+        (spark.read.schema(f"{schema}, batch string").parquet(f"{root}/{name}") if _exists(spark, f"{root}/{name}")
+         else spark.createDataFrame([], f"{schema}, batch string")).join(keys, ["run_id", "batch"], "left_semi").drop("batch")
+        for name, schema in (("sources", _SOURCES), ("roots", "run_id string, day string, root string"))
+    )
 
 
 def build_manifests(run: DataFrame, sources: DataFrame, digests: DataFrame, batch: str) -> DataFrame:

@@ -138,38 +138,12 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def source_files(spark: SparkSession, root: str) -> DataFrame:
-    """(run_id, name, length, content) of the parsed inputs of every run."""
-    names = "{frequencies.tsv,aggregate.tsv,instrument.json,freq-*.pcap}"
-    if not matches(spark, f"{root}/*/{names}"):
-        return spark.createDataFrame([], "run_id string, name string, length bigint, content binary")
-    files = spark.read.format("binaryFile").load(f"{root}/*/{names}")
-    source = F.col("_metadata.file_path")
-    return files.select(path_run_id(source).alias("run_id"), path_file(source).alias("name"), "length", "content")
-
-
-def list_run_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Registry (name, path, is_dir) of the direct children of a run tree.
-
-    File sources cannot see empty directories, and an empty run directory is a malformed
-    attempt, not a missing hour, so the names come from one directory listing.
-    """
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    entries = fs.listStatusIterator(folder)
-    rows = []
-    while entries.hasNext():
-        entry = entries.next()
-        rows.append((entry.getPath().getName(), entry.getPath().toString(), entry.isDirectory()))
-    return spark.createDataFrame(rows, "name string, path string, is_dir boolean")
-
-
 def assemble_registry(registry: DataFrame, instruments: DataFrame, headers: DataFrame) -> DataFrame:
     """Join file evidence to the registry, one row per child of the tree."""
     evidence = headers.groupBy("run_id").agg(
         F.bool_or((F.col("file") == "frequencies.tsv") & F.col("readable")).alias("frequencies_ok"),
         F.bool_or((F.col("file") == "aggregate.tsv") & F.col("readable")).alias("aggregate_ok"),
+        *[F.bool_or(F.col("file") == f"{t}.tsv").alias(f"{t}_found") for t in ("frequencies", "aggregate")],
     )
     return (
         registry.join(instruments.withColumnRenamed("run_id", "name").drop("instrument"), "name", "left")
@@ -178,7 +152,7 @@ def assemble_registry(registry: DataFrame, instruments: DataFrame, headers: Data
             "name", "path", "is_dir",
             *[
                 F.coalesce(F.col(c), F.lit(False)).alias(c)
-                for c in ("instrument_ok", "frequencies_ok", "aggregate_ok")
+                for c in ("instrument_ok", "frequencies_ok", "aggregate_ok", "frequencies_found", "aggregate_found")
             ],
             "run_status", "started_utc",
         )
@@ -200,11 +174,6 @@ def parse_manifests(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_phy_info(spark: SparkSession, paths) -> DataFrame:
-    """Lines of kernel PHY text with their run and position (run_id, line_no, line)."""
-    return _lines(spark, paths).drop("file")
-
-
 def phy_frequency_table(lines: DataFrame, bands: tuple[str, ...]) -> DataFrame:
     """Listed frequencies per run: the first line naming a frequency wins."""
     pattern = r"^\s*\*\s+([0-9]+(?:\.[0-9]+)?)\s+MHz\s+\[([0-9]+)\]\s*(.*)$"
@@ -228,8 +197,3 @@ def read_commissioning(frequencies: DataFrame, observations: DataFrame, runs: tu
     """The two source tables restricted to the commissioning runs (a partition filter)."""
     keep = F.col("run_id").isin(*runs)
     return frequencies.where(keep), observations.where(keep)
-
-
-def manifest_documents(manifests: DataFrame) -> DataFrame:
-    """Manifest rows as JSON text, one document per run."""
-    return manifests.select("run_id", F.to_json(F.struct(*manifests.columns)).alias("document"))

@@ -153,3 +153,50 @@ def test_a_long_capture_leaves_in_batches(spark, tmp_path):
     assert frames.where("error is not null").count() == 1
     row, = E.beacon_summary(frames, spark.createDataFrame([], schemas.FREQUENCIES)).collect()
     assert (row.frequency_mhz, row.band, row.beacons, row.channel) == (2412, "2.4GHz", 30_000, None)
+
+
+def test_one_large_capture_is_read_by_several_tasks(spark, tmp_path):
+    """Pieces begin and end between packets; together they hold every packet once, numbered through the file."""
+    one = B.capture([(7, 5, B.beacon(B.AP1, B.element(0, b"ok")))])
+    run = tmp_path / "20260827-090003"
+    run.mkdir()
+    (run / "freq-2412.pcap").write_bytes(one[:24] + one[24:] * 200_000)
+    captures = CAP.capture_files(spark, f"{tmp_path}/*/")
+    pieces = CAP.packet_index(captures).orderBy("start").collect()
+    assert len(pieces) > 2 and [p.start for p in pieces[1:]] == [p.stop for p in pieces[:-1]] and pieces[-1].stop == 24 + len(one[24:]) * 200_000
+    packets = CAP.read_packets(captures).withColumn("task", F.spark_partition_id())
+    row = packets.agg(F.count("*").alias("n"), F.countDistinct("frame_number").alias("numbers"), F.max("frame_number").alias("last"),
+                      F.countDistinct("task").alias("tasks"), F.min("frame_time_epoch").alias("time")).first()
+    assert (row.n, row.numbers, row["last"], row.time) == (200_000, 200_000, 200_000, "7.000005000") and row.tasks > 1
+
+
+def test_a_file_that_the_store_does_not_give_is_an_error_row(spark, tmp_path):
+    B.write_run(tmp_path, "20260827-090003")
+    listed = CAP.capture_files(spark, f"{tmp_path}/*/").withColumn("path", F.regexp_replace("path", "2412", "9999"))
+    row, = CAP.read_packets(listed).collect()
+    assert row.packet is None and row.error.startswith("freq-2412.pcap: ")
+
+
+def test_names_that_are_no_text(spark):
+    """Bytes that are no UTF-8 become replacement characters, as in other decoders; the hex keeps them."""
+    names = [b"\xff\xfeA", b"caf\xc3\xa9", b"\xf0\x9f\x98", b"a\xc3", b"\xe2\x82\xac\r\n"]
+    data = B.capture([(i, 0, B.beacon(B.AP1, B.element(0, n))) for i, n in enumerate(names)])
+    rows = decode(spark, ("freq-2412.pcap", data)).orderBy("frame_number").collect()
+    assert [r.ssid_hex for r in rows] == [n.hex() for n in names]
+    assert [r.ssid_text for r in rows] == [n.decode("utf-8", "replace").translate({9: " ", 10: " ", 13: " "}) for n in names]
+
+
+def test_radiotap_fields_in_order_and_alignment(spark):
+    """Two presence words, aligned fields, an unsigned time above 63 bits, and a check sequence that is no element."""
+    import struct
+
+    words = struct.pack("<II", 1 << 0 | 1 << 1 | 1 << 2 | 1 << 5 | 1 << 31, 1 << 5 | 1 << 11 | 1 << 19 | 1 << 23)
+    fields = struct.pack("<4xQBBb", 2**63 + 5, 0x50, 11, -40) + struct.pack("<bB", -50, 3) + bytes((7, 8, 9)) + struct.pack("<HHHHHH", 2, 0, 0, 0, 0, 0)
+    size = 4 + len(words) + len(fields)
+    body = B.beacon(B.AP2, B.element(0, b"n") + B.element(45, b"x"))[len(B.radiotap()):]
+    packet = struct.pack("<BBH", 0, 0, size) + words + fields + body + bytes((48, 0, 48, 0))
+    row, = decode(spark, ("freq-2412.pcap", B.capture([(0, 0, packet)]))).collect()
+    assert row.tags == [0, 45] and row.rssi_dbm == -40 and row.radiotap_tsft == [str(2**63 + 5)]
+    assert (row.radiotap_flags_badfcs, row.radiotap_datarate, row.radiotap_dbm_signal) == (["True"], ["5.5"], ["-40", "-50"])
+    assert (row.radiotap_antenna, row.radiotap_mcs_index, row.radiotap_he_data1) == (["3"], ["9"], ["2"])
+    assert row.radiotap_noise is None and row.captured_length == len(packet) and row.beacon_timestamp == "0"

@@ -194,6 +194,65 @@ def test_unreadable_capture_makes_its_run_partial(spark, tmp_path):
     assert {r.run_id for r in views["pilot_rnr"].select("run_id").distinct().collect()} == {SECOND}
 
 
+def test_a_blank_table_is_not_called_missing(spark, tmp_path):
+    from quietband.operators.enrichment import core_errors
+
+    for run_id in (SWEEP, SECOND):
+        B.write_run(tmp_path, run_id)
+    (tmp_path / SWEEP / "frequencies.tsv").write_text("\nx\n")
+    (tmp_path / SECOND / "aggregate.tsv").unlink()
+    none = spark.createDataFrame([], "run_id string, bad_cell boolean")
+    errors = {r.run_id: r.error for r in core_errors(tree.registry(spark, str(tmp_path)), none, none).collect()}
+    assert errors == {SWEEP: "no header in source file: frequencies.tsv", SECOND: "missing source file: aggregate.tsv"}
+
+
+def test_files_are_hashed_once_and_trusted_only_when_asked(spark, tmp_path, monkeypatch):
+    """Large files are hashed in blocks; a known hash is taken over for the same size and time."""
+    import hashlib
+    import os
+
+    from quietband.sources import run_tree as R
+
+    B.write_run(tmp_path, SWEEP)
+    files = R.list_sources(R.list_children(spark, str(tmp_path)))
+    found = {r.name: r for r in R.file_identity(files).collect()}
+    assert set(found) == {"instrument.json", "frequencies.tsv", "aggregate.tsv", "freq-2412.pcap", "freq-2437.pcap", "freq-5955.pcap"}
+    for name, r in found.items():
+        assert r.sha256 == hashlib.sha256((tmp_path / SWEEP / name).read_bytes()).hexdigest()
+    known = spark.createDataFrame([(SWEEP, r.name, r.size, r.modified, "known") for r in found.values()],
+                                  "run_id string, name string, size bigint, modified bigint, sha256 string")
+    table = tmp_path / SWEEP / "aggregate.tsv"
+    table.write_text(table.read_text().replace("TestNet", "NetTest"))
+    os.utime(table, ns=(0, found["aggregate.tsv"].modified + 1))
+    trusted = {r.name: r.sha256 for r in R.file_identity(files, known).collect()}
+    assert trusted.pop("aggregate.tsv") == hashlib.sha256(table.read_bytes()).hexdigest() and set(trusted.values()) == {"known"}
+    table.unlink()
+    assert R.hash_files(spark.createDataFrame([(SWEEP, "gone.tsv", str(table), 1, 1)], files.schema)).first().sha256 is None
+    assert R.list_children(spark, str(tmp_path / "absent")).count() == 0
+
+
+def test_stored_rows_are_read_once(spark, built, monkeypatch):
+    """Digests of known part files are kept; only `reread` looks at them again."""
+    root, derived, _, _ = built
+    read = []
+    monkeypatch.setattr(D, "read_stored", lambda s, r, table, real=D.read_stored: read.append(table) or real(s, r, table))
+    before = sorted(map(tuple, D.stored_digests(spark, derived).collect()))
+    assert read == [] and before
+    assert sorted(map(tuple, D.stored_digests(spark, derived, reread=True).collect())) == before and len(read) == 7
+    assert {r.name for r in D.batch_digests(spark, derived, "b1").collect()} == {f"{t}.parquet" for t in C.DERIVED_TABLES}
+
+
+def test_an_update_that_trusts_unchanged_files(spark, built, tmp_path):
+    root = build_tree(tmp_path / "tree")
+    derived = str(tmp_path / "derived")
+    update(spark, str(root), derived, "b1", SERIES)
+    table = root / SECOND / "aggregate.tsv"
+    table.write_text(table.read_text() + "\n")
+    for trust in (True, False):
+        outcome = {r.run_id: r.outcome for r in update(spark, str(root), derived, f"b{2 + trust}", SERIES, trust_unchanged=trust).collect()}
+        assert outcome == {SWEEP: "unchanged", SKIP: "unchanged", FAIL: "unchanged", SECOND: "processed" if trust else "unchanged"}
+
+
 def test_empty_tree_gives_twelve_typed_views(spark, tmp_path):
     root = tmp_path / "tree"
     root.mkdir()

@@ -254,14 +254,16 @@ def a10(i):
         i.staged[t].groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "run_id", "n")
         for t in _STAGED
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-simple("a11_typed_empty", lambda i: schemas.empty(i.spark, "observations").unionByName(i.observations),
-       "SELECT * FROM observations")
+# Empty as it is, then with what an older batch without the last columns left, then whole.
+simple("a11_typed_empty",
+       lambda i: schemas.union_layers(
+           [schemas.empty(i.spark, "observations"), i.observations.where("coalesce(band, '') <> '6GHz'").drop("beacon_reception_ratio"),
+            i.observations.where("band = '6GHz'")], schemas.OBSERVATIONS),
+       f"""SELECT {cols(schemas.OBSERVATIONS).replace(", beacon_reception_ratio", "")},
+       CASE WHEN band = '6GHz' THEN beacon_reception_ratio END AS beacon_reception_ratio FROM observations""")
 
 
 @query("a12_commissioning_scan", f"""SELECT {cols(schemas.OBSERVATIONS)} FROM observations
@@ -294,29 +296,58 @@ def a13(i):
 
 _TABLE_SQL = {"run": "run", "frequencies": "frequencies", "observations": "observations", "ie_capabilities": "capabilities",
               "rnr": "rnr", "bss_load": "bss_load", "field_resolution": "resolution"}
-# A table's rows and how many of its cells hold something, column by column.
-_FILLED = lambda t: " + ".join(f"count({c})" for c in schemas.DERIVED[t].fieldNames())
+# Whole relations are compared by a digest of each column: sums of hashes of its cells together with their run. Numbers are
+# taken in thousandths, so that no engine's way of printing them matters.
+_MADE_OF_NUMBERS = "(DOUBLE|FLOAT|.*INT.*|DECIMAL.*)"
+_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def _content(tables: dict[str, DataFrame], *more: str) -> DataFrame:
-    parts = [
-        rows.groupBy("run_id", *more).agg(F.count("*").alias("n"), F.expr(_FILLED(name)).alias("filled"))
-        .select(F.lit(name).alias("table_name"), "run_id", *more, "n", "filled")
-        for name, rows in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def digest_sql(relation: str, sql: str, key: str = "run_id") -> str:
+    cell = f"""coalesce(CASE WHEN typeof(COLUMNS('(.*)')) SIMILAR TO '{_MADE_OF_NUMBERS}'
+        THEN CAST(CAST(round(TRY_CAST(CAST(COLUMNS('(.*)') AS VARCHAR) AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR)
+        ELSE CAST(COLUMNS('(.*)') AS VARCHAR) END, '-')"""
+    salted = f"coalesce(CAST({key} AS VARCHAR), '-') || ':' || {cell}" if key else cell
+    # A sum without rows would be no row.
+    return f"""SELECT '{relation}' AS relation, column_name, CAST(digest AS BIGINT) AS digest FROM (UNPIVOT (
+        SELECT coalesce(sum(CAST('0x' || substr(md5({salted}), 1, 8) AS BIGINT)), 0)::HUGEINT AS '\\1' FROM ({sql}) cells
+    ) ON COLUMNS(*) INTO NAME column_name VALUE digest)"""
+
+
+def digest(relation: str, rows: DataFrame, key: str = "run_id") -> DataFrame:
+    def cell(name: str, kind: str):
+        value = F.col(f"`{name}`")
+        if kind in _WHOLE_NUMBERS or kind.startswith("decimal"):
+            value = F.round(value.cast("double") * 1000).cast("bigint")
+        text = F.coalesce(value.cast("string"), F.lit("-"))
+        text = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("-")), F.lit(":"), text) if key else text
+        return F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")), F.lit(0)).alias(name)
+
+    sums = rows.agg(*[cell(n, k) for n, k in rows.dtypes])
+    pairs = F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("digest")) for n in sums.columns]))
+    return sums.select(F.lit(relation).alias("relation"), pairs)
+
+
+def digests(relations: dict[str, DataFrame], key: str = "run_id") -> DataFrame:
+    return reduce(DataFrame.unionByName, [digest(name, rows, key) for name, rows in relations.items()])
+
+
+def digests_sql(relations: dict[str, str], key: str = "run_id") -> str:
+    return " UNION ALL ".join(digest_sql(name, sql, key) for name, sql in relations.items())
 
 
-@query("b1_write_derived", " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, run_id, substr(run_id, 1, 8) AS run_date, count(*) AS n, {_FILLED(name)} AS filled FROM {source} GROUP BY run_id"
-    for name, source in _TABLE_SQL.items()))
+def _declared(name: str) -> str:
+    return f"SELECT {cols(schemas.DERIVED[name])} FROM {_TABLE_SQL[name]}"
+
+
+@query("b1_write_derived", digests_sql({
+    name: _declared(name).replace(" FROM", ", substr(run_id, 1, 8) AS run_date FROM", 1) for name in _TABLE_SQL}))
 def b1(i):
-    """All seven tables written twice under one batch id, as after a lost attempt, and read back."""
+    """All seven tables written twice under one batch id, as after a lost attempt, and read back whole."""
     root = i.scratch("derived")
     for name in C.DERIVED_TABLES:
         D.write_derived(i.derived[name].limit(10), root, name, "b1")
         D.write_derived(i.derived[name], root, name, "b1")
-    return _content({name: D.read_stored(i.spark, root, name) for name in C.DERIVED_TABLES}, "run_date")
+    return digests({name: D.read_stored(i.spark, root, name).drop("batch") for name in C.DERIVED_TABLES})
 
 
 @query("b2_write_manifests", """SELECT r.run_id, r.extraction_status AS status, t.name,
@@ -336,17 +367,17 @@ def b2(i):
         F.sha2(F.col("length").cast("string"), 256).alias("sha256"),
     )
     run = D.read_stored(i.spark, root, "run")
-    D.write_manifests(D.build_manifests(run, sources, D.batch_digests(i.spark, root), "b1"), root, "b1")
+    D.write_manifests(D.build_manifests(run, sources, D.batch_digests(i.spark, root, "b1"), "b1"), root, "b1")
     return D.read_manifest_table(i.spark, root).select(
         "run_id", "status", F.size("source_files").alias("n_sources"), F.inline("outputs")
     ).drop("sha256")
 
 
-@query("b3_sweep_parquet", "SELECT run_id AS sweep_id, * EXCLUDE (run_id) FROM frequencies")
+@query("b3_sweep_parquet", digests_sql({n: f"SELECT run_id AS sweep_id, * EXCLUDE (run_id) FROM {n}" for n in ("frequencies", "observations")}, "sweep_id"))
 def b3(i):
     root = i.scratch("sweep")
     OUT.write_sweep_parquet(i.observations, i.frequencies, root)
-    return i.spark.read.parquet(f"{root}/frequencies.parquet")
+    return digests({n: i.spark.read.parquet(f"{root}/{n}.parquet") for n in ("frequencies", "observations")}, "sweep_id")
 
 
 @query("b4_census_tsv", f"""SELECT c.run_id, c.bssid, o.ssid, c.elements AS element_ids FROM capabilities c
@@ -368,11 +399,15 @@ _VIEW_SQL = {
 }
 
 
-@query("b5_publish_views", " UNION ALL ".join(
-    f"SELECT '{v}' AS view_name, count(*) AS n FROM {t}" for v, t in _VIEW_SQL.items()))
+def _view_sql(view: str) -> str:
+    table = dict(zip(C.VIEW_NAMES, C.DERIVED_TABLES)).get(view)
+    return f"SELECT {cols(schemas.DERIVED[table]) if table else '*'} FROM {_VIEW_SQL[view]}"
+
+
+@query("b5_publish_views", digests_sql({v: _view_sql(v) for v in _VIEW_SQL}))
 def b5(i):
     OUT.publish_views(i.spark, i.views)
-    return i.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS n FROM {v}" for v in C.VIEW_NAMES))
+    return digests({v: i.spark.table(v) for v in C.VIEW_NAMES})
 
 
 _SUMMARY = """SELECT h.run_id, CASE WHEN h.mhz < 4900 THEN '2.4GHz' WHEN h.mhz < 5925 THEN '5GHz' ELSE '6GHz' END AS band,
@@ -952,8 +987,10 @@ simple("e49_sweep_verdict", lambda i: S.sweep_verdict(S.sweep_totals(i.frequenci
 @query("w1_first_occurrence", f"""SELECT run_id, frequency_mhz, event_id FROM (SELECT {DUCK.run_id()} AS run_id, CAST({DUCK.mhz} AS BIGINT) AS frequency_mhz,
     event_id, row_number() OVER (PARTITION BY {DUCK.run_id()}, {DUCK.mhz} ORDER BY event_id) AS place FROM ev) p WHERE place = 1""")
 def w1(i):
-    rows = i.mapped(f"SELECT {RUN_ID} AS run_id, CAST({SPARK.mhz} AS BIGINT) AS frequency_mhz, event_id FROM ev")
-    return rows.groupBy("run_id", "frequency_mhz").agg(F.min("event_id").alias("event_id"))
+    """The first line that names a frequency wins; here each line's channel is its event."""
+    lines = i.mapped(f"""SELECT {RUN_ID} AS run_id, event_id AS line_no,
+        '\\t\\t* ' || CAST({SPARK.mhz} AS STRING) || '.0 MHz [' || CAST(event_id AS STRING) || '] (30.0 dBm)' AS line FROM ev""")
+    return SRC.phy_frequency_table(lines, ("2.4GHz", "5GHz", "6GHz")).select("run_id", "frequency_mhz", F.col("channel").alias("event_id"))
 
 
 simple("w2_last_values", lambda i: E.beacon_summary(i.frames, i.frequencies).select("run_id", "frequency_mhz", "bssid", "ssid", "beacon_interval_tu", "first_seen", "last_seen"),
@@ -979,8 +1016,9 @@ simple("u3_id_difference", lambda i: i.classified.where("eligible").select("run_
        "SELECT run_id FROM classified WHERE eligible EXCEPT ALL SELECT run_id FROM manifests")
 simple("u4_advertised_pairs", lambda i: V.advertised_pairs(i.staged_table("rnr")), "SELECT * FROM enabled_neighbors")
 simple("u5_expected_slots", lambda i: i.slots, "SELECT slot FROM slots")
-simple("u6_element_union", lambda i: E.element_counts(i.frames.where("bssid is not null")).where("element is not null"),
-       "SELECT run_id, bssid, namespace, element, count(*) AS frames FROM elements WHERE bssid IS NOT NULL GROUP BY 1, 2, 3, 4")
+simple("u6_element_union", lambda i: E.element_counts(i.frames),
+       """SELECT run_id, bssid, namespace, element, count(*) AS frames FROM elements GROUP BY 1, 2, 3, 4
+       UNION ALL SELECT run_id, lower(bssid), NULL, NULL, count(*) FROM frames WHERE len(tags) = 0 AND len(exts) = 0 GROUP BY 1, 2""")
 
 # =========================================================================================
 # Jobs
@@ -992,32 +1030,30 @@ simple("p1_plan_update", lambda i: I.update_outcomes(i.classified, _decisions(i)
        FROM classified x LEFT JOIN (SELECT run_id, {_REASON} AS reason FROM runs) d ON d.run_id = x.run_id WHERE x.eligible""")
 
 
-# The run row is of finished eligible attempts, with the status that the frames lead to; the rest is as in the mapped tables.
-@query("p2_enrich", " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, run_id, count(*) AS n, {_FILLED(name)} AS filled FROM {source} GROUP BY run_id"
-    for name, source in _TABLE_SQL.items() if name not in ("run", "field_resolution")) + f"""
-    UNION ALL SELECT 'run', run_id, 1, {len(schemas.RUN.fieldNames()) - 3} + count(run_status) + count(started_utc)
-        + CASE WHEN any_value(frequencies_ok AND aggregate_ok) AND run_id NOT IN (SELECT run_id FROM frames WHERE bssid IS NULL) THEN 0 ELSE 1 END
-      FROM (SELECT c.*, r.frequencies_ok, r.aggregate_ok FROM classified c JOIN runs r ON r.run_id = c.run_id) z
-      WHERE eligible AND attempt_state <> 'running' GROUP BY run_id
-    UNION ALL SELECT 'field_resolution', run_id, {len(C.FIELD_CANDIDATES)}, {5 * len(C.FIELD_CANDIDATES)} FROM classified
-      WHERE eligible AND attempt_state <> 'running'""")
+# Run rows are of finished eligible attempts, with the status that text tables and frames lead to; the rest is as in the mapped tables.
+_DONE = "(SELECT c.*, r.frequencies_ok, r.aggregate_ok FROM classified c JOIN runs r ON r.run_id = c.run_id WHERE c.eligible AND c.attempt_state <> 'running')"
+_P2_RUN = ("run_id", "attempt_state", "run_status", "started_utc", "eligible", "input_complete", "extraction_status")
+
+
+@query("p2_enrich", digests_sql({name: _declared(name) for name in _TABLE_SQL if name not in ("run", "field_resolution")} | {
+    "run": f"""SELECT run_id, attempt_state, run_status, started_utc, eligible, input_complete,
+        CASE WHEN NOT (frequencies_ok AND aggregate_ok) THEN 'failed' WHEN run_id IN (SELECT run_id FROM frames WHERE bssid IS NULL) THEN 'partial'
+        ELSE 'succeeded' END AS extraction_status FROM {_DONE} d""",
+    "field_resolution": f"SELECT run_id, logical_name FROM {_DONE} d, (VALUES " + ", ".join(f"('{n}')" for n in C.FIELD_CANDIDATES) + ") v(logical_name)",
+}))
 def p2(i):
     from quietband.plans.enrich import derive_tables
 
     flagged = lambda rows: rows.withColumn("bad_cell", F.lit(False))
     tables = derive_tables(i.finished, i.registry, flagged(i.frequencies), flagged(i.observations), i.frames, SERIES)
-    return _content(tables)
+    tables["run"] = tables["run"].select(*_P2_RUN)
+    tables["field_resolution"] = tables["field_resolution"].select("run_id", "logical_name")
+    return digests({name: tables[name] for name in C.DERIVED_TABLES})
 
 
-@query("p3_build_views", " UNION ALL ".join(
-    f"SELECT '{v}' AS view_name, run_id, count(*) AS n FROM {t} GROUP BY run_id" for v, t in _VIEW_SQL.items()))
+@query("p3_build_views", digests_sql({v: _view_sql(v) for v in _VIEW_SQL}))
 def p3(i):
-    out = None
-    for name, rows in i.views.items():
-        part = rows.groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("view_name"), "run_id", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return digests(i.views)
 
 
 def _briefing_sql() -> str:
@@ -1068,36 +1104,46 @@ simple("b7_briefing", lambda i: whole_briefing(i.spark, store_run_grain(i.spark,
        + ", ".join(f"('{s}', '{m}', '{v}')" for s, m, v in _MADE_FROM) + ") v(s, m, l)")
 
 
-def _sizes(relations: dict[str, DataFrame], keep: tuple[str, ...]) -> DataFrame:
-    out = None
-    for name in keep:
-        part = relations[name].groupBy("run_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "run_id", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+# Relation of the profile -> query that computes it alone.
+_PROFILE = {
+    "window": "e47_sweep_window", "coverage": "e18_coverage", "coverage_by_band": "e19_coverage_by_band",
+    "state_by_outcome": "e20_state_by_outcome", "positive_control": "e21_positive_control", "reception_bounds": "e22_reception_bounds",
+    "identity": "e23_identity_summary", "radio_families": "e24_radio_families", "radio_family_names": "e24_radio_family_names",
+    "ssid_profile": "e25_ssid_profile", "shared_services": "e26_shared_services", "provider_counts": "e27_provider_counts",
+    "rf_profile": "e28_rf_profile", "channel_occupancy": "e29_channel_occupancy", "multi_frequency": "e30_multi_frequency",
+    "quality_flags": "e32_quality_flags", "per_frequency": "e2_per_frequency", "sweep_totals": "e3_sweep_totals",
+    "addresses_by_band": "e4_addresses_by_band", "verdict": "e49_sweep_verdict",
+}
 
 
-@query("p5_profile_sweeps", """SELECT 'coverage' AS relation, run_id, 1 AS n FROM frequencies GROUP BY run_id
-    UNION ALL SELECT 'coverage_by_band', run_id, count(DISTINCT band) FROM frequencies GROUP BY run_id
-    UNION ALL SELECT 'features', run_id, count(*) FROM observations GROUP BY run_id
-    UNION ALL SELECT 'channel_occupancy', run_id, count(DISTINCT (band, frequency_mhz, channel)) FROM observations GROUP BY run_id
-    UNION ALL SELECT 'radio_family_names', run_id, count(DISTINCT (substr(bssid, 4, 13), ssid)) FROM observations GROUP BY run_id""")
+@query("p5_profile_sweeps", digests_sql({name: ORACLES[key] for name, key in _PROFILE.items()} | {
+    "features": "SELECT run_id, bssid, frequency_mhz, ssid, beacons FROM observations"}))
 def p5(i):
     from quietband.plans.profile import profile_sweeps
 
-    return _sizes(profile_sweeps(i.frequencies, i.observations),
-                  ("coverage", "coverage_by_band", "features", "channel_occupancy", "radio_family_names"))
+    found = profile_sweeps(i.frequencies, i.observations)
+    found["features"] = found["features"].select("run_id", "bssid", "frequency_mhz", "ssid", "beacons")
+    assert found.keys() == _PROFILE.keys() | {"features"}
+    return digests(found)
+
+
+# Relation of the census -> query that computes it alone.
+_CENSUS = {
+    "captures": "e48_capture_counts", "radiotap": "e34_radiotap_population", "truncation": "e35_truncation", "elements": "e33_element_census",
+    "absent_priority": "e33_absent_priority", "generations": "e33_generations", "ambiguous": "e36_ambiguous",
+    "neighbor_outcomes": "d9_neighbor_outcomes", "outcome_totals": "d9_outcome_totals", "load_ranges": "e37_load_ranges",
+    "identity": "e38_identity_counts", "observed": "e31_observed_names",
+}
 
 
-@query("p6_census_captures", """SELECT 'truncation' AS relation, run_id, 1 AS n FROM good GROUP BY run_id
-    UNION ALL SELECT 'elements', run_id, count(DISTINCT (namespace, element)) FROM elements WHERE run_id IN (SELECT run_id FROM good) GROUP BY run_id
-    UNION ALL SELECT 'observed', run_id, count(*) FROM observed WHERE run_id IN (SELECT run_id FROM good) GROUP BY run_id
-    UNION ALL SELECT 'advertisements', run_id, count(*) FROM adverts GROUP BY run_id
-    UNION ALL SELECT 'bss_load', run_id, count(*) FROM bss_load GROUP BY run_id
-    UNION ALL SELECT 'rnr', run_id, count(*) FROM rnr GROUP BY run_id""")
+@query("p6_census_captures", digests_sql({name: ORACLES[key] for name, key in _CENSUS.items()}))
 def p6(i):
     from quietband.plans.census import census_captures
 
-    return _sizes(census_captures(i.identified, i.captures), ("truncation", "elements", "observed", "advertisements", "bss_load", "rnr"))
+    # Neighbor and load reports count for runs whose every frame has identity, as the derived tables take them.
+    whole, derived = census_captures(i.frames, i.captures), census_captures(i.identified, i.captures)
+    reports = ("ambiguous", "neighbor_outcomes", "outcome_totals", "load_ranges")
+    return digests({name: (derived if name in reports else whole)[name] for name in _CENSUS})
 
 
 # =========================================================================================
