@@ -19,8 +19,10 @@ from quietband.llm.common import stored, text_or_empty, text_slices
 
 #: Bins of the hashed document vector, dimensions that it is projected to, and bits of each.
 BINS, DIMENSIONS, BITS = 256, 3, 16
-#: Bounds of the memory that remembered words take: entries, and characters of one.
-KNOWN_WORDS, KNOWN_CHARS = 500_000, 48
+#: Bounds of the memory that remembered words take: entries, and characters of one; some 35 MB for each of the two memories.
+KNOWN_WORDS, KNOWN_CHARS = 200_000, 48
+#: Bytes of text that are split into words at once.
+SLICE = 1 << 20
 #: Words that go to the library at once, and the mark of a word's last token.
 RUN, WORD_END = 64, "</w>"
 #: Signs that may follow a word; the vocabulary splits a run of them off.
@@ -145,7 +147,7 @@ def _tokens(path: str, end_id: int):
         gc.disable()
         try:
             for batch in batches:
-                for lo, hi in text_slices(batch.column(1)):
+                for lo, hi in text_slices(batch.column(1), SLICE):
                     ids = [x + end for x in words.encode([t or "" for t in batch.column(1)[lo:hi].to_pylist()])]
                     arrays = [np.frombuffer(x, words.kind) for x in ids]
                     yield pa.record_batch({

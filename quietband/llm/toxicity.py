@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b" ".join(samples)[-size:] or b" "
 
 
+@lru_cache(maxsize=4)
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters.from_level(
         9, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False
