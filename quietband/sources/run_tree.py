@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: The files of a run that are parsed.
 SOURCE_NAMES = ("frequencies.tsv", "aggregate.tsv", "instrument.json", "freq-*.pcap")
 #: Tasks per core over which folders and files are dealt; a task takes them one by one.
-TASKS_PER_CORE = 8
+TASKS_PER_CORE = 2
 _BLOCK_BYTES = 1 << 20
 _BATCH_ROWS = 10_000
 _CHILDREN = "name string, path string, is_dir boolean"
