@@ -22,6 +22,8 @@ WINDOW = 12
 TOXIC_BYTES, ORDINARY_BYTES = 1500, 16384
 #: Bound of the fitted sample: labelled rows of each class, and characters of a text that may be among them.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_CHARS = 1500, 4500, 20_000
+#: Longer texts that are among them all the same, and their characters at most.
+SAMPLE_LONG, LONG_CHARS = 200, 200_000
 
 
 def windows(text: str) -> list[bytes]:
@@ -119,7 +121,7 @@ def fit(toxic: list[str], ordinary: list[str], prior: float) -> ToxicityModel:
     a, b = math.ceil(len(toxic) * 0.6), math.ceil(len(ordinary) * 0.5)
     plain = [w for t in ordinary[:b] for w in windows(t)]
     kept = _distinctive(toxic[:a], ordinary[:b])
-    model = ToxicityModel(_dictionary(plain[::3], 2 * ORDINARY_BYTES)[-ORDINARY_BYTES:], _dictionary(kept, TOXIC_BYTES))
+    model = ToxicityModel(_dictionary(plain, 2 * ORDINARY_BYTES)[-ORDINARY_BYTES:], _dictionary(kept, TOXIC_BYTES))
     held = (toxic[a:] or toxic, ordinary[b:] or ordinary)
     x = np.vstack([model.features(t) for t in held])
     y = np.repeat([1.0, 0.0], [len(t) for t in held])
@@ -132,7 +134,8 @@ def training_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """A model fitted on a bounded sample of labelled rows that are not held out.
 
     Per class the rows whose ids hash lowest are taken, up to SAMPLE_TOXIC and SAMPLE_ORDINARY, with texts of up to SAMPLE_CHARS
-    characters. Labels that are null, or of no document, are left out; of several labels of one id the larger counts.
+    characters; of the longer ones up to LONG_CHARS the SAMPLE_LONG that hash lowest, so that both the dictionaries and the
+    calibration see long texts about as often as they occur. Labels that are null, or of no document, are left out; of several labels of one id the larger counts.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out("doc_id"))
@@ -142,11 +145,11 @@ def training_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     picked = [known.where(c).orderBy(*order).limit(n).select("doc_id") for c, n in
               (("toxic > 0", SAMPLE_TOXIC), ("toxic <= 0", SAMPLE_ORDINARY))]
     wanted = picked[0].withColumn("class", F.lit(1)).unionByName(picked[1].withColumn("class", F.lit(0)))
-    texts = (
-        docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-        # At most SAMPLE_TOXIC + SAMPLE_ORDINARY ids.
-        .join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).orderBy(*order).select("text", "class")
-    ).collect()
+    rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= LONG_CHARS)
+    # At most SAMPLE_TOXIC + SAMPLE_ORDINARY ids.
+    rows = rows.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    long = rows.where(F.length("text") > SAMPLE_CHARS).orderBy(*order).limit(SAMPLE_LONG)
+    texts = rows.where(F.length("text") <= SAMPLE_CHARS).unionByName(long).orderBy(*order).select("text", "class").collect()
     return fit([r.text for r in texts if r["class"]], [r.text for r in texts if not r["class"]], prior)
 
 
