@@ -34,31 +34,45 @@ def coverage_totals(bands: DataFrame) -> DataFrame:
     return bands.groupBy("band").agg(*[F.sum(n).alias(n) for n in names])
 
 
+#: Bits below the buckets of each step of the median's search: no bucket has more than 2^21 smaller ones in it.
+_NARROWING = (42, 21, 0)
+
+
 def _medians(long: DataFrame) -> DataFrame:
-    """Exact median of `v` per measure, averaging the middle pair.
+    """Exact median of `v` per measure, averaging the middle pair; nulls do not count.
 
-    Values are counted, the counts are summed per bucket of 1,024 neighboring values to find
-    the buckets holding the middle positions, and only those are ranked.  No task sees more
-    than the bucket list or the values of two buckets, however many runs there are.
+    Values are counted.  Then each step sums the counts of the buckets inside those that hold the
+    middle positions, by map-side combining, and keeps the one or two inner buckets they fall in;
+    the last step's buckets are single values.  A window sees the inner buckets of one bucket only,
+    at most 2^21 of them, however many runs or distinct values there are.
     """
-    counts = long.groupBy("measure", "v").agg(F.count("*").alias("n"))
-    bucketed = counts.withColumn("bucket", F.floor(F.col("v") / 1024))
-    by_bucket = W.partitionBy("measure").orderBy("bucket")
-    ends = bucketed.groupBy("measure", "bucket").agg(F.sum("n").alias("held")).select(
-        "measure", "bucket", "held",
-        F.sum("held").over(by_bucket).alias("upto"),
-        F.sum("held").over(W.partitionBy("measure")).alias("total"),
+    counts = long.where("v is not null").groupBy("measure", F.col("v").cast("long").alias("v")).agg(
+        F.count("*").alias("n")
     )
     # Positions of the middle pair, counted from 1; they coincide for an odd total.
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    middle = ends.where((F.col("upto") >= low) & (F.col("upto") - F.col("held") < high)).select(
-        "measure", "bucket", low.alias("low"), high.alias("high"), (F.col("upto") - F.col("held")).alias("before")
-    )
-    ranked = bucketed.join(middle, ["measure", "bucket"]).withColumn(
-        "upto", F.col("before") + F.sum("n").over(W.partitionBy("measure", "bucket").orderBy("v"))
+    held = counts.groupBy("measure").agg(F.sum("n").alias("total")).select(
+        "measure", F.lit(0).cast("long").alias("outer"),
+        F.floor((F.col("total") + 1) / 2).alias("low"), (F.floor(F.col("total") / 2) + 1).alias("high"),
+        F.lit(0).cast("long").alias("before"),
     )
-    at = lambda pos: F.min(F.when(F.col("upto") >= F.col(pos), F.col("v")))
-    return ranked.groupBy("measure").agg(((at("low") + at("high")) / 2).alias("median"))
+    outer = F.lit(0).cast("long")
+    for bits in _NARROWING:
+        buckets = counts.select(
+            F.col("measure").alias("of"), outer.alias("in"), F.shiftright("v", bits).alias("bucket"), "n"
+        )
+        # Null-safe, so that no filter on one step's buckets keeps the counts from being shared by all.
+        inside = buckets.join(held, F.col("of").eqNullSafe(F.col("measure")) & F.col("in").eqNullSafe(F.col("outer")))
+        summed = inside.groupBy("measure", "outer", "bucket", "low", "high", "before").agg(F.sum("n").alias("n"))
+        upto = F.col("before") + F.sum("n").over(W.partitionBy("measure", "outer").orderBy("bucket"))
+        held = summed.withColumn("upto", upto).where((F.col("upto") >= F.col("low")) & (F.col("upto") - F.col("n") < F.col("high")))
+        held = held.select(
+            "measure", F.col("bucket").alias("outer"), "low", "high", (F.col("upto") - F.col("n")).alias("before"), "upto"
+        )
+        if bits:
+            held = held.drop("upto")
+        outer = F.shiftright("v", bits)
+    at = lambda pos: F.min(F.when(F.col("upto") >= F.col(pos), F.col("outer")))
+    return held.groupBy("measure").agg(((at("low") + at("high")) / 2).alias("median"))
 
 
 def snapshot(hourly: DataFrame) -> DataFrame:

@@ -304,3 +304,19 @@ def test_slots_do_not_follow_the_session_zone(spark):
         assert slots == ["20260308-010000", "20260308-020000", "20260308-030000"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_medians_by_narrowing(spark):
+    """Ten million distinct values over the whole range of 64 bits, few and negative ones, ties, nulls."""
+    from pyspark.sql import functions as F
+
+    from quietband.operators.briefing import _medians
+
+    wide = spark.range(10_000_000).select(F.lit("wide").alias("measure"), (F.col("id") * 900_000_000_001).alias("v"))
+    small = [("odd", 3), ("odd", -5), ("odd", 2**62), ("pair", 7), ("pair", 8), ("pair", None), ("pair", -(2**50)), ("pair", 2**50),
+             ("ties", 4), ("ties", 4), ("ties", 4), ("ties", 9), ("one", 6), ("apart", 0), ("apart", 2**45)]
+    rows = wide.unionByName(spark.createDataFrame(small, "measure string, v long"))
+    got = {r.measure: r.median for r in _medians(rows).collect()}
+    assert got.pop("wide") == (4_999_999 + 5_000_000) * 900_000_000_001 / 2
+    assert got == {"odd": 3.0, "pair": 7.5, "ties": 4.0, "one": 6.0, "apart": 2.0**44}
+    assert _medians(rows.where("false")).isEmpty()
