@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and very long texts, ties, repeated rows, clashing columns and empty tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -187,6 +188,25 @@ def test_short_lines_and_lines_without_blanks(spark):
     assert [rows[i].text for i in range(4)] == brute.whole_lines(list(enumerate(texts)), lambda k: k)
 
 
+def test_every_pair_of_lines_at_the_threshold(spark):
+    """No link is left to chance: lines barely alike, alone in pairs and in crowds that share a passage."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)).strip().ljust(n, "z")
+    texts = []
+    for _ in range(400):
+        line = word(215)
+        # 180 of 200 + 20 shingles or of 200 + 25: alike, or not by a little.
+        texts += [line, line[:195] + word(rng.choice((20, 22, 25, 28)))]
+    passage = word(150)
+    texts += [passage + word(rng.randrange(20, 60)) for _ in range(120)]
+    stem = passage + word(50)
+    texts += [stem + word(rng.randrange(8, 24)) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in dedup_lines(docs).orderBy("doc_id").collect()]
+    assert got == brute.whole_lines(list(enumerate(texts)), lambda k: k)
+    assert 0 < got.count("") < len(texts) / 2
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]
