@@ -21,14 +21,13 @@ from quietband.sources.run_tree import file_identity
 
 def derive_tables(
     classified: DataFrame, registry: DataFrame, frequencies: DataFrame, observations: DataFrame,
-    frames: DataFrame, series: SeriesConfig,
+    frames: DataFrame, series: SeriesConfig, errors: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The seven tables of the runs in `classified`, from text tables and decoded frames."""
+    """The seven tables of the runs in `classified`, from text tables, decoded frames and their identity errors."""
     runs = classified.select("run_id")
-    status = E.extraction_status(
-        runs, E.core_errors(registry, frequencies, observations), E.identity_errors(frames)
-    )
-    good = E.identified_frames(frames)
+    errors = E.identity_errors(frames) if errors is None else errors
+    status = E.extraction_status(runs, E.core_errors(registry, frequencies, observations), errors)
+    good = E.identified_frames(frames, errors)
     return {
         "run": E.run_table(classified, status, series),
         "frequencies": schemas.conform(frequencies, schemas.FREQUENCIES),
@@ -70,10 +69,13 @@ def enrich(
         lambda: D.write_sources(file_identity(chosen(files)) if identity is None else chosen(identity), derived_root, batch),
     ])
     frames = spark.read.schema(schemas.FRAMES).parquet(frames_path)
+    found, errors_path = E.identity_errors(frames), f"{derived_root}/frames/errors={batch}"
+    found.write.mode("overwrite").parquet(errors_path)
+    errors = spark.read.schema(found.schema).parquet(errors_path)
 
     tables = derive_tables(
         chosen(classified), registry, chosen(tree.frequencies(spark, root)),
-        chosen(tree.observations(spark, root)), frames, series,
+        chosen(tree.observations(spark, root)), frames, series, errors,
     )
     run_together([partial(D.write_derived, tables[name], derived_root, name, batch) for name in C.DERIVED_TABLES])
 
@@ -84,4 +86,5 @@ def enrich(
     )
     # What the batch was made from is in the tree.
     D.remove(spark, frames_path)
+    D.remove(spark, errors_path)
     D.remove(spark, f"{derived_root}/listing/batch={batch}")

@@ -37,3 +37,18 @@ def test_query(key, inputs, con):
     assert not [f for f in FORBIDDEN if f in plan]
     assert ("MapInArrow" in plan) == (key == "a7_capture_decode")
     assert differences(df, con, ORACLES[key]) is None
+
+
+def test_a_view_asks_for_its_own_tables_only(spark):
+    """Evidence needs three facts; the other derived tables are not made for it."""
+    made = Inputs(spark, SF)
+    made.views["pilot_6ghz_evidence"]
+    assert made._derived.keys() == {"rnr"}
+
+
+def test_events_are_dealt_and_frames_stay_in_place(spark):
+    """One small file becomes many tasks' work, and a few bad runs are taken out without a shuffle of the frames."""
+    made = Inputs(spark, SF)
+    assert len(made.ev.inputFiles()) > 1
+    plan = made.identified.select("run_id", "tags")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
