@@ -52,3 +52,22 @@ def test_events_are_dealt_and_frames_stay_in_place(spark):
     assert len(made.ev.inputFiles()) > 1
     plan = made.identified.select("run_id", "tags")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_events_are_dealt_before_they_are_mapped(spark, monkeypatch):
+    """The mapping of a small file is not the work of one task; wide steps are generated in methods that the JVM compiles."""
+    plans = []
+    monkeypatch.setattr(Inputs, "stored", lambda self, label, rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or rows)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    Inputs(spark, SF).ev
+    assert plans[0].startswith("Project") and plans[0].index("get_json_object") < plans[0].index("Repartition")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_capabilities_make_no_arrays_of_an_address(spark):
+    """Words of bits become text and flags by lookups; no loop over 64 bits runs for every address."""
+    from quietband.operators import enrichment as E
+
+    plan = E.ie_capabilities(Inputs(spark, SF).frames)._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[: plan.index("Aggregate")]
+    assert "lambda" not in after and "arrays_overlap" not in after

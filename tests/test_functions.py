@@ -63,6 +63,15 @@ def test_cells(spark):
     assert value(spark, cells.int_set(F.col("x")), x="201,3,x,,3, 11") == [3, 11, 201]
 
 
+@pytest.mark.parametrize("ids", [[], [0], [255], [63, 64, 127], [7, 8, 191, 192, 254, 255], list(range(256))])
+def test_sets_held_as_words(spark, ids):
+    """Texts and flags come from the words, the sign bit of a word included."""
+    words = cells.bit_words(F.col("x"))
+    assert value(spark, cells.bit_text(words), x=ids) == ",".join(map(str, ids))
+    for wanted in ((0,), (63,), (255, 3), (8, 100)):
+        assert value(spark, cells.bits_overlap(words, wanted), x=ids) == bool(set(wanted) & set(ids))
+
+
 def test_address_bits(spark):
     assert value(spark, radio.is_locally_administered(F.col("x")), x="02:00:00:00:00:00")
     assert value(spark, radio.is_multicast(F.col("x")), x="01:00:00:00:00:00")
