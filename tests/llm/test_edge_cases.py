@@ -15,7 +15,7 @@ from quietband.llm.bpe import encode_documents
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.fingerprints import compare_with_edit_and_next
 from quietband.llm.license_scan import BASE, TEMPLATES, scan_licenses
-from quietband.llm.line_dedup import dedup_lines
+from quietband.llm.line_dedup import _sketched, dedup_lines
 from quietband.llm.ngram_join import jaccard_components, one_per_component
 from quietband.llm.packing import WordIds, pack_along_curve
 from quietband.llm.sharding import kd_shards
@@ -207,6 +207,34 @@ def test_every_pair_of_lines_at_the_threshold(spark):
     assert 0 < got.count("") < len(texts) / 2
 
 
+def test_lines_send_few_hashes_and_share_one_with_each_near_copy(spark):
+    """A seventh of a line's shingles at most where words are short, and no near copy without a common one: edits, moved and
+    doubled parts, lines of few letters, periodic ones and ones without blanks."""
+    rng = random.Random(11)
+    word = lambda a, n: "".join(rng.choices(a, k=n))
+    prose = [" ".join(word("abcdefghijklmnop", rng.randrange(2, 9)) for _ in range(80)) for _ in range(150)]
+    odd = [word(rng.choice(("ab", "abc ", "abcdefgh  ")), rng.randrange(30, 200)) for _ in range(150)]
+    odd += [(word("abcdefgh ", rng.randrange(1, 40)) * 99)[: rng.randrange(30, 200)] for _ in range(150)]
+    lines = [x.strip(" ") for x in prose + odd]
+    for x in list(lines):
+        for _ in range(3):
+            y = x
+            for _ in range(rng.randrange(1, 5)):
+                lo, hi = sorted(rng.randrange(len(y) + 1) for _ in "ab")
+                y = rng.choice((y[:lo] + word("abq ", 3) + y[lo:], y[:lo] + y[lo + 2 :], y[hi:] + y[lo:hi] + y[:lo], y[:hi] + y[lo:hi] + y[hi:])) or x
+            lines.append(y.strip(" "))
+    rows = spark.createDataFrame(list(enumerate(lines)), "line_id long, line string")
+    held = defaultdict(set)
+    for r in _sketched(rows, 0).collect():
+        held[r.line_id].add(r.token)
+    sets = [{x[i : i + 16] for i in range(max(1, len(x) - 15))} for x in lines]
+    n = len(prose) + len(odd)
+    pairs = [(i, n + 3 * i + k) for i in range(n) for k in range(3) if lines[i] != lines[n + 3 * i + k]]
+    alike = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and len(lines[a]) > 15]
+    assert len(alike) > 300 and all(held[a] & held[b] for a, b in alike)
+    assert sum(len(held[i]) for i in range(len(prose))) < sum(len(sets[i]) for i in range(len(prose))) / 7
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]
