@@ -7,6 +7,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from quietband.llm.common import stored, text_or_empty, text_slices
 
 #: Bins of the hashed document vector, dimensions that it is projected to, and bits of each.
 BINS, DIMENSIONS, BITS = 256, 3, 16
-#: Bounds of the memory that remembered words take: entries, and characters of one; some 35 MB for each of the two memories.
-KNOWN_WORDS, KNOWN_CHARS = 200_000, 48
+#: Bounds of the memory that remembered words take: entries, and characters of one; some 50 MB for each of the two memories.
+KNOWN_WORDS, KNOWN_CHARS = 300_000, 48
 #: Bytes of text that are split into words at once.
 SLICE = 1 << 20
 #: Words that go to the library at once, and the mark of a word's last token.
@@ -118,19 +119,24 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words) - self.words.keys())
+        every = set().union(*words)
+        new = every.difference(self.words)
         if len(self.words) + len(new) > KNOWN_WORDS:
-            self.words.clear()
-            new = list(set().union(*words))
-        split = [self.split(w) for w in new]
-        unknown = list({p for parts in split for p in parts} - self.pieces.keys())
+            # What these texts hold too is kept: words that are used often stay known.
+            self.words = {w: self.words[w] for w in every.difference(new)}
+        # Most words are plain letters.
+        plain = {w: w.lower() for w in new if w.isascii() and w.isalpha()}
+        split = {w: self.split(w) for w in new.difference(plain)}
+        used = set(plain.values()).union(chain.from_iterable(split.values()))
+        unknown = used.difference(self.pieces)
         if len(self.pieces) + len(unknown) > KNOWN_WORDS:
-            self.pieces.clear()
-            unknown = list({p for parts in split for p in parts})
-        self.pieces.update(self._ids(unknown))
-        self.words.update((w, b"".join([self.pieces[p] for p in parts])) for w, parts in zip(new, split))
-        out = [b"".join([self.words[w] for w in parts]) for parts in words]
-        for known, fresh in ((self.words, new), (self.pieces, unknown)):
+            self.pieces = {p: self.pieces[p] for p in used.difference(unknown)}
+        pieces = self.pieces
+        pieces.update(self._ids(list(unknown)))
+        self.words.update((w, pieces[p]) for w, p in plain.items())
+        self.words.update((w, b"".join([pieces[p] for p in parts])) for w, parts in split.items())
+        out = [b"".join(map(self.words.__getitem__, parts)) for parts in words]
+        for known, fresh in ((self.words, new), (pieces, unknown)):
             for w in fresh:
                 if len(w) > KNOWN_CHARS:
                     del known[w]

@@ -97,6 +97,18 @@ def test_words_that_normalisation_takes_apart():
     assert got.tolist() == library_ids(text)
 
 
+def test_words_in_use_stay_known(monkeypatch):
+    """A full memory forgets what the texts at hand do not use; no word of every slice is encoded twice, and ids stay right."""
+    monkeypatch.setattr("quietband.llm.packing.KNOWN_WORDS", 60)
+    words, sent = WordIds(WORDS), Counter()
+    encode = words._ids
+    monkeypatch.setattr(words, "_ids", lambda pieces: (sent.update(pieces), encode(pieces))[1])
+    for i in range(12):
+        text = " ".join(f"many of these Words, come back {chr(97 + i)}{chr(97 + k)}rare" for k in range(20))
+        assert np.frombuffer(words.encode([text])[0], "<u2").tolist() == library_ids(text)
+    assert max(sent.values()) == 1 and len(words.words) <= 60 and len(words.pieces) <= 60
+
+
 def test_licenses(edge, nothing):
     rows = {(r.doc_id, r.n_words): r for r in scan_licenses(edge).collect()}
     assert rows[1, 7].base_labels == "mit" and (rows[1, 7].n_base, rows[1, 7].first_word, rows[1, 7].last_word) == (1, 5, 5)
