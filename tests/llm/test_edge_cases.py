@@ -280,3 +280,29 @@ def test_toxicity(spark, edge, nothing):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert score_toxicity(nothing, training_model(nothing, labels)).count() == 0
     assert {r.score for r in score_toxicity(edge, training_model(edge, labels)).collect()} == {0.0}
+
+
+def test_lines_that_share_a_passage_are_not_multiplied(spark, monkeypatch):
+    """A crowd around a passage writes no more rows in any step than its lines share hashes, and loses none of its links."""
+    from quietband.llm import line_dedup
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    passage, texts = words(14), []
+    for _ in range(100):
+        line = f"{words(25)} {passage} {words(25)}"
+        texts += [line, line + " " + words(6)]
+    written, kept = {}, line_dedup.stored
+
+    def stored(rows, label, *args, **kwargs):
+        out = kept(rows, label, *args, **kwargs)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in dedup_lines(docs).orderBy("doc_id").collect()]
+    assert got == brute.whole_lines(list(enumerate(texts)), lambda k: k)
+    assert got.count("") == 100
+    assert max(written.values()) == written["line-shared"]
