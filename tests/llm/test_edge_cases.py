@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from quietband.llm.bpe import encode_documents
 from quietband.llm.exact_dedup import exact_dedup
 from quietband.llm.fingerprints import compare_with_edit_and_next
 from quietband.llm.license_scan import BASE, TEMPLATES, scan_licenses
-from quietband.llm.line_dedup import _sketched, dedup_lines
+from quietband.llm.line_dedup import _sketched, _sketches, dedup_lines
 from quietband.llm.ngram_join import jaccard_components, one_per_component
 from quietband.llm.packing import WordIds, pack_along_curve
 from quietband.llm.sharding import kd_shards
@@ -247,6 +248,35 @@ def test_lines_send_few_hashes_and_share_one_with_each_near_copy(spark):
     assert sum(len(held[i]) for i in range(len(prose))) < sum(len(sets[i]) for i in range(len(prose))) / 7
 
 
+def test_lines_of_few_syllables_send_few_hashes(spark):
+    """A twelfth of the shingles at most where words repeat syllables, as many common marks as each line needs, and a common hash with
+    each near copy, also beyond the basic plane and where a line repeats itself."""
+    rng = random.Random(5)
+    parts = "an en in on ed er re ti th sh he nd st ly ea or é 漢".split()
+    word = lambda: "".join(rng.choices(parts, k=rng.choice((1, 2, 2, 3, 4))))
+    prose = [" ".join(word() for _ in range(rng.randrange(20, 120))) for _ in range(300)]
+    odd = [x[:50] + "😀 and 😀" + x[50:] for x in prose[:50]] + [" ".join(w for _ in range(9) for w in x.split()[:7]) for x in prose[:50]]
+    lines = prose + odd
+    for x in list(lines):
+        for _ in range(4):
+            y = x
+            for _ in range(rng.randrange(1, 9)):
+                lo = rng.randrange(len(y) + 1)
+                hi = min(len(y), lo + rng.randrange(1, 40))
+                y = rng.choice((y[:lo] + word() + y[lo:], y[:lo] + y[lo + 2 :], y[:lo] + y[hi:] + y[lo:hi], y[:hi] + y[lo:hi] + y[hi:])) or x
+            lines.append(y.strip(" "))
+    rows = {r.line_id: r for r in _sketches(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"), 0).collect()}
+    sets = [{x[i : i + 16] for i in range(max(1, len(x) - 15))} for x in lines]
+    marks = [{s for s in held if re.fullmatch(r"..[^ ]{5} .{8}", s, re.S)} for held in sets]
+    n = len(prose) + len(odd)
+    pairs = [(i, n + 4 * i + k) for i in range(n) for k in range(4) if lines[i] != lines[n + 4 * i + k]]
+    alike = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(alike) > 300 and all(set(rows[a].tokens) & set(rows[b].tokens) for a, b in alike)
+    assert all(len(marks[a] & marks[b]) >= max(rows[a].need, rows[b].need) for a, b in alike)
+    assert all(rows[i].marks == len(marks[i]) and rows[i].least <= len(sets[i]) <= rows[i].most for i in rows)
+    assert sum(len(rows[i].tokens) for i in range(len(prose))) < sum(len(sets[i]) for i in range(len(prose))) / 12
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]
