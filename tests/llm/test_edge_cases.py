@@ -277,6 +277,23 @@ def test_lines_of_few_syllables_send_few_hashes(spark):
     assert sum(len(rows[i].tokens) for i in range(len(prose))) < sum(len(sets[i]) for i in range(len(prose))) / 12
 
 
+def test_line_dedup_keeps_no_shuffle_of_a_stored_step(edge, monkeypatch):
+    """While steps are stored, Spark deletes their shuffle files at once; the session's own setting is as before afterwards."""
+    from quietband.llm import line_dedup
+
+    conf, kept, seen = edge.sparkSession.conf, line_dedup.stored, set()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+
+    def stored(rows, label, *args, **kwargs):
+        seen.add(conf.get(name, "false"))
+        return kept(rows, label, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    assert dedup_lines(edge).count() == edge.count()
+    assert seen == {"true"} and conf.get(name, "false") == before
+
+
 def test_fingerprints(edge, nothing):
     rows = compare_with_edit_and_next(edge).collect()
     ids = [r.doc_id for r in rows]
